@@ -93,11 +93,14 @@ def _bytes_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Tokens:
-    """Words of the rows of a text column: byte bounds, and row i's words are first[i] to first[i + 1]."""
+    """Words of the rows of a text column: byte bounds, and row i's words are first[i] to first[i + 1].
 
-    def __init__(self, col: pa.Array):
+    gaps: which bytes separate words, ASCII white space unless given.
+    """
+
+    def __init__(self, col: pa.Array, gaps: np.ndarray = _SPACE):
         self.data, self.bounds = data, bounds = _bytes_of(col)
-        space = _SPACE[data]
+        space = gaps[data]
         before, after = np.ones(len(data), bool), np.ones(len(data), bool)
         before[1:], after[:-1] = space[:-1], space[1:]
         before[bounds[:-1][bounds[:-1] < len(data)]] = True

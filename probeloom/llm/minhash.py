@@ -182,7 +182,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of docs whose document stays: one of each group of near duplicates."""
-    fate = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    fate = materialize(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "duplicates")
     return docs.join(fate, "doc_id", "left_anti").select(*docs.columns)
 
 
