@@ -49,8 +49,31 @@ VIEWS: dict[str, str] = {
           cast(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) AS bigint) AS ref,
           cast(sum(l_quantity) AS bigint) AS coverage
         FROM lineitem GROUP BY l_suppkey, l_partkey % 60""",
+    # sites with several alternate alleles, as a caller reports them: one row per site and sample
+    "site_calls": """
+        SELECT 'chr' || (v % 14 + 1) AS chrom, v * 100 + 7 AS pos, CASE v % 4 WHEN 0 THEN 'AC' WHEN 1 THEN 'A' WHEN 2 THEN 'AGT' ELSE 'G' END AS ref,
+          CASE v % 4 WHEN 0 THEN 'GT' WHEN 1 THEN 'G,T' WHEN 2 THEN 'A' ELSE 'GCC' END AS alt, cast(v % 50 + 1 AS double) AS qual,
+          CASE WHEN v % 5 = 0 THEN 'LowQual;Bias' WHEN v % 5 = 1 THEN 'Bias' ELSE 'PASS' END AS filter, 'S' || s AS sample_id,
+          CASE WHEN v % 4 = 1 THEN a || ',' || b ELSE cast(a AS string) END AS ao, CASE WHEN v % 4 = 1 THEN a * 30 || ',' || b * 20 ELSE cast(a * 25 AS string) END AS qa,
+          cast(r AS double) AS ro, cast(r * 28 AS double) AS qr, cast(a + b + r AS double) AS dp, cast((v * 7 + s) % 99 AS double) AS gq,
+          CASE WHEN (v + s) % 5 = 0 THEN '0/0' WHEN (v + s) % 5 = 1 THEN '0/1' WHEN (v + s) % 5 = 2 THEN '1/1' WHEN (v + s) % 5 = 3 THEN './.' ELSE '1/2' END AS gt,
+          'X|' || CASE WHEN v % 3 = 2 THEN 'synonymous_variant' ELSE 'missense_variant' END || '|M|n|ID' || v % 8 || '|t|f|b|1|c|p.' ||
+            CASE WHEN v % 3 = 0 THEN 'AspGlu' || (v + 10) || 'HisGln' WHEN v % 3 = 1 THEN 'LysAsp' || (v + 10) || 'ThrAsp' ELSE 'Ala' || (v + 10) || 'Ala' END || '|x,Y|other|' AS ann
+        FROM (SELECT l_suppkey AS s, l_partkey % 60 AS v, cast(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS bigint) AS a,
+          cast(sum(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0 END) AS bigint) AS b, cast(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) AS bigint) AS r
+          FROM lineitem GROUP BY l_suppkey, l_partkey % 60)""",
+    # the same after splitting, with annotation: one row per site, allele and sample
+    "allele_calls": """
+        SELECT 'chr' || (v % 14 + 1) AS chrom, v * 100 + 7 AS pos, 'A' AS ref, 'G' AS alt, cast(v % 50 + 1 AS double) AS qual, 'ID' || v % 8 AS gene_id,
+          'gene' || v % 8 AS gene, CASE WHEN v % 3 = 2 THEN 'synonymous_variant' ELSE 'missense_variant' END AS effect,
+          CASE WHEN v % 3 = 0 THEN 'AspGlu' || (v % 16 + 10) || 'HisGln' WHEN v % 3 = 1 THEN 'LysAsp' || (v % 16 + 10) || 'ThrAsp' ELSE 'Ala' || (v + 10) || 'Ala' END AS aa_change,
+          'S' || s AS sample_id, cast(a AS double) AS ao, cast(r AS double) AS ro, cast(a + r AS double) AS dp, cast(a * ((v + s) % 40) AS double) AS qa,
+          cast(r * ((v * 3 + s) % 40) AS double) AS qr, cast((v * 7 + s) % 99 AS double) AS gq, CASE WHEN (v + s) % 4 < 3 THEN cast((v + s) % 4 AS int) END AS genotype
+        FROM (SELECT l_suppkey AS s, l_partkey % 60 AS v, sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS a,
+          sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) AS r FROM lineitem GROUP BY l_suppkey, l_partkey % 60)""",
+    "phenotype": "SELECT 'S' || s_suppkey AS sample_id, s_suppkey % 3 = 0 AS affected FROM supplier WHERE s_suppkey % 5 <> 4",
     "sample_meta": """
-        SELECT 'S' || s_suppkey AS sample_id, n_name AS site, r_name AS region, s_nationkey * 2.5 - 30 AS latitude, s_nationkey * 3.25 AS longitude,
+        SELECT 'S' || s_suppkey AS sample_id, n_name AS site, r_name AS region, cast(s_nationkey * 2.5 - 30 AS double) AS latitude, cast(s_nationkey * 3.25 AS double) AS longitude,
           2015 + s_suppkey % 5 AS year
         FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "intervals": """
