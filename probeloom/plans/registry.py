@@ -71,6 +71,14 @@ VIEWS: dict[str, str] = {
           cast(r * ((v * 3 + s) % 40) AS double) AS qr, cast((v * 7 + s) % 99 AS double) AS gq, CASE WHEN (v + s) % 4 < 3 THEN cast((v + s) % 4 AS int) END AS genotype
         FROM (SELECT l_suppkey AS s, l_partkey % 60 AS v, sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS a,
           sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) AS r FROM lineitem GROUP BY l_suppkey, l_partkey % 60)""",
+    "transcripts": """
+        SELECT 'NM' || p_partkey AS name, 'gene' || p_partkey % 700 AS gene, CASE WHEN p_partkey % 97 = 5 THEN 'chr1_alt' ELSE 'chr' || (p_partkey % 700 % 14 + 1) END AS chrom,
+          CASE WHEN p_partkey % 700 % 2 = 0 THEN '+' ELSE '-' END AS strand, b AS tx_start, b + 900 AS tx_end, b + 120 AS cds_start, b + 720 AS cds_end,
+          b AS e0, b + 200 + p_size AS f0, b + 300 AS e1, b + 380 + p_size AS f1, b + 600 AS e2, b + 900 AS f2
+        FROM (SELECT p_partkey, p_size, cast(p_partkey % 700 * 1000 + 1000 AS bigint) AS b FROM part)""",
+    "exon_rows": """
+        SELECT name, gene, chrom, strand, e0 + 1 AS start, f0 AS stop FROM transcripts UNION ALL SELECT name, gene, chrom, strand, e1 + 1, f1 FROM transcripts
+        UNION ALL SELECT name, gene, chrom, strand, e2 + 1, f2 FROM transcripts""",
     "phenotype": "SELECT 'S' || s_suppkey AS sample_id, s_suppkey % 3 = 0 AS affected FROM supplier WHERE s_suppkey % 5 <> 4",
     "sample_meta": """
         SELECT 'S' || s_suppkey AS sample_id, n_name AS site, r_name AS region, cast(s_nationkey * 2.5 - 30 AS double) AS latitude, cast(s_nationkey * 3.25 AS double) AS longitude,
