@@ -1,9 +1,7 @@
-"""Shared helpers: tables, the shared scratch folder, Arrow token batches and 64-bit hashing."""
+"""Shared helpers: tables, ranks, Arrow token batches and 64-bit hashing."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
+
 #: A word everywhere in this package: a run of characters that aren't ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
@@ -25,32 +25,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: spark.checkpoint.dir of the session, or a temporary one where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet below the shared scratch folder and read it back: cuts lineage, survives lost executors.
-
-    The files go when the application ends.
-    """
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    top = f"{scratch_root(spark)}/probeloom-{spark.sparkContext.applicationId}"
-    path = jvm.org.apache.hadoop.fs.Path(top)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(path)
-    fs.deleteOnExit(path)
-    target = f"{top}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
-
-
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

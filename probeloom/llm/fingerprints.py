@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, ranked, read
+from ..scratch import materialize
+from .common import WORD, ranked, read
 
 SHINGLE = 5
 BIN_BITS = 7

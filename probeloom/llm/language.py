@@ -13,7 +13,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Tokens, materialize, read, slices
+from ..scratch import materialize
+from .common import Tokens, read, slices
 
 #: The training sample: so many documents of each language at most, of each a stretch of so many characters.
 DOCS_PER_LANGUAGE = 600

@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower, materialize, read
+from ..scratch import materialize
+from .common import SPACES, ascii_lower, read
 
 MIN_CHARS = 10
 _EVENT = "kind int, doc_id long, t long, pos int, h1 long, h2 long"

@@ -11,11 +11,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Tokens, materialize, mix, read, slices, window_hashes
-from .components import components
+from ..scratch import materialize
+from .common import Tokens, mix, read, slices, window_hashes
+from ..operators.components import components
 
 SHINGLE = 5
 BANDS, ROWS = 40, 4
@@ -120,6 +121,14 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
+def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        sets = shingle_sets(Tokens(batch.column("text")))
+        row = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+        shingle = pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("rep", "component", "n_shingles")), shingle], names=["rep", "component", "n_shingles", "shingle"])
+
+
 def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     """Of pairs (a, b), those whose full sets are similar enough."""
     size = reps.select("rep", "n_shingles", "sketch", "key")
@@ -133,6 +142,30 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(_verify, "a long, b long")
 
 
+def _prefix_pairs(open_: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs of different components that share a shingle among each text's rarest: an exact filter, without bands.
+
+    Two sets as similar as asked share one of the n - ceil(0.75 n) + 1 rarest shingles of each, in any common order.
+    Ordered by how many of these texts hold a shingle, passages that many texts share are looked at last or never.
+    """
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(open_, "rep")
+    rows = materialize(texts.mapInArrow(_explode_sets, "rep long, component long, n_shingles long, shingle long"), "open-shingles")
+    held = rows.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1")
+    own = Window.partitionBy("rep")
+    common = rows.join(held, "shingle").withColumns({"_at": F.row_number().over(own.orderBy("held", "shingle")), "_common": F.count("*").over(own)})
+    prefix = F.col("n_shingles") - F.floor((PERCENT * F.col("n_shingles") + 99) / 100) + 1
+    rare = materialize(common.where(F.col("_at") + F.col("n_shingles") - F.col("_common") <= prefix).select("rep", "component", "n_shingles", "shingle"), "open-prefixes")
+
+    # a shingle's largest component meets the others, never itself
+    parts = rare.groupBy("shingle", "component").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("shingle").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("shingle", F.col("top.component").alias("largest"))
+    rare = rare.join(largest, "shingle")
+    x, y = (rare.select("shingle", "largest", F.col("rep").alias(c), F.col("component").alias(f"c{c}"), F.col("n_shingles").alias(f"n{c}")) for c in "xy")
+    meets = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("largest")) | (F.col("x") < F.col("y"))) & (100 * F.least("nx", "ny") >= PERCENT * F.greatest("nx", "ny"))
+    pairs = x.where("cx <> largest").join(y.drop("largest"), "shingle").where(meets)
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs.
 
@@ -162,14 +195,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     links = materialize(_linked(starred, reps, docs), "star-links")
     found = components(links)
 
-    # then whatever the stars left apart: members of one bucket that are of different components and similar in size
-    label = members.join(found, members["rep"] == found["node"], "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    label = materialize(label.join(reps.select("rep", "n_shingles"), "rep"), "labels")
+    # then whatever the stars left apart: members of one bucket that are of different components
+    label = members.where("n > 2").join(found, members["rep"] == found["node"], "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    label = materialize(label, "labels")
     apart = label.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    open_ = label.where("n > 2").join(apart, "bucket", "left_semi")
-    x, y = (open_.select("bucket", F.col("rep").alias(c), F.col("component").alias(f"c{c}"), F.col("n_shingles").alias(f"n{c}")) for c in "ab")
-    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
-    rest = x.join(y, "bucket").where(fits).select("a", "b").distinct().join(starred, ["a", "b"], "left_anti")
+    open_ = label.join(apart, "bucket", "left_semi").select("rep", "component").distinct().join(reps.select("rep", "n_shingles"), "rep")
+    rest = _prefix_pairs(materialize(open_, "open"), docs).join(starred, ["a", "b"], "left_anti")
     more = materialize(_linked(rest, reps, docs), "more-links")
     if more.limit(1).count():
         found = components(links.unionByName(more))

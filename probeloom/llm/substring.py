@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Tokens, materialize, read, slices, window_hashes
+from ..scratch import materialize
+from .common import Tokens, read, slices, window_hashes
 
 #: The last level. The level before it looks at windows of half as many words.
 WINDOW = 50
