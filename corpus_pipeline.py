@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probeloom.llm import decontaminate, language, minhash, mixing, sharding
-from probeloom.llm.common import materialize, read
+from probeloom.llm.common import read
+from probeloom.scratch import materialize
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
