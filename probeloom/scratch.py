@@ -17,18 +17,19 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet below the shared scratch folder and read it back: cuts lineage, survives lost executors.
-
-    The files go when the application ends.
-    """
-    spark = df.sparkSession
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared scratch folder; what is written there goes when the application ends."""
     jvm = spark.sparkContext._jvm
     top = f"{scratch_root(spark)}/probeloom-{spark.sparkContext.applicationId}"
     path = jvm.org.apache.hadoop.fs.Path(top)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.mkdirs(path)
     fs.deleteOnExit(path)
-    target = f"{top}/{name}-{uuid.uuid4().hex}"
+    return f"{top}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write df as Parquet below the shared scratch folder and read it back: cuts lineage, survives lost executors."""
+    target = scratch_path(df.sparkSession, name)
     df.write.parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)
