@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from ..scratch import materialize
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node points to one other at most, and none that points is pointed to."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    nodes = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return not nodes.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0))).limit(1).count()
+
+
 def components(links: DataFrame) -> DataFrame:
     """Columns node and component, the smallest node reachable, for each node of links (columns a and b, a <> b).
 
@@ -17,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges = materialize(edges, "links")
-    while edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count() or edges.groupBy("u").count().where("count > 1").limit(1).count():
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
