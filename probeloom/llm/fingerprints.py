@@ -95,12 +95,13 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     prior = order.select(F.col("k").alias("pk"), F.col("text_hash").alias("ph"), (F.col("n_chars") - F.col("n_chars") % 3).alias("pn"), ((F.col("rank") + 1) % total).alias("rank"))
     after = materialize(order.join(prior, "rank").select("k", "text_hash", "pk", "ph", (F.col("pn") / 3).cast("int").alias("need"), F.col("fingerprint").alias("next_fingerprint")), "next")
 
-    texts = rows.select(key, F.xxhash64("text").alias("text_hash"), "doc_id", "text")
+    texts = rows.select(key, F.xxhash64("text").alias("text_hash"), "text")  # both joins take just these columns, so they share one shuffle
     heads = texts.join(after, ["k", "text_hash"]).select(F.col("pk").alias("k"), F.col("ph").alias("text_hash"), F.substring("text", F.lit(1), F.col("need")).alias("head"), "next_fingerprint", "need")
     heads = heads.groupBy("k", "text_hash").agg(F.first("head").alias("head"), F.first("next_fingerprint").alias("next_fingerprint"), F.first("need").alias("need"))
     joined = texts.join(heads, ["k", "text_hash"]).join(own.select("k", "text_hash", "n_chars", "fingerprint"), ["k", "text_hash"])
     edited = joined.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - F.col("need")).cast("int")), F.col("head"))).drop("text", "head")
-    printed = edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited")).alias("edited_fingerprint"), "next_fingerprint")
+    doc_id = F.nullif(F.col("k"), F.lit(-(1 << 63)).cast("long")).alias("doc_id")
+    printed = edited.select(doc_id, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited")).alias("edited_fingerprint"), "next_fingerprint")
     return printed.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
 
 
