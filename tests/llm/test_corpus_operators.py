@@ -489,3 +489,19 @@ def test_substring_edges(spark):
     by = {r["doc_id"]: r for r in out if r["doc_id"]}
     assert by[7]["n_removed"] == 30_000 and by[7]["kept"] == "tail" and by[6]["n_removed"] == 0
     assert substring.substring_dedup(docs_of(spark, [])).count() == 0
+
+
+def test_near_duplicates_just_below_the_threshold(spark):
+    """A group around one text: many copies a little too far from it, some of which are linked to each other."""
+    rng = random.Random(14)
+    base = words(rng, 150).split()
+    rows = []
+    for d in range(150):
+        copy = list(base)
+        for k in rng.sample(range(5, 145), rng.choice([1, 3, 4, 4, 5, 5, 6])):
+            copy[k] = f"new{d if rng.random() < 0.7 else d % 7}x{k}"
+        rows.append((d, " ".join(copy)))
+    rows += [(200 + i, " ".join(rows[i][1].split()[: 120 + i])) for i in range(20)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(docs_of(spark, rows)).collect()}
+    assert got == brute_components(rows)
+    assert len({c for _, c in got.values()}) > 10
