@@ -142,11 +142,11 @@ def window_hashes(words: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     return mix(out + np.uint64(length))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about SLICE_BYTES of text each (a longer text stands alone)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about size bytes of text each (a longer text stands alone)."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        block = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+        block = (np.cumsum(sizes) - sizes) // size
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), batch.num_rows]
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             if hi > lo:

@@ -24,6 +24,8 @@ BUCKETS = 1 << 18
 UNKNOWN = "und"
 #: Documents whose language has a smaller share of the words are rejected by the filter.
 LEAST_SCORE = 0.5
+#: Texts are labelled in pieces of about so many bytes; the features of a piece take some hundred bytes for each.
+PREDICT_BYTES = 2 << 20
 
 #: Bytes that aren't part of a word: all but lower-case ASCII letters and bytes of other scripts' characters.
 _GAPS = np.ones(256, bool)
@@ -229,7 +231,7 @@ def train(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, chars: int = C
 def _predict(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
     model: Model = shared.value
     names, count = model.languages, len(model.languages)
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", PREDICT_BYTES):
         column = batch.column("text")
         has_letter = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
         features = Features(column)
