@@ -106,8 +106,8 @@ class Model:
     start: np.ndarray
 
 
-def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior of each word's label, for sequences laid one after another; and expected transitions, summed.
+def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, start: np.ndarray, count_moves: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior of each word's label, for sequences laid one after another; and expected transitions, summed, if asked.
 
     Sequences advance together, longest first, so that a step covers all that are still going.
     """
@@ -133,8 +133,9 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
         at = begins[: going[t]] + t
         if len(back):
             onward = back * local[at[: len(back)] + 1]
-            moved = ahead[at[: len(back)]][:, :, None] * step[None] * onward[:, None, :]
-            moves += (moved / moved.sum((1, 2), keepdims=True)).sum(0)
+            if count_moves:
+                moved = ahead[at[: len(back)]][:, :, None] * step[None] * onward[:, None, :]
+                moves += (moved / moved.sum((1, 2), keepdims=True)).sum(0)
             back = onward @ step.T
             back /= back.sum(1, keepdims=True)
         back = np.concatenate([back, np.ones((len(at) - len(back), labels))])
@@ -238,7 +239,7 @@ def _predict(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[p
         sizes = np.diff(features.first)
         languages, scores, segments = [], [], []
         if count:
-            posterior, _ = forward_backward(features.emissions(model.weights), sizes, model.transitions, model.start)
+            posterior, _ = forward_backward(features.emissions(model.weights), sizes, model.transitions, model.start, count_moves=False)
             weight = (features.ends - features.starts).astype(float)
             sums = np.concatenate([np.zeros((1, count)), np.cumsum(posterior * weight[:, None], axis=0)])
             total = sums[features.first[1:]] - sums[features.first[:-1]]
