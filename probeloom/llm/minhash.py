@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from ..scratch import materialize
 from .common import Tokens, mix, read, slices, window_hashes
-from ..operators.components import components
 
 SHINGLE = 5
 BANDS, ROWS = 40, 4
@@ -121,12 +121,31 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
-def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coordinates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's shingles (space 0), and for texts near their pivot what the two sets don't share (space = pivot).
+
+    size is the number of elements of a text in its space; family tells texts near one pivot from the rest.
+    """
     for batch in slices(batches, "text"):
-        sets = shingle_sets(Tokens(batch.column("text")))
-        row = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
-        shingle = pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("rep", "component", "n_shingles")), shingle], names=["rep", "component", "n_shingles", "shingle"])
+        sets, pivots = (shingle_sets(Tokens(batch.column(c))) for c in ("text", "pivot_text"))
+        cols = {c: batch.column(c).to_numpy() for c in ("rep", "component", "n_shingles", "pivot", "pivot_component")}
+        out = {c: [] for c in ("space", "rep", "component", "family", "n_shingles", "size", "pivot_size", "linked", "shingle")}
+        for i, (own, pivot) in enumerate(zip(sets, pivots, strict=True)):
+            apart = np.setxor1d(own, pivot, assume_unique=True)
+            near = 3 * len(apart) <= len(own) + len(pivot)  # similarity 0.5 or more
+            component, top = cols["component"][i], cols["pivot"][i]
+            family = 2 * top + 1 if near else 2 * component
+            for space, elements in ((0, own), (top + 1, apart))[: 1 + near]:
+                n = len(elements)
+                fixed = (space, cols["rep"][i], component, family, len(own), n, len(pivot), component == cols["pivot_component"][i])
+                for c, v in zip(out, fixed, strict=False):
+                    out[c].append(np.full(n, v))
+                out["shingle"].append(elements.view(np.int64))
+        if sets:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in out.values()], names=list(out))
+
+
+_COORDINATES = "space long, rep long, component long, family long, n_shingles long, size long, pivot_size long, linked boolean, shingle long"
 
 
 def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
@@ -142,28 +161,63 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(_verify, "a long, b long")
 
 
-def _prefix_pairs(open_: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs of different components that share a shingle among each text's rarest: an exact filter, without bands.
+def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component; buckets of two were settled by their only pair."""
+    label = members.where("n > 2").join(found, members["rep"] == found["node"], "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    label = materialize(label, "labels")
+    apart = label.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
+    return materialize(label.join(apart, "bucket", "left_semi"), "open-members")
+
+
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links."""
+    links = materialize(links, "links")
+    if not links.limit(1).count():
+        return found
+    return components(found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+
+
+def _rare_pairs(open_: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs of different components that may be similar enough: an exact filter, without bands.
+
+    open_: rep, component, n_shingles, pivot, pivot_component. Elements are ordered by how many texts hold them, the
+    rarest first; two sets that must share o elements share one of the first size - o + 1 of each.
 
-    Two sets as similar as asked share one of the n - ceil(0.75 n) + 1 rarest shingles of each, in any common order.
-    Ordered by how many of these texts hold a shingle, passages that many texts share are looked at last or never.
+    Texts of different families are compared by their shingles: o is 0.75 of the larger set at least. Texts near one
+    pivot c differ from each other by exactly what their differences to c don't share, and similarity 0.75 allows
+    (n + m) / 7 such elements. At least one of the two, x, isn't linked to c, so its difference alone is over
+    (n + |c|) / 7, and the other must share more than half of its own difference with x. Passages that a whole group
+    shares are no part of the differences, so a group of copies doesn't meet in them.
     """
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(open_, "rep")
-    rows = materialize(texts.mapInArrow(_explode_sets, "rep long, component long, n_shingles long, shingle long"), "open-shingles")
-    held = rows.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1")
-    own = Window.partitionBy("rep")
-    common = rows.join(held, "shingle").withColumns({"_at": F.row_number().over(own.orderBy("held", "shingle")), "_common": F.count("*").over(own)})
-    prefix = F.col("n_shingles") - F.floor((PERCENT * F.col("n_shingles") + 99) / 100) + 1
-    rare = materialize(common.where(F.col("_at") + F.col("n_shingles") - F.col("_common") <= prefix).select("rep", "component", "n_shingles", "shingle"), "open-prefixes")
-
-    # a shingle's largest component meets the others, never itself
-    parts = rare.groupBy("shingle", "component").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("shingle").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("shingle", F.col("top.component").alias("largest"))
+    key = lambda c: docs.select(F.col("doc_id").alias(c), F.col("text").alias("text" if c == "rep" else "pivot_text"))
+    texts = open_.join(key("rep"), "rep").join(key("pivot"), "pivot").select("rep", "component", "n_shingles", "pivot", "pivot_component", "text", "pivot_text")
+    rows = materialize(texts.mapInArrow(_coordinates, _COORDINATES), "coordinates")
+    held = rows.groupBy("space", "shingle").agg(F.count("*").alias("held")).where("held > 1")
+    own = Window.partitionBy("space", "rep")
+    common = rows.join(held, ["space", "shingle"]).withColumns({"_at": F.row_number().over(own.orderBy("held", "shingle")), "_common": F.count("*").over(own)})
+    # elements that no other text holds come first
+    placed = materialize(common.withColumn("at", F.col("_at") + F.col("size") - F.col("_common")).drop("_at", "_common", "held"), "placed")
+
+    # different families: a shingle's largest family meets the others, never itself
+    prefix = F.col("size") - F.floor((PERCENT * F.col("size") + 99) / 100) + 1
+    rare = placed.where((F.col("space") == 0) & (F.col("at") <= prefix)).select("shingle", "rep", "component", "family", "n_shingles")
+    parts = rare.groupBy("shingle", "family").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("shingle").agg(F.max(F.struct("n", "family")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("shingle", F.col("top.family").alias("largest"))
     rare = rare.join(largest, "shingle")
-    x, y = (rare.select("shingle", "largest", F.col("rep").alias(c), F.col("component").alias(f"c{c}"), F.col("n_shingles").alias(f"n{c}")) for c in "xy")
-    meets = (F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("largest")) | (F.col("x") < F.col("y"))) & (100 * F.least("nx", "ny") >= PERCENT * F.greatest("nx", "ny"))
-    pairs = x.where("cx <> largest").join(y.drop("largest"), "shingle").where(meets)
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    x, y = (rare.select("shingle", "largest", F.col("rep").alias(c), F.col("component").alias(f"c{c}"), F.col("family").alias(f"f{c}"), F.col("n_shingles").alias(f"n{c}")) for c in "xy")
+    meets = (F.col("fx") != F.col("fy")) & (F.col("cx") != F.col("cy")) & ((F.col("fy") == F.col("largest")) | (F.col("x") < F.col("y"))) & (100 * F.least("nx", "ny") >= PERCENT * F.greatest("nx", "ny"))
+    across = x.where("fx <> largest").join(y.drop("largest"), "shingle").where(meets).select("x", "y")
+
+    # one family: texts that aren't linked to the pivot meet the rarer half of each other difference
+    inside = placed.where("space > 0")
+    least = F.floor((7 * F.col("size") + F.col("pivot_size") - F.col("n_shingles")) / 14) + 1
+    side = lambda c: [F.col("rep").alias(c), F.col("component").alias(f"c{c}"), F.col("n_shingles").alias(f"n{c}"), F.col("size").alias(f"s{c}"), F.col("at").alias(f"a{c}")]
+    loose = inside.where("not linked").select("space", "shingle", *side("x"))
+    half = inside.where(F.col("at") <= F.col("size") - F.greatest(least, F.lit(1)) + 1).select("space", "shingle", *side("y"))
+    needed = F.greatest(F.floor((7 * (F.col("sx") + F.col("sy")) - F.col("nx") - F.col("ny") + 13) / 14), F.lit(1))
+    meets = (F.col("cx") != F.col("cy")) & (F.col("ax") <= F.col("sx") - needed + 1) & (F.col("ay") <= F.col("sy") - needed + 1)
+    within = loose.join(half, ["space", "shingle"]).where(meets).select("x", "y")
+    return across.unionByName(within).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -190,20 +244,20 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     # first each bucket's most central member against the others of the bucket: one pair for each member
     central = members.groupBy("rep").agg(F.sum("n").alias("weight"))
     weighed = members.join(central, "rep")
-    pivots = weighed.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("top")).select("bucket", (-F.col("top.rep")).alias("pivot"))
-    starred = members.join(pivots, "bucket").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-    links = materialize(_linked(starred, reps, docs), "star-links")
-    found = components(links)
-
-    # then whatever the stars left apart: members of one bucket that are of different components
-    label = members.where("n > 2").join(found, members["rep"] == found["node"], "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    label = materialize(label, "labels")
-    apart = label.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    open_ = label.join(apart, "bucket", "left_semi").select("rep", "component").distinct().join(reps.select("rep", "n_shingles"), "rep")
-    rest = _prefix_pairs(materialize(open_, "open"), docs).join(starred, ["a", "b"], "left_anti")
-    more = materialize(_linked(rest, reps, docs), "more-links")
-    if more.limit(1).count():
-        found = components(links.unionByName(more))
+    pivots = weighed.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("top")).select("bucket", F.col("top.weight").alias("weight"), (-F.col("top.rep")).alias("pivot"))
+    starred = members.join(pivots, "bucket").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
+    starred = materialize(starred.distinct(), "starred")
+    found = components(materialize(_linked(starred, reps, docs), "star-links"))
+
+    # then whatever is still apart in a bucket, by an exact filter
+    open_ = _open_members(members, found)
+    if open_.limit(1).count():
+        main = members.join(pivots, "bucket").groupBy("rep").agg(F.max(F.struct("weight", "pivot"))["pivot"].alias("pivot"))
+        whose = found.select(F.col("node").alias("pivot"), F.col("component").alias("_own"))
+        open_ = open_.select("rep", "component").distinct().join(reps.select("rep", "n_shingles"), "rep").join(main, "rep")
+        open_ = open_.join(whose, "pivot", "left").withColumn("pivot_component", F.coalesce("_own", "pivot")).drop("_own")
+        rest = _rare_pairs(materialize(open_, "open"), docs).join(starred, ["a", "b"], "left_anti")
+        found = _joined(found, _linked(rest, reps, docs))
 
     classes = reps.join(found, reps["rep"] == found["node"], "left").select(F.col("key").alias("_key"), F.coalesce("component", "rep").alias("_component"))
     out = rows.join(classes, (rows["key"] == classes["_key"]) & rows["doc_id"].isNotNull(), "left")
