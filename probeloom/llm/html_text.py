@@ -14,11 +14,15 @@ from .common import read, slices
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|object|svg|math|textarea|select|head|title)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
+#: Elements that go with all they hold. The second kind holds markup, so one that is never closed is taken as empty.
+_RAW_TEXT = frozenset("script style iframe textarea title".split())
+_RAW = _RAW_TEXT | frozenset("noscript template object svg math select".split())
+_RAW_END = {t: re.compile(rf"</{t}(?![^\s/>])[^>]*(?:>|\Z)", re.I) for t in _RAW}
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/\s*$")
 _ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,7 +53,8 @@ class _Page:
         container, junk, header, link = 0, 0, 0, 0
         heading = False
         at = 0
-        for m in _TOKEN.finditer(source):
+        unclosed: set[str] = set()
+        while m := _TOKEN.search(source, at):
             if m.start() > at and (not junk or (header and heading and junk == header)):
                 self._add(source[at : m.start()], link)
             at = m.end()
@@ -65,6 +70,18 @@ class _Page:
                     link = max(0, link - 1)
                     continue
                 if tag in _INLINE:
+                    # closes its own start if that was kept, but no block around it
+                    for i in range(len(stack) - 1, -1, -1):
+                        if stack[i][0] == tag:
+                            if any(x[0] == "p" for x in stack[i + 1 :]):
+                                self._flush(container)
+                            _, container, junk, header = stack[i]
+                            del stack[i:]
+                            break
+                        if stack[i][0] != "p" and stack[i][0] not in _INLINE:
+                            break
+                    continue
+                if tag == "head" or tag in _RAW:
                     continue
                 self._flush(container)
                 if tag in _HEADINGS:
@@ -80,14 +97,35 @@ class _Page:
             if tag == "a":
                 link += 1
                 continue
-            if tag in _INLINE and not (attrs and self._is_junk(tag, attrs)):
+            if tag in _RAW:
+                if tag not in unclosed and not _SELF_CLOSED.search(attrs):
+                    end = _RAW_END[tag].search(source, at)
+                    if end:
+                        at = end.end()
+                    elif tag in _RAW_TEXT:
+                        at = len(source)
+                    else:
+                        unclosed.add(tag)
+                continue
+            if tag == "head":  # of what it may hold only raw elements have text
+                continue
+            if tag in _INLINE:
+                # one that goes is kept on the stack until its end, and so are others of its name inside it
+                found = bool(attrs) and self._is_junk(tag, attrs)
+                if (found or any(x[0] == tag for x in stack)) and not _SELF_CLOSED.search(attrs):
+                    stack.append((tag, container, junk, header))
+                    junk += found
                 continue
             self._flush(container)
             if tag in _VOID:
                 continue
             if tag in ("p", *_HEADINGS, "li"):  # these end a paragraph that was left open
-                if tag != "li" and stack and stack[-1][0] == "p":
-                    _, container, junk, header = stack.pop()
+                i = len(stack) - 1
+                while i >= 0 and stack[i][0] in _INLINE:
+                    i -= 1
+                if tag != "li" and i >= 0 and stack[i][0] == "p":
+                    _, container, junk, header = stack[i]
+                    del stack[i:]
                 link = 0
                 heading = tag in _HEADINGS
             stack.append((tag, container, junk, header))

@@ -160,6 +160,29 @@ def test_html_extraction(spark):
     assert html_text.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def text_of(source):
+    return html_text._Page(source).text(None)
+
+
+def test_html_inline_junk_ends_at_its_end_tag():
+    assert text_of('<article><p>one <span class="share">x</span> two</p></article>') == "one two"
+    assert text_of('<article><p>one <span class="share">x <span>y</span> z</span> two <span>three</span></p></article>') == "one two three"
+    for empty in ('<i class="icon" aria-hidden="true"></i>', '<span class="meta">by A</span>', '<time class="byline">now</time>', '<i hidden="hidden"/>'):
+        for tag in ("article", "div", "section"):
+            assert text_of(f"<{tag}><p>one</p>{empty}<p>two</p><p>three</p></{tag}><p>four</p>").startswith("one\n\ntwo\n\nthree")
+    assert text_of('<article><p>one <span class="share">x<p>two</p></article>') == "one\n\ntwo"
+    assert text_of('<article><div class="share"><span>x</span> y</span> z</div><p>one</p></article>') == "one"
+
+
+def test_html_raw_elements_end():
+    assert text_of("<html><head><title>T</title><script>x</script><body><article><p>one</p></article></body></html>") == "one"
+    assert text_of("<html><head><meta charset=utf-8><title>T</title><article><p>one</p></article></html>") == "one"
+    for empty in ("<svg/>", '<iframe src="x"/>', "<object data='x' />", "<svg>", "<object data=x>"):
+        assert text_of(f"<article><p>one</p>{empty}<p>two</p></article>") == "one\n\ntwo"
+    assert text_of("<article><p>one</p><svg/><p>two</p><svg><text>x</text></svg><p>three</p></article>") == "one\n\ntwo\n\nthree"
+    assert text_of("<article><p>one</p><script>var a='<p>x") == "one"
+
+
 # --- 3 decontamination --------------------------------------------------------------------------------------------
 
 
