@@ -30,16 +30,57 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _CONTAINERS = frozenset("html body main article section div td center blockquote".split())
 _JUNK_TAGS = frozenset("nav footer aside form button menu dialog fieldset audio video canvas map".split())
 _JUNK_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar".split())
-#: Words in class and id attributes that name what isn't part of an article.
+#: Words in class and id attributes that name what isn't part of an article: parts of a class, unless a word before them
+#: says that they describe something else, and words that count as whole classes only.
 _JUNK_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|adslot|banners?|sponsor(?:ed|s)?|promo(?:tion|s)?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?"
-    r"|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|side|rail|widgets?|footers?|foot|masthead|topbar|toolbar|share|sharing|social|follow|related|recommend(?:ed|ations?)?|more|teasers?"
-    r"|headers?|newsletters?|subscri(?:be|ption)|signup|login|search|pag(?:er|ination)|tags|comments?|commentlist|respond|reply|replies|disqus|discussion|copyright|legal|skip|hidden|print|byline|meta)(?:$|[\s_-])",
+    r"(?:^|(?<=[\s_-]))(?<!\bhas[_-])(?<!\bhave[_-])(?<!\bno[_-])(?<!\bnot[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?<!\bin[_-])(?:(?P<header>headers?)"
+    r"|ads?|adverts?|advertisements?|adsense|adslot|banners?|sponsor(?:ed|s)?|promo(?:tion|s)?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?"
+    r"|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|widgets?|footers?|masthead|topbar|toolbar|share|sharing|social|follow|related|recommend(?:ed|ations?)?|teasers?"
+    r"|newsletters?|subscri(?:be|ption)|signup|login|search|pag(?:er|ination)|comments?|commentlist|respond|replies|disqus|discussion|copyright|legal|byline|meta"
+    r"|(?<!\S)(?:side|rail|foot|more|tags|reply|skip|hidden|is-hidden|print)(?!\S))(?=$|[\s_-])",
     re.I,
 )
+#: Whole classes and ids of what readers wrote: it may be longer than the article.
+_REPLIES = re.compile(r"(?<!\S)(?:comments?|comments?[_-]?(?:list|area|section|thread)|disqus(?:[_-]thread)?|respond|replies|discussion)(?!\S)", re.I)
+#: Whole classes and ids that leave no doubt: such an element stays only for an article, main or h1 inside.
+_SURE = re.compile(
+    r"(?<!\S)(?:ads?|adverts?|advertisements?|adsense|ads?[_-]?(?:slot|box|container|wrapper|banner|unit)|banners?|sponsor(?:ed|s)?|promo(?:tion|s)?|(?:cookies?|consent|gdpr)(?:[_-]\S+)?|popups?|modals?"
+    r"|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|footers?|masthead|topbar|toolbar|share|sharing|newsletters?|subscri(?:be|ption)|signup|login|pagination|copyright)(?!\S)",
+    re.I,
+)
+#: A header by such a name is the article's own, and its headings stay.
+_OF_ARTICLE = re.compile(r"(?:^|[\s_-])(?:entry|post|article|story|content)[_-]", re.I)
+#: What is junk by other words stays if all that goes by its word holds more than this share of the page's text outside links.
+_MOST, _MOST_WITH_ARTICLE = 0.5, 0.2
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+class _Named:
+    """An element that may go by a word in its class or id; core: an article, main or h1 is inside."""
+
+    __slots__ = ("core", "goes", "key", "main", "mine", "outer", "replies", "sure")
+
+    def __init__(self, outer: _Named | None, named: str, within_article: bool):
+        word = _JUNK_WORDS.search(named)
+        self.outer, self.key = outer, word[0].lower()
+        self.replies, self.sure = bool(_REPLIES.search(named)), bool(_SURE.search(named))
+        #: an article's header, which keeps its headings
+        self.mine = bool(word["header"]) and (within_article or bool(_OF_ARTICLE.search(named)))
+        self.core = self.main = self.goes = False
+
+    def decide(self, share: float) -> None:
+        """share: of the page's text outside links, in the elements that go by the same word."""
+        self.sure = not self.main if self.replies else self.sure and not self.core
+        self.goes = self.sure or share <= (_MOST_WITH_ARTICLE if self.core else _MOST)
+
+    def holds(self) -> Iterator[_Named]:
+        """This element and those around it."""
+        x: _Named | None = self
+        while x:
+            yield x
+            x = x.outer
+
+
 class _Page:
     """Blocks of text of a page in order, and its containers' paths; one pass over the tags."""
 
@@ -47,15 +88,18 @@ class _Page:
         self.paths: list[str] = [""]  # of containers; the first stands for the page
         self.parents: list[int] = [-1]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters inside links
+        self._named: list[_Named] = []  # elements that may go by their names
+        self._marks: list[tuple[_Named | None, bool]] = []  # by block: the innermost of them around it, heading
+        self._within: _Named | None = None
+        self._heading = False
         self._text: list[str] = []
         self._linked = 0
-        stack: list[tuple[str, int, int, int]] = []  # tag, container, depth of junk, header kind
+        stack: list[tuple[str, int, int, int, _Named | None]] = []  # tag, container, depth of junk, header kind, named
         container, junk, header, link = 0, 0, 0, 0
-        heading = False
         at = 0
         unclosed: set[str] = set()
         while m := _TOKEN.search(source, at):
-            if m.start() > at and (not junk or (header and heading and junk == header)):
+            if m.start() > at and (not junk or (header and self._heading and junk == header)):
                 self._add(source[at : m.start()], link)
             at = m.end()
             tag = m["tag"]
@@ -75,7 +119,7 @@ class _Page:
                         if stack[i][0] == tag:
                             if any(x[0] == "p" for x in stack[i + 1 :]):
                                 self._flush(container)
-                            _, container, junk, header = stack[i]
+                            _, container, junk, header, self._within = stack[i]
                             del stack[i:]
                             break
                         if stack[i][0] != "p" and stack[i][0] not in _INLINE:
@@ -85,10 +129,10 @@ class _Page:
                     continue
                 self._flush(container)
                 if tag in _HEADINGS:
-                    heading = False
+                    self._heading = False
                 if any(x[0] == tag for x in stack):
                     while stack:
-                        top, container, junk, header = stack.pop()
+                        top, container, junk, header, self._within = stack.pop()
                         if top == tag:
                             break
                     link = 0
@@ -111,9 +155,9 @@ class _Page:
                 continue
             if tag in _INLINE:
                 # one that goes is kept on the stack until its end, and so are others of its name inside it
-                found = bool(attrs) and self._is_junk(tag, attrs)
+                found = bool(attrs) and (self._is_junk(tag, attrs) or bool(self._is_named(tag, attrs)))
                 if (found or any(x[0] == tag for x in stack)) and not _SELF_CLOSED.search(attrs):
-                    stack.append((tag, container, junk, header))
+                    stack.append((tag, container, junk, header, self._within))
                     junk += found
                 continue
             self._flush(container)
@@ -124,11 +168,11 @@ class _Page:
                 while i >= 0 and stack[i][0] in _INLINE:
                     i -= 1
                 if tag != "li" and i >= 0 and stack[i][0] == "p":
-                    _, container, junk, header = stack[i]
+                    _, container, junk, header, self._within = stack[i]
                     del stack[i:]
                 link = 0
-                heading = tag in _HEADINGS
-            stack.append((tag, container, junk, header))
+                self._heading = tag in _HEADINGS
+            stack.append((tag, container, junk, header, self._within))
             if tag == "header":
                 # a page's header goes; of an article's header the headings stay
                 inside = any(x[0] in ("article", "main") for x in stack[:-1])
@@ -136,6 +180,12 @@ class _Page:
                 header = junk if inside else 0
             elif self._is_junk(tag, attrs):
                 junk += 1
+            elif not junk and (named := self._is_named(tag, attrs)):
+                self._within = _Named(self._within, named, any(x[0] in ("article", "main") for x in stack[:-1]))
+                self._named.append(self._within)
+            if tag in ("article", "main", "h1") and not junk and self._within:
+                for x in self._within.holds():
+                    x.core, x.main = True, x.main or tag != "article"
             if tag in _CONTAINERS:
                 self.parents.append(container)
                 self.paths.append(f"{self.paths[container]}/{tag}{self._classes(attrs)}")
@@ -143,6 +193,7 @@ class _Page:
         if at < len(source) and not junk:
             self._add(source[at:], link)
         self._flush(container)
+        self._drop_named()
 
     def _add(self, text: str, link: int) -> None:
         self._text.append(text)
@@ -154,22 +205,48 @@ class _Page:
             text = " ".join(html.unescape("".join(self._text)).split())
             if text:
                 self.blocks.append((container, text, min(self._linked, len(text))))
+                self._marks.append((self._within, self._heading))
             self._text = []
         self._linked = 0
 
+    def _drop_named(self) -> None:
+        """Of the elements that may go by their names, drop those that can't hold the article."""
+        if not self._named:
+            return
+        around = [list(x.holds()) if x else [] for x, _ in self._marks]
+        unlinked = [len(text) - linked for _, text, linked in self.blocks]
+        like: dict[str, int] = {}
+        for xs, n in zip(around, unlinked, strict=True):
+            for key in {x.key for x in xs}:
+                like[key] = like.get(key, 0) + n
+        for x in self._named:
+            x.decide(like.get(x.key, 0) / max(sum(unlinked), 1))
+        stays = [not any(x.goes and not (x.mine and heading) for x in xs) for xs, (_, heading) in zip(around, self._marks, strict=True)]
+        if not any(s and n for s, n in zip(stays, unlinked, strict=True)):  # the page would be empty
+            stays = [not any(x.sure for x in xs) for xs in around]
+        self.blocks = [b for b, s in zip(self.blocks, stays, strict=True) if s]
+
     @staticmethod
     def _attributes(attrs: str) -> dict[str, str]:
         return {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)} if attrs.strip() else {}
 
     def _is_junk(self, tag: str, attrs: str) -> bool:
+        """Whether an element goes by its tag, state or role."""
         if tag in _JUNK_TAGS:
             return True
         found = self._attributes(attrs)
         if not found or tag in ("html", "body", "article", "main"):
             return False
-        named = f"{found.get('class', '')} {found.get('id', '')}".strip()
         styled = found.get("style", "").replace(" ", "").lower()
-        return "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in _JUNK_ROLES or "display:none" in styled or bool(named and _JUNK_WORDS.search(named))
+        return "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in _JUNK_ROLES or "display:none" in styled
+
+    def _is_named(self, tag: str, attrs: str) -> str:
+        """The class and id of an element if a word in them says that it isn't part of an article."""
+        found = self._attributes(attrs)
+        if not found or tag in ("html", "body", "article", "main", *_HEADINGS):
+            return ""
+        named = f"{found.get('class', '')} {found.get('id', '')}".strip()
+        return named if named and _JUNK_WORDS.search(named) else ""
 
     def _classes(self, attrs: str) -> str:
         """The element's classes without numbers, so that pages made from one template agree."""

@@ -183,6 +183,28 @@ def test_html_raw_elements_end():
     assert text_of("<article><p>one</p><script>var a='<p>x") == "one"
 
 
+def test_html_names_dont_drop_the_article():
+    body = "<h1>Head</h1><p>First paragraph of the page.</p><p>Second paragraph of the page.</p>"
+    want = "Head\n\nFirst paragraph of the page.\n\nSecond paragraph of the page."
+    for name in ("overflow-hidden", "layout-with-sidebar", "content-no-sidebar", "post has-comments", "sidebar-right", "search-page", "more-content", "page-header-fixed"):
+        for tag in ("div", "section"):
+            assert text_of(f"<body><nav>Home</nav><{tag} class='{name}'>{body}</{tag}></body>") == want
+            assert text_of(f"<body><{tag} class='{name}'><p>One long paragraph.</p></{tag}><footer>f</footer></body>") == "One long paragraph."
+    sections = "".join(f"<section class='overflow-hidden teaser'><p>Part {i} of the page.</p></section>" for i in range(10))
+    assert text_of(f"<article>{sections}</article>").count("Part") == 10
+    for header in ("entry-header", "post-header"):
+        assert text_of(f"<div class='post'><div class='{header}'><h1>Head</h1><div class='meta'>by A</div></div><p>First paragraph of the page.</p></div>") == "Head\n\nFirst paragraph of the page."
+        assert text_of(f"<article><div class='{header}'><h1>Head</h1><span>by A</span></div><p>First paragraph of the page.</p></article>").startswith("Head\n\n")
+
+
+def test_html_names_drop_what_isnt_the_article():
+    body = "<p>First paragraph of the page.</p>"
+    for name in ("share-links", "cookie-notice", "related-posts", "sidebar", "sidebar-right", "hidden", "entry-meta", "ad", "site-header", "more"):
+        assert text_of(f"<article>{body}<div class='{name}'>Not of it</div></article>") == "First paragraph of the page."
+    replies = "<article class='comment'><p>I, a reader, have a long comment to make.</p></article>" * 9
+    assert text_of(f"<div>{body}<div id='comments'>{replies}</div></div>") == "First paragraph of the page."
+
+
 # --- 3 decontamination --------------------------------------------------------------------------------------------
 
 
