@@ -88,6 +88,7 @@ class _Page:
         self.paths: list[str] = [""]  # of containers; the first stands for the page
         self.parents: list[int] = [-1]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters inside links
+        self._flagged: dict[int, int] = {}  # by container: characters left out as junk
         self._named: list[_Named] = []  # elements that may go by their names
         self._marks: list[tuple[_Named | None, bool]] = []  # by block: the innermost of them around it, heading
         self._within: _Named | None = None
@@ -99,8 +100,11 @@ class _Page:
         at = 0
         unclosed: set[str] = set()
         while m := _TOKEN.search(source, at):
-            if m.start() > at and (not junk or (header and self._heading and junk == header)):
-                self._add(source[at : m.start()], link)
+            if m.start() > at:
+                if not junk or (header and self._heading and junk == header):
+                    self._add(source[at : m.start()], link)
+                else:
+                    self._flag(container, len(source[at : m.start()].strip()))
             at = m.end()
             tag = m["tag"]
             if tag is None:
@@ -200,6 +204,9 @@ class _Page:
         if link:
             self._linked += len(text)
 
+    def _flag(self, container: int, n: int) -> None:
+        self._flagged[container] = self._flagged.get(container, 0) + n
+
     def _flush(self, container: int) -> None:
         if self._text:
             text = " ".join(html.unescape("".join(self._text)).split())
@@ -224,6 +231,9 @@ class _Page:
         stays = [not any(x.goes and not (x.mine and heading) for x in xs) for xs, (_, heading) in zip(around, self._marks, strict=True)]
         if not any(s and n for s, n in zip(stays, unlinked, strict=True)):  # the page would be empty
             stays = [not any(x.sure for x in xs) for xs in around]
+        for (container, text, _), s in zip(self.blocks, stays, strict=True):
+            if not s:
+                self._flag(container, len(text))
         self.blocks = [b for b, s in zip(self.blocks, stays, strict=True) if s]
 
     @staticmethod
@@ -267,12 +277,38 @@ class _Page:
         whole = sum(out.values())
         return {p: round(1000 * x / whole) for p, x in out.items() if x > 0} if whole else {}
 
+    def _widened(self, start: int, gain: list[int]) -> int:
+        """The article or main around a container, and further out while that adds mostly text, not links or junk.
+
+        gain: by container, text outside links less the rest below it. Without an article or main all the page's
+        containers are open to it, otherwise those up to the main.
+        """
+        outer = [start]
+        while (up := self.parents[outer[-1]]) > 0:
+            outer.append(up)
+        tags = [re.split(r"[/.]", self.paths[i][len(self.paths[self.parents[i]]) + 1 :], maxsplit=1)[0] for i in outer]
+        marks = [k for k, tag in enumerate(tags) if tag in ("article", "main")]
+        best = marks[0] if marks else 0
+        last = (tags.index("main") if "main" in tags else best) if marks else len(outer) - 1
+        for k in range(best + 1, last + 1):
+            if gain[outer[k]] > gain[outer[best]]:
+                best = k
+        return outer[best]
+
     def text(self, path: str | None) -> str:
-        """The blocks below the path; below the page's own best container if it has no such path."""
+        """The blocks below the path, widened to the whole article; below the page's own best container if it has no such path."""
         if path is None or path not in self.paths:
             votes = self.scores()
             path = min(votes, key=lambda p: (-votes[p], len(p), p)) if votes else ""
-        inside = [p == path for p in self.paths]
+        gain = [0] * len(self.paths)
+        for container, text, linked in self.blocks:
+            gain[container] += len(text) - 2 * linked
+        for container, n in self._flagged.items():
+            gain[container] -= n
+        for i in range(len(gain) - 1, 0, -1):
+            gain[self.parents[i]] += gain[i]
+        chosen = {self._widened(i, gain) if i else 0 for i, p in enumerate(self.paths) if p == path}
+        inside = [i in chosen for i in range(len(self.paths))]
         for i, parent in enumerate(self.parents):
             inside[i] = inside[i] or (parent >= 0 and inside[parent])
         return "\n\n".join(text for container, text, _ in self.blocks if inside[container])
@@ -313,7 +349,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars for each row of pages (page_id, url, html).
 
-    text: the blocks of the host's winning container, white space in a block as one space, blocks joined by an empty
+    text: the blocks of the host's winning container and of the article around it, white space in a block as one space, blocks joined by an empty
     line. Navigation, page headers, footers, asides, adverts, notices, forms, scripts and comments are left out by tag,
     role, class or id. Null and empty html give an empty text; a null url is a host of its own; rows that repeat a
     page_id are extracted each. Other columns are ignored.

@@ -205,6 +205,21 @@ def test_html_names_drop_what_isnt_the_article():
     assert text_of(f"<div>{body}<div id='comments'>{replies}</div></div>") == "First paragraph of the page."
 
 
+def test_html_article_in_parts_is_whole():
+    lead, long, more = "A lead of some words.", "The long body of the article. " * 9, "A smaller part of the article. " * 4
+    long, more = long.strip(), more.strip()
+    rest = "<nav><a href='/'>Home</a></nav><div class='teaser'><a href='/x'>Another page of this host, by its title</a></div><footer>foot</footer>"
+    assert text_of(f"<body>{rest}<article><h1>Title</h1><p>{lead}</p><div class='body'><p>{long}</p></div></article>{rest}</body>") == f"Title\n\n{lead}\n\n{long}"
+    parts = f"<section class='a'><p>{more}</p></section><section class='b'><p>{long}</p></section><section class='c'><p>{lead}</p></section>"
+    want = f"{more}\n\n{long}\n\n{lead}"
+    for tag in ("article", "main", "div", "div class='post'"):
+        assert text_of(f"<body>{rest}<{tag}>{parts}</{tag.split()[0]}>{rest}</body>") == want
+    assert text_of(f"<main><h1>Title</h1><article><div><p>{long}</p></div></article></main>{rest}") == f"Title\n\n{long}"
+    assert text_of(f"<article><p>{more}</p><blockquote><p>{long}</p></blockquote><p>{lead}</p></article>") == want
+    links = "<div class='list'>" + "<p><a href='/y'>Another page of this host, by its title</a></p>" * 20 + "</div>"
+    assert text_of(f"<body><div class='post'><p>{long}</p></div>{links}</body>") == long
+
+
 # --- 3 decontamination --------------------------------------------------------------------------------------------
 
 
