@@ -425,6 +425,22 @@ def test_secret_spans_match_brute_force(spark):
     assert any("entropy" in x for x in got.values())
 
 
+def test_secret_catch_rates(spark):
+    rng = random.Random(12)
+    low, up, digit = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = {  # least shares caught at 20, 24 and 32 characters
+        "lower+digit": (low + digit, 0.94, 0.97, 0.99), "upper+digit": (up + digit, 0.94, 0.97, 0.99), "base32": (up + "234567", 0.92, 0.95, 0.98), "base62": (low + up + digit, 0.9, 0.95, 0.99),
+        "base64": (low + up + digit + "+/", 0.9, 0.95, 0.99), "letters": (low + up, 0.9, 0.95, 0.99), "hex": ("0123456789abcdef", 0.9, 0.95, 0.97), "lower": (low, 0.4, 0.6, 0.8),
+    }
+    kinds = [(name, n) for name in alphabets for n in (20, 24, 32)]
+    rows = [(i * 1000 + k, f"see {''.join(rng.choices(alphabets[name][0], k=n))} here") for i, (name, n) in enumerate(kinds) for k in range(300)]
+    found = secrets.secret_spans(docs_of(spark, rows)).where(F.size("entropy") > 0).groupBy(F.floor(F.col("doc_id") / 1000).alias("i")).count().collect()
+    got = {kinds[r["i"]]: r["count"] / 300 for r in found}
+    assert all(got[name, n] >= alphabets[name][i + 1] for name in alphabets for i, n in enumerate((20, 24, 32)))
+    plain = ["Donaudampfschifffahrtsgesellschaft", "internationalizationsupport", "getUserAccountInformationById", "some-article-title-in-a-path", "/usr/local/share/documents/letters", "------------------------"]
+    assert secrets.secret_spans(docs_of(spark, list(enumerate(plain)))).where(F.size("entropy") > 0).count() == 0
+
+
 def test_secret_edges(spark):
     out = secrets.secret_spans(edges(spark).withColumn("hex", F.lit("clash"))).collect()
     assert len(out) == 12 and sum(len(r["assign"]) + len(r["access"]) + len(r["hex"]) for r in out) == 0
