@@ -316,6 +316,13 @@ def concat_target_tables(spark, sf):
     return H.concat_target_tables([calls.where(F.col("mip") == m) for m in ("mip1", "mip2", "mip3")], "mip", "sample_id")
 
 
+@query("concat_target_tables_whole", "SELECT mip, sample_id, umi_count FROM calls")
+def concat_target_tables_whole(spark, sf):
+    calls = rows(spark, sf, "calls").select("mip", "sample_id", "umi_count")
+    mips = sorted(r["mip"] for r in calls.select("mip").distinct().collect())  # one table for each
+    return H.concat_target_tables([calls.where(F.col("mip") == m) for m in mips], "mip", "sample_id")
+
+
 @query("padded_reads", None)
 def padded_reads(spark, sf):
     haps = rows(spark, sf, "SELECT DISTINCT m.haplotype_id, m.mapped_copy_number, c.chrom, c.capture_start, c.capture_end, c.orientation, 40 AS umi_count, 'ACGTTA' AS haplotype_sequence, 'IIIIHH' AS sequence_quality FROM mapped AS m JOIN probe_copies AS c ON m.mip = c.mip AND m.copy = c.copy")

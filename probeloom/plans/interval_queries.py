@@ -65,6 +65,21 @@ def missed_targets(spark, sf):
     return I.missed_targets(rows(spark, sf, _T), rows(spark, sf, _COVERED), 10)
 
 
+_ALL = "SELECT chrom, start, stop FROM intervals"
+_SUBTRACT_ALL = _SUBTRACT.replace(_COVERED, _ALL)
+
+
+@query("subtract_intervals_whole", f"WITH {_SUBTRACT_ALL} SELECT * FROM sb WHERE stop - start > 3")
+def subtract_intervals_whole(spark, sf):
+    return I.subtract_intervals(rows(spark, sf, _T), rows(spark, sf, _ALL), 3, bin_size=500)
+
+
+@query("missed_targets_whole", f"""WITH {_SUBTRACT_ALL}, l AS (SELECT * FROM sb WHERE stop - start > 0 AND stop - start + 1 >= 10)
+SELECT l.chrom, l.start, l.stop, string_agg(DISTINCT t.name, ',' ORDER BY t.name) AS names FROM l JOIN targets AS t ON l.chrom = t.chrom AND l.start <= t.stop AND t.start <= l.stop GROUP BY l.chrom, l.start, l.stop""")
+def missed_targets_whole(spark, sf):
+    return I.missed_targets(rows(spark, sf, _T), rows(spark, sf, _ALL), 10)
+
+
 @query("trim_overlaps", None)
 def trim_overlaps(spark, sf):
     return I.trim_overlaps(rows(spark, sf, _T))

@@ -162,6 +162,31 @@ def read_wide_matrix(spark, sf):
     return R.read_wide_matrix(spark, _text(heads.unionByName(lines), "matrix"), ["Gene", "Mutation Name"])
 
 
+def _variants(depths):
+    """The columns of a wide file are values of the table, and its header holds all of them."""
+    return sorted(tuple(r) for r in depths.select("variant", "gene").distinct().collect())
+
+
+@query("write_wide_matrix_whole", "SELECT sample_id, variant, alt FROM depths")
+def write_wide_matrix_whole(spark, sf):
+    path, depths = scratch_path(spark, "wide-whole"), rows(spark, sf, "depths")
+    names = [v for v, _ in _variants(depths)]
+    W.write_wide_matrix(depths, path, "sample_id", "variant", names, "alt")
+    back = spark.read.option("header", True).csv(path)
+    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), F.col(f"`{n}`").cast("bigint").alias("alt")) for n in names]))
+    return back.select("sample_id", cells.alias("c")).select("sample_id", "c.variant", "c.alt").where("alt is not null")
+
+
+@query("read_wide_matrix_whole", "SELECT sample_id, gene AS \"Gene\", variant AS \"Mutation Name\", alt::DOUBLE AS value FROM depths")
+def read_wide_matrix_whole(spark, sf):
+    depths = rows(spark, sf, "depths")
+    found = _variants(depths)
+    wide = W.wide_matrix(depths, "sample_id", "variant", [v for v, _ in found], "alt")
+    lines = wide.select(F.concat_ws(",", "sample_id", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in wide.columns[1:]]).alias("value"))
+    heads = spark.createDataFrame([(",".join(["Gene", *[g for _, g in found]]),), (",".join(["Mutation Name", *[v for v, _ in found]]),)], "value string")
+    return R.read_wide_matrix(spark, _text(heads.unionByName(lines), "matrix-whole"), ["Gene", "Mutation Name"]).where("value is not null")
+
+
 @query("read_demux_stats", "SELECT l_suppkey::INT AS sample_number, sum(cast(l_quantity AS bigint))::BIGINT AS reads_raw FROM lineitem GROUP BY l_suppkey")
 def read_demux_stats(spark, sf):
     table = rows(spark, sf, "SELECT l_suppkey AS SampleNumber, cast(sum(l_quantity) AS bigint) AS NumberOfReadsRaw, cast(sum(l_quantity) AS bigint) AS NumberOfReadsPF FROM lineitem GROUP BY l_suppkey")
