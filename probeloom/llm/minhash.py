@@ -122,22 +122,23 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _coordinates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's shingles (space 0), and for texts near their pivot what the two sets don't share (space = pivot).
+    """Each text's shingles (space 0), and for texts near their pivot what the two sets don't share (apart, space = pivot).
 
-    size is the number of elements of a text in its space; family tells texts near one pivot from the rest.
+    size is the number of elements of a text in its space; near and family tell texts near one pivot from the rest. Ids
+    may be any number.
     """
     for batch in slices(batches, "text"):
         sets, pivots = (shingle_sets(Tokens(batch.column(c))) for c in ("text", "pivot_text"))
         cols = {c: batch.column(c).to_numpy() for c in ("rep", "component", "n_shingles", "pivot", "pivot_component")}
-        out = {c: [] for c in ("space", "rep", "component", "family", "n_shingles", "size", "pivot_size", "linked", "shingle")}
+        out = {c: [] for c in ("apart", "space", "rep", "component", "near", "family", "n_shingles", "size", "pivot_size", "linked", "shingle")}
         for i, (own, pivot) in enumerate(zip(sets, pivots, strict=True)):
             apart = np.setxor1d(own, pivot, assume_unique=True)
             near = 3 * len(apart) <= len(own) + len(pivot)  # similarity 0.5 or more
             component, top = cols["component"][i], cols["pivot"][i]
-            family = 2 * top + 1 if near else 2 * component
-            for space, elements in ((0, own), (top + 1, apart))[: 1 + near]:
+            family = top if near else component
+            for differs, space, elements in ((False, 0, own), (True, top, apart))[: 1 + near]:
                 n = len(elements)
-                fixed = (space, cols["rep"][i], component, family, len(own), n, len(pivot), component == cols["pivot_component"][i])
+                fixed = (differs, space, cols["rep"][i], component, near, family, len(own), n, len(pivot), component == cols["pivot_component"][i])
                 for c, v in zip(out, fixed, strict=False):
                     out[c].append(np.full(n, v))
                 out["shingle"].append(elements.view(np.int64))
@@ -145,7 +146,7 @@ def _coordinates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in out.values()], names=list(out))
 
 
-_COORDINATES = "space long, rep long, component long, family long, n_shingles long, size long, pivot_size long, linked boolean, shingle long"
+_COORDINATES = "apart boolean, space long, rep long, component long, near boolean, family long, n_shingles long, size long, pivot_size long, linked boolean, shingle long"
 
 
 def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
@@ -192,15 +193,15 @@ def _rare_pairs(open_: DataFrame, docs: DataFrame) -> DataFrame:
     key = lambda c: docs.select(F.col("doc_id").alias(c), F.col("text").alias("text" if c == "rep" else "pivot_text"))
     texts = open_.join(key("rep"), "rep").join(key("pivot"), "pivot").select("rep", "component", "n_shingles", "pivot", "pivot_component", "text", "pivot_text")
     rows = materialize(texts.mapInArrow(_coordinates, _COORDINATES), "coordinates")
-    held = rows.groupBy("space", "shingle").agg(F.count("*").alias("held")).where("held > 1")
-    own = Window.partitionBy("space", "rep")
-    common = rows.join(held, ["space", "shingle"]).withColumns({"_at": F.row_number().over(own.orderBy("held", "shingle")), "_common": F.count("*").over(own)})
+    held = rows.groupBy("apart", "space", "shingle").agg(F.count("*").alias("held")).where("held > 1")
+    own = Window.partitionBy("apart", "space", "rep")
+    common = rows.join(held, ["apart", "space", "shingle"]).withColumns({"_at": F.row_number().over(own.orderBy("held", "shingle")), "_common": F.count("*").over(own)})
     # elements that no other text holds come first
     placed = materialize(common.withColumn("at", F.col("_at") + F.col("size") - F.col("_common")).drop("_at", "_common", "held"), "placed")
 
     # different families: a shingle's largest family meets the others, never itself
     prefix = F.col("size") - F.floor((PERCENT * F.col("size") + 99) / 100) + 1
-    rare = placed.where((F.col("space") == 0) & (F.col("at") <= prefix)).select("shingle", "rep", "component", "family", "n_shingles")
+    rare = placed.where(~F.col("apart") & (F.col("at") <= prefix)).select("shingle", "rep", "component", F.struct("near", "family").alias("family"), "n_shingles")
     parts = rare.groupBy("shingle", "family").agg(F.count("*").alias("n"))
     largest = parts.groupBy("shingle").agg(F.max(F.struct("n", "family")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("shingle", F.col("top.family").alias("largest"))
     rare = rare.join(largest, "shingle")
@@ -209,7 +210,7 @@ def _rare_pairs(open_: DataFrame, docs: DataFrame) -> DataFrame:
     across = x.where("fx <> largest").join(y.drop("largest"), "shingle").where(meets).select("x", "y")
 
     # one family: texts that aren't linked to the pivot meet the rarer half of each other difference
-    inside = placed.where("space > 0")
+    inside = placed.where("apart")
     least = F.floor((7 * F.col("size") + F.col("pivot_size") - F.col("n_shingles")) / 14) + 1
     side = lambda c: [F.col("rep").alias(c), F.col("component").alias(f"c{c}"), F.col("n_shingles").alias(f"n{c}"), F.col("size").alias(f"s{c}"), F.col("at").alias(f"a{c}")]
     loose = inside.where("not linked").select("space", "shingle", *side("x"))

@@ -103,6 +103,27 @@ def test_near_duplicates_match_brute_force(spark):
     assert got == brute_components(rows)
 
 
+def test_near_duplicates_with_negative_ids(spark):
+    """Texts near one pivot meet by their differences to it, whatever its id."""
+    for pivot in (-1, -5, -(2**62) - 9, 7):
+        rng = random.Random(4)
+        base = words(rng, 200).split()
+
+        def edited(*places):
+            copy = list(base)
+            for k in places:
+                copy[k] = f"edit{k}"
+            return " ".join(copy)
+
+        # two texts at similarity 0.7 or so to the pivot, and near each other; the pivot isn't linked to them
+        texts = {pivot: " ".join(base), pivot - 1: edited(*range(5, 60, 7)), pivot - 2: edited(*range(5, 60, 7), 150)}
+        sets = {d: shingles(t) for d, t in texts.items()}
+        rows = [(d, d, len(sets[d]), pivot, pivot) for d in texts]
+        open_ = spark.createDataFrame(rows, "rep long, component long, n_shingles long, pivot long, pivot_component long")
+        pairs = {(r["a"], r["b"]) for r in minhash._rare_pairs(open_, docs_of(spark, list(texts.items()))).collect()}
+        assert (pivot - 2, pivot - 1) in pairs
+
+
 def test_near_duplicates_edges(spark):
     out = minhash.near_duplicates(edges(spark)).collect()
     assert len(out) == 12
