@@ -13,7 +13,6 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..scratch import materialize
 from .common import Tokens, read, slices
 
 #: The training sample: so many documents of each language at most, of each a stretch of so many characters.
@@ -25,12 +24,17 @@ UNKNOWN = "und"
 #: Documents whose language has a smaller share of the words are rejected by the filter.
 LEAST_SCORE = 0.5
 #: Texts are labelled in pieces of about so many bytes; the features of a piece take some hundred bytes for each.
-PREDICT_BYTES = 2 << 20
+PREDICT_BYTES = 1 << 20
+#: A long text's words are chained in blocks of so many.
+BLOCK = 256
 
 #: Bytes that aren't part of a word: all but lower-case ASCII letters and bytes of other scripts' characters.
 _GAPS = np.ones(256, bool)
 _GAPS[ord("a") : ord("z") + 1] = False
 _GAPS[128:] = False
+#: A text may be cut after these bytes: no word goes on there, in either case.
+_CUTS = _GAPS.copy()
+_CUTS[ord("A") : ord("Z") + 1] = False
 _ORDERS = (2, 3, 4)
 _AFFIXES = (1, 2, 3)
 
@@ -106,10 +110,12 @@ class Model:
     start: np.ndarray
 
 
-def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, start: np.ndarray, count_moves: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, enter: np.ndarray, leave: np.ndarray | None = None, count_moves: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of each word's label, for sequences laid one after another; and expected transitions, summed, if asked.
 
-    Sequences advance together, longest first, so that a step covers all that are still going.
+    enter: scores of the labels of first words (one row for all sequences, or one each); leave: by sequence, the backward
+    message into its last word, if something follows. Sequences advance together, longest first, so that a step covers
+    all that are still going.
     """
     n, labels = scores.shape
     posterior, moves = np.zeros((n, labels)), np.zeros((labels, labels))
@@ -119,13 +125,14 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
     if not n:
         return posterior, moves
     local = np.exp(scores - scores.max(1, keepdims=True))
-    step, first = np.exp(transitions), np.exp(start)
+    step, first = np.exp(transitions), np.broadcast_to(np.exp(enter), (len(order), labels))[order]
+    last = np.ones((len(order), labels)) if leave is None else leave[order]
     going = np.searchsorted(-lengths, -np.arange(lengths[0]), "left")  # sequences longer than t
     ahead = np.empty((n, labels))
     state = None
     for t in range(lengths[0]):
         at = begins[: going[t]] + t
-        state = (first if t == 0 else state[: going[t]] @ step) * local[at]
+        state = (first[: going[t]] if t == 0 else state[: going[t]] @ step) * local[at]
         state /= state.sum(1, keepdims=True)
         ahead[at] = state
     back = np.zeros((0, labels))
@@ -138,12 +145,53 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
                 moves += (moved / moved.sum((1, 2), keepdims=True)).sum(0)
             back = onward @ step.T
             back /= back.sum(1, keepdims=True)
-        back = np.concatenate([back, np.ones((len(at) - len(back), labels))])
+        back = np.concatenate([back, last[len(back) : len(at)]])
         both = ahead[at] * back
         posterior[at] = both / both.sum(1, keepdims=True)
     return posterior, moves
 
 
+class Chain:
+    """A text's words in blocks of BLOCK, so that a long text takes as many steps as a block has words.
+
+    A block's transfer matrix leads from the forward message before it to the one at its end, and backwards; chained,
+    the matrices give each block the messages from both sides, and then all blocks advance together.
+    """
+
+    def __init__(self, scores: np.ndarray, model: Model, opens: bool):
+        self.scores, self.model, self.opens = scores, model, opens
+        self.step = np.exp(model.transitions)
+        self.lengths = np.full(-(-len(scores) // BLOCK), BLOCK)
+        self.lengths[-1:] = len(scores) - BLOCK * (len(self.lengths) - 1)
+        local = np.exp(scores - scores.max(1, keepdims=True))
+        self.matrices = np.repeat(np.eye(scores.shape[1])[None], len(self.lengths), axis=0)
+        for t in range(int(self.lengths.max(initial=0))):
+            n = len(self.lengths) - (t >= self.lengths[-1])  # only the last block may be shorter
+            into = self.matrices[:n] @ self.step
+            if opens and t == 0:  # the text's first word has no word before it
+                into[0] = np.exp(model.start)[None]
+            self.matrices[:n] = into * local[np.arange(n) * BLOCK + t][:, None, :]
+            self.matrices[:n] /= self.matrices[:n].sum((1, 2), keepdims=True)
+
+    def posterior(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Of each word's label, given the messages before the first and into the last word."""
+        enter = chained(self.matrices, before)[:-1] @ self.step
+        if self.opens:
+            enter[:1] = np.exp(self.model.start)
+        leave = chained(self.matrices.transpose(0, 2, 1)[::-1], after)[::-1][1:]
+        return forward_backward(self.scores, self.lengths, self.model.transitions, np.log(enter), leave, count_moves=False)[0]
+
+
+def chained(matrices: np.ndarray, message: np.ndarray) -> np.ndarray:
+    """A message before each matrix and, last, after all of them."""
+    out = [message]
+    for m in matrices:
+        message = message @ m
+        message = message / message.sum()
+        out.append(message)
+    return np.array(out)
+
+
 def fit(texts: list[str], labels: list[str], steps: int = 400, batch: int = 48, rate: float = 0.2, seed: int = 5) -> Model:
     """Maximum likelihood by stochastic gradients (AdaGrad) on stretches of words; half of the sequences switch language."""
     languages = sorted(set(labels))
@@ -229,55 +277,117 @@ def train(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE, chars: int = C
     return fit(texts, labels)
 
 
+def _pieces(data: bytes) -> Iterator[tuple[int, int]]:
+    """Bounds of pieces of PREDICT_BYTES at most, cut between words, or between characters where a word is longer."""
+    lo = 0
+    while lo < len(data):
+        hi = min(len(data), lo + PREDICT_BYTES)
+        if hi < len(data):
+            gaps = np.flatnonzero(_CUTS[np.frombuffer(data, np.uint8, hi - lo, lo)])
+            if len(gaps):
+                hi = lo + int(gaps[-1]) + 1
+            else:
+                while data[hi] & 0xC0 == 0x80:
+                    hi -= 1
+        yield lo, hi
+        lo = hi
+
+
+def _runs(labels: np.ndarray, names: list[str]) -> list[dict]:
+    cuts = np.flatnonzero(np.diff(labels)) + 1
+    bounds = [0, *cuts.tolist(), len(labels)]
+    return [{"lang": names[labels[lo]], "words": hi - lo} for lo, hi in zip(bounds, bounds[1:], strict=False)] if len(labels) else []
+
+
+def _label_long(text: str, model: Model) -> tuple[np.ndarray, list[dict]]:
+    """Letters by language and runs of a text of any length, piece by piece: twice over the pieces, messages in between."""
+    data = text.encode()
+    flat = np.full(len(model.languages), 1.0 / len(model.languages))
+
+    def chains() -> Iterator[tuple[Features, Chain]]:
+        opens = True
+        for lo, hi in _pieces(data):
+            features = Features(pa.array([data[lo:hi]], pa.large_binary()).cast(pa.large_string()))
+            if len(features.starts):
+                yield features, Chain(features.emissions(model.weights), model, opens)
+                opens = False
+
+    after = [flat]  # messages into the last word of each piece, from the last piece to the first
+    for matrices in reversed([chain.matrices for _, chain in chains()]):  # a few numbers for each block of words
+        after.append(chained(matrices.transpose(0, 2, 1)[::-1], after[-1])[-1])
+    total, runs, before = np.zeros(len(model.languages)), [], flat
+    for (features, chain), message in zip(chains(), after[-2::-1], strict=True):
+        posterior = chain.posterior(before, message)
+        before = chained(chain.matrices, before)[-1]
+        total += (posterior * (features.ends - features.starts)[:, None]).sum(0)
+        for run in _runs(posterior.argmax(1), model.languages):
+            if runs and runs[-1]["lang"] == run["lang"]:
+                runs[-1]["words"] += run["words"]
+            else:
+                runs.append(run)
+    return total, runs
+
+
+def label(texts: pa.Array, model: Model) -> list[tuple[str, float, list[dict]]]:
+    """For each text its language, score and runs of equally labelled words."""
+    has_letter = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+    names, out = model.languages, [(UNKNOWN, 0.0, [])] * len(texts)
+    if not names:
+        return out
+    bytes_ = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+
+    def verdict(total: np.ndarray, runs: list[dict]) -> tuple[str, float, list[dict]]:
+        k = int(total.argmax())
+        return names[k], float(min(1.0, total[k] / total.sum())), runs
+
+    long = bytes_ > PREDICT_BYTES
+    for i in np.flatnonzero(long & has_letter):
+        total, runs = _label_long(texts[int(i)].as_py(), model)
+        if runs:
+            out[i] = verdict(total, runs)
+    features = Features(pc.if_else(pa.array(long), "", pc.fill_null(texts, "")))
+    sizes = np.diff(features.first)
+    posterior, _ = forward_backward(features.emissions(model.weights), sizes, model.transitions, model.start, count_moves=False)
+    letters = posterior * (features.ends - features.starts)[:, None]
+    best = posterior.argmax(1) if len(posterior) else np.zeros(0, int)
+    for i in np.flatnonzero(has_letter & (sizes > 0)):
+        at = slice(features.first[i], features.first[i + 1])
+        out[i] = verdict(letters[at].sum(0), _runs(best[at], names))
+    return out
+
+
 def _predict(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
-    model: Model = shared.value
-    names, count = model.languages, len(model.languages)
+    kind = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
     for batch in slices(batches, "text", PREDICT_BYTES):
-        column = batch.column("text")
-        has_letter = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-        features = Features(column)
-        sizes = np.diff(features.first)
-        languages, scores, segments = [], [], []
-        if count:
-            posterior, _ = forward_backward(features.emissions(model.weights), sizes, model.transitions, model.start, count_moves=False)
-            weight = (features.ends - features.starts).astype(float)
-            sums = np.concatenate([np.zeros((1, count)), np.cumsum(posterior * weight[:, None], axis=0)])
-            total = sums[features.first[1:]] - sums[features.first[:-1]]
-            best = posterior.argmax(1) if len(posterior) else np.zeros(0, int)
-        for i in range(batch.num_rows):
-            if not count or not has_letter[i] or not sizes[i]:
-                languages.append(UNKNOWN)
-                scores.append(0.0)
-                segments.append([])
-                continue
-            k = int(total[i].argmax())
-            languages.append(names[k])
-            scores.append(float(min(1.0, total[i, k] / total[i].sum())))
-            labels = best[features.first[i] : features.first[i + 1]]
-            cuts = np.flatnonzero(np.diff(labels)) + 1
-            bounds = [0, *cuts.tolist(), len(labels)]
-            segments.append([{"lang": names[labels[lo]], "words": hi - lo} for lo, hi in zip(bounds, bounds[1:], strict=False)])
-        kind = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
+        languages, scores, segments = zip(*label(batch.column("text"), shared.value), strict=True)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(segments, kind)], names=["doc_id", "lang_pred", "score", "segments"])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score and segments for each row of docs (doc_id and text; other columns aren't looked at).
 
-    Words are labelled by their posteriors given the whole text; lang_pred has the greatest share of the letters and
-    score is that share. segments lists the runs of equally labelled words, for code-switched texts. Null texts, texts
+    Words are labelled by their posteriors given the whole text, however long; lang_pred has the greatest share of the
+    letters and score is that share. segments lists the runs of equally labelled words, for code-switched texts. Null texts, texts
     without a letter, and all texts if the model knows no language, are 'und' with score 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select("doc_id", "text").mapInArrow(lambda b: _predict(b, shared), "doc_id long, lang_pred string, score double, segments array<struct<lang:string,words:long>>")
-    return rows
+    return docs.select("doc_id", "text").mapInArrow(lambda b: _predict(b, shared), "doc_id long, lang_pred string, score double, segments array<struct<lang:string,words:long>>")
+
+
+def _identified(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text", PREDICT_BYTES):
+        found = label(batch.column("text"), shared.value)
+        yield batch.filter(pa.array([name != UNKNOWN and score >= LEAST_SCORE for name, score, _ in found], pa.bool_()))
 
 
 def reject_unidentified(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose text is mostly in one of the languages learned from docs itself; the others go."""
-    bad = identify(docs, train(docs)).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_SCORE)).select("doc_id").distinct()
-    bad = materialize(bad, "unidentified")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti").select(*docs.columns)
+    """The rows of docs whose text is mostly in one of the languages learned from docs itself; the others go.
+
+    Each row is judged by its own text: null and repeated doc_ids are rows like any other, and rows with equal texts
+    share their fate. If no row has a language to learn from, none stays. All columns pass through.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs))
+    return docs.mapInArrow(lambda b: _identified(b, shared), docs.schema)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,10 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -534,6 +537,53 @@ def test_language_held_out_and_code_switching(spark):
     assert {s["lang"] for s in mixed["segments"] if s["words"] > 20} == {"en", "fr"} and len(mixed["segments"]) < 12
 
 
+def test_long_texts_are_labelled_as_one_chain(monkeypatch):
+    """Pieces and blocks give what one pass over the whole text gives."""
+    rng = random.Random(3)
+    model = language.fit(["the cat sat on the mat with them " * 20, "le chat et la table avec nous " * 20], ["en", "fr"], steps=30)
+    parts = {"en": "the cat sat on mat with them".split(), "fr": "le chat et la table avec nous".split()}
+    text = " ".join(" ".join(rng.choices(parts[rng.choice(["en", "fr"])], k=rng.randint(1, 40))) for _ in range(300)) + " 漢字" * 50
+    (name, score, runs), *_ = language.label(pa.array([text]), model)
+    features = language.Features(pa.array([text]))
+    whole, _ = language.forward_backward(features.emissions(model.weights), np.array([len(features.starts)]), model.transitions, model.start)
+    monkeypatch.setattr(language, "PREDICT_BYTES", 700)
+    monkeypatch.setattr(language, "BLOCK", 7)
+    (name2, score2, runs2), (empty, *_), *_ = language.label(pa.array([text, None, "the cat"]), model)
+    assert (name, runs) == (name2, runs2) and score == pytest.approx(score2, abs=1e-9) and empty == "und"
+    want = (whole * (features.ends - features.starts)[:, None]).sum(0)
+    assert score2 == pytest.approx(want.max() / want.sum(), abs=1e-9)
+
+
+def test_very_long_text_takes_bounded_memory_and_time():
+    """20 MB of words, in a process whose memory is limited well below what all of its words' arrays would take."""
+    code = (
+        "import resource, pyarrow as pa; from probeloom.llm import language as L\n"
+        "m = L.fit(['the cat sat on the mat ' * 40, 'le chat et la table ' * 40], ['en', 'fr'], steps=20)\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "(name, score, runs), = L.label(pa.array(['the cat sat on the mat ' * 600_000 + 'le chat et la table ' * 300_000]), m)\n"
+        "print(name, len(runs), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)"
+    )
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, check=True, cwd=Path(__file__).parents[2]).stdout.split()
+    assert out[:2] == ["en", "2"] and int(out[2]) < 500
+
+
+def test_rejection_is_by_row(spark):
+    """Null and repeated ids: each row stands or falls by its own text."""
+    good = [(i, "the cat sat on the mat with all of them", "en", "a") for i in range(5)] + [(i, "le chat est sur la table avec nous", "fr", "a") for i in range(5, 10)]
+    odd = [(None, "the cat sat on the mat"), (None, "123 456"), (None, "le chat est sur la table"), (3, "-- 12 --"), (4, None), (2, "")]
+    kept = language.reject_unidentified(docs_of(spark, good + odd))
+    assert kept.columns == ["doc_id", "text", "lang", "source"]
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted((str(d), t) for d, t, *_ in good + [odd[0], odd[2]])
+    assert language.reject_unidentified(docs_of(spark, [])).count() == 0 and language.reject_unidentified(docs_of(spark, odd)).count() == 0
+
+
+def test_language_unseen_in_training(spark):
+    rows = [(i, "the cat sat on the mat with all of them", "en", "a") for i in range(9)] + [(99, "кот сидел на столе", None, "a")]
+    docs = docs_of(spark, rows)
+    out = {r["doc_id"]: r for r in language.identify(docs, language.train(docs)).collect()}
+    assert out[99]["lang_pred"] == "en" and 0 <= out[99]["score"] <= 1
+
+
 def test_language_edges(spark):
     model = language.train(edges(spark))
     out = {r["doc_id"]: r for r in language.identify(edges(spark), model).collect()}
