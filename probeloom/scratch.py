@@ -4,14 +4,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths made since the innermost temporary_tables() began.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def scratch_root(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session, or a temporary folder where it is unset."""
+    """spark.checkpoint.dir of the session. Where it is unset, a temporary folder, on a local master only.
+
+    On a cluster executors would write to a folder of their own machines, so the setting is required there.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -32,4 +43,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet below the shared scratch folder and read it back: cuts lineage, survives lost executors."""
     target = scratch_path(df.sparkSession, name)
     df.write.parquet(target)
+    made = _MADE.get()
+    if made is not None:
+        made.append(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
+
+
+def delete_path(spark: SparkSession, target: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that materialize() writes inside are deleted at the end: nothing may read them afterwards."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for target in made:
+            delete_path(spark, target)
