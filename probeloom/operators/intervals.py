@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import codon_map, reverse_complement
+from ..scratch import materialize
 from .components import components
 
 
@@ -92,42 +92,49 @@ def islands(df: DataFrame, spacer: int = 0) -> DataFrame:
     return starts.withColumnRenamed("b_start", "island").drop("b_stop")
 
 
-def _trim(low: float, high: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        todo = sorted(set(zip(pdf["start"].tolist(), pdf["stop"].tolist(), strict=True)))
-        done, kept = False, set()
-        while not done:
-            done = True
-            for i, (s, e) in enumerate(todo):
-                hit = next(((j, t) for j, t in enumerate(todo) if j > i and t[0] <= e and s <= t[1]), None)
-                while hit is not None:
-                    j, (s2, e2) = hit
-                    lo, hi = max(s, s2), min(e, e2)
-                    ratio = (hi - lo) / (min(e - s, e2 - s2) + 1)
-                    if low < ratio < high:
-                        kept.add(((s, e), (s2, e2)))
-                        hit = next(((k, t) for k, t in enumerate(todo) if k > j and t[0] <= e and s <= t[1]), None)
-                        continue
-                    rest = [x for k, x in enumerate(todo) if k not in (i, j)]
-                    new = [(lo, hi)] if ratio >= high else [(a, b) for a, b in ((min(s, s2), lo - 1), (hi + 1, max(e, e2))) if a <= b]
-                    todo, done = sorted(set(rest + new)), False
-                    break
-                if not done:
-                    break
-        chrom = pdf["chrom"].iloc[0]
-        unclear = {x for pair in kept for x in pair}
-        return pd.DataFrame([(chrom, s, e, (s, e) in unclear) for s, e in todo], columns=["chrom", "start", "stop", "unclear"])
-
-    return run
-
-
-def trim_overlaps(df: DataFrame, low: float = 0.1, high: float = 0.9) -> DataFrame:
+def _share(low: float, high: float) -> Column:
+    """What becomes of an overlapping pair by (shared stop - start) / smaller length: 'cut', 'shared', or null in between."""
+    shared = F.least("stop", "b_stop") - F.greatest("start", "b_start")
+    smaller = F.least(F.col("stop") - F.col("start"), F.col("b_stop") - F.col("b_start")) + 1
+    ratio = shared / smaller
+    return F.when(ratio <= low, "cut").when(ratio >= high, "shared")
+
+
+def trim_overlaps(df: DataFrame, low: float = 0.1, high: float = 0.9, bin_size: int = 10_000) -> DataFrame:
     """Repeats go; pairs that share little are cut apart, pairs that share nearly all keep what they share.
 
-    The ratio is (shared stop - start) to the smaller length. Pairs in between stay and are marked unclear. Each group
-    of connected intervals is worked on alone, the lowest pair first.
+    The ratio is (shared stop - start) to the smaller length. Pairs in between stay and are marked unclear. Works in
+    rounds: every interval takes part in one change of a round at most, that of the pair whose hash is the least of all
+    changing pairs of both intervals. Groups of connected intervals without a change are settled and leave the rounds.
     """
-    return islands(df.select("chrom", "start", "stop")).groupBy("chrom", "island").applyInPandas(_trim(low, high), "chrom string, start long, stop long, unclear boolean")
+    pair = ["start", "stop", "b_start", "b_stop"]
+    ends = lambda a, b: F.struct(F.col(a).alias("start"), F.col(b).alias("stop"))
+    open_, settled = islands(df.select("chrom", "start", "stop").distinct()), []
+    while True:
+        open_ = materialize(open_, "intervals")
+        twice = overlap_join(open_, open_, on=("chrom", "island"), bin_size=bin_size).where(F.struct("start", "stop") < F.struct("b_start", "b_stop"))
+        rank = F.struct(F.md5(F.concat_ws(":", "chrom", *pair)).alias("hash"), *pair)
+        changing = twice.withColumn("change", _share(low, high)).where("change is not null").withColumn("rank", rank)
+        changing = materialize(changing.select("chrom", "island", *pair, "change", "rank"), "changes")
+        if changing.isEmpty():
+            break
+        turns = changing.select("chrom", "island", F.explode(F.array(ends("start", "stop"), ends("b_start", "b_stop"))).alias("x"), "rank")
+        first = turns.groupBy("chrom", "island", "x").agg(F.min("rank").alias("rank"))
+        chosen = first.groupBy("chrom", "island", "rank").agg(F.count("*").alias("n")).where("n = 2").select("chrom", "island", "rank")  # first in turn on both sides
+        now = materialize(changing.join(chosen, ["chrom", "island", "rank"], "left_semi"), "changes-now")
+        kept = now.where("change = 'shared'").select("chrom", "island", F.greatest("start", "b_start").alias("start"), F.least("stop", "b_stop").alias("stop"))
+        parts = remove_overlap(now.where("change = 'cut'")).select("chrom", "island", F.col("part_start").alias("start"), F.col("part_stop").alias("stop"))
+        gone = now.select("chrom", "island", F.explode(F.array(ends("start", "stop"), ends("b_start", "b_stop"))).alias("x")).select("chrom", "island", "x.*")
+        moving = changing.select("chrom", "island").distinct()
+        settled.append(open_.join(moving, ["chrom", "island"], "left_anti"))
+        rest = open_.join(moving, ["chrom", "island"], "left_semi").join(gone, ["chrom", "island", "start", "stop"], "left_anti")
+        open_ = rest.unionByName(kept).unionByName(parts).distinct()
+    for part in settled:
+        open_ = open_.unionByName(part)
+    out = open_.select("chrom", "start", "stop")
+    left = overlap_join(out, out, bin_size=bin_size).where(F.struct("start", "stop") != F.struct("b_start", "b_stop"))
+    unclear = left.select("chrom", "start", "stop").distinct().withColumn("unclear", F.lit(True))
+    return out.join(unclear, ["chrom", "start", "stop"], "left").na.fill(False, ["unclear"])
 
 
 def region_string(chrom: Column, start: Column, stop: Column) -> Column:

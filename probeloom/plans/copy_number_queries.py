@@ -92,16 +92,17 @@ def integer_calls(spark, sf):
     return C.integer_calls(_units(spark, sf))
 
 
-_STATES = f"""{_UNITS}, pf AS (SELECT unit, sample_id, list(copy_count ORDER BY mip, copy) AS "values", list(round_even(copy_count, 0) ORDER BY mip, copy) AS state FROM un WHERE mip IN ('mip1', 'mip2', 'mip6', 'mip7') GROUP BY unit, sample_id)"""
+_STATES = f"""{_UNITS}, sg AS (SELECT unit, sample_id, segment, quantile_cont(copy_count, 0.5) AS level FROM un GROUP BY unit, sample_id, segment),
+pf AS (SELECT unit, sample_id, list(level ORDER BY segment) AS "values", list(round_even(level, 0) ORDER BY segment) AS state FROM sg GROUP BY unit, sample_id)"""
 
 
 @query("collapse_to_common_states", f"""WITH {_STATES}, rk AS (SELECT unit, state AS common, row_number() OVER (PARTITION BY unit ORDER BY count(*) DESC, state) AS place FROM pf GROUP BY unit, state),
 ft2 AS (SELECT pf.unit, sample_id, common, place FROM pf JOIN rk ON pf.unit = rk.unit WHERE list_distance("values", common) - list_distance("values", state) < 0.8)
 SELECT unit, sample_id, min(ROW(place, common))[2] AS state FROM ft2 GROUP BY unit, sample_id""")
 def collapse_to_common_states(spark, sf):
-    table = _units(spark, sf).where("mip IN ('mip1', 'mip2', 'mip6', 'mip7')")
-    in_order = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("mip", "copy", c.alias("v")))), lambda x: x["v"])
-    profiles = table.groupBy("unit", "sample_id").agg(in_order(F.col("copy_count")).alias("values"), in_order(F.bround("copy_count", 0)).alias("state"))
+    segments = _units(spark, sf).groupBy("unit", "sample_id", "segment").agg(F.expr("percentile(copy_count, 0.5)").alias("level"))
+    in_order = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("segment", c.alias("v")))), lambda x: x["v"])
+    profiles = segments.groupBy("unit", "sample_id").agg(in_order(F.col("level")).alias("values"), in_order(F.bround("level", 0)).alias("state"))
     return C.collapse_to_common_states(profiles, profiles, 0.8)
 
 

@@ -48,7 +48,8 @@ def contains(spark, sf):
     return pairs.withColumns({"contained": I.contains(), "redundant": I.redundant(15)})
 
 
-_COVERED = "SELECT chrom, start, stop FROM intervals WHERE (stop - start) % 2 = 0"
+# the first halves of all intervals, so that parts of targets stay open
+_COVERED = "SELECT chrom, start, cast(floor((start + stop) / 2) AS bigint) AS stop FROM intervals"
 _SUBTRACT = f"""c0 AS ({_COVERED}), {_islands('targets', 1, 'u')}, {_islands('c0', 1, 'c')},
 k AS (SELECT u.chrom, u.start AS ws, u.stop AS we, c.start AS cut, c.stop AS resume FROM u JOIN c ON u.chrom = c.chrom AND u.start <= c.stop AND c.start <= u.stop UNION ALL SELECT chrom, start, stop, start - 1, start - 1 FROM u),
 sb AS (SELECT chrom, resume + 1 AS start, coalesce(lead(cut) OVER (PARTITION BY chrom, ws ORDER BY cut, resume), we + 1) - 1 AS stop FROM k)"""
@@ -82,7 +83,7 @@ def missed_targets_whole(spark, sf):
 
 @query("trim_overlaps", None)
 def trim_overlaps(spark, sf):
-    return I.trim_overlaps(rows(spark, sf, _T))
+    return I.trim_overlaps(rows(spark, sf, "intervals"), bin_size=500)
 
 
 @query("region_string", "SELECT name, chrom || ':' || start || '-' || stop AS region FROM targets")

@@ -29,10 +29,7 @@ def test_query_matches_sql(spark, con, name):
     assert got == canonical([tuple(r[have.index(c)] for c in cols) for r in res.fetchall()])
 
 
-SLOW = {"cluster_samples", "segment_breakpoints", "clean_breakpoints"}
-
-
-@pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.ORACLE)))
 def test_query_without_sql_gives_rows(spark, name):
     assert plans.QUERIES[name](spark, SF).limit(5).count() > 0
 
