@@ -8,9 +8,14 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.mllib.linalg import Vectors
+from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
+from .intervals import overlap_join
+
 #: A matrix with more columns than this doesn't go through the covariance, which is built on one machine.
 MAX_PCA_COLUMNS = 4000
 
@@ -79,18 +84,30 @@ def presence_matrix(table: DataFrame, value: str, minimum: float, sample_present
     return impute(kept, "mode", "present")
 
 
+def _wide_pca(vectors: DataFrame, k: int) -> DataFrame:
+    """Of centred rows (sample_id, features): a sample's components are its products with the right singular vectors."""
+    rows = vectors.select("features").rdd.map(lambda r: Vectors.fromML(r["features"]))
+    found = RowMatrix(rows).computeSVD(k)
+    basis = found.V.toArray().T.tolist()
+    whole = vectors.select(F.aggregate(vector_to_array("features"), F.lit(0.0), lambda acc, x: acc + x * x).alias("s")).agg(F.sum("s")).first()[0]
+    share = [float(s * s / whole) if whole else 0.0 for s in found.s.toArray()]
+    axes = F.broadcast(vectors.sparkSession.createDataFrame([(basis,)], "_axes array<array<double>>"))  # k vectors of as many numbers as there are variants
+    dot = lambda axis: F.aggregate(F.zip_with(vector_to_array("features"), axis, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    return vectors.crossJoin(axes).select("sample_id", F.transform("_axes", dot).alias("components"), F.array(*map(F.lit, share)).alias("explained"))
+
+
 def pca(table: DataFrame, k: int, value: str = "imputed") -> DataFrame:
     """sample_id, components (array) and explained (array): principal components of the centred samples x variants matrix.
 
-    Every sample must have every variant. The covariance is built on one machine, so more than MAX_PCA_COLUMNS variants
-    are refused. Signs are arbitrary.
+    Every sample must have every variant. Up to MAX_PCA_COLUMNS variants by the covariance matrix on one machine; for
+    wider matrices by their singular values, where only vectors meet on one machine. Signs are arbitrary.
     """
     width = table.select("variant").distinct().count()
-    if width > MAX_PCA_COLUMNS:
-        raise ValueError(f"{width} variants; at most {MAX_PCA_COLUMNS}")
     centred = table.withColumn("_c", F.col(value) - F.avg(value).over(Window.partitionBy("variant")))
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("variant", "_c"))), lambda x: x["_c"])
     vectors = centred.groupBy("sample_id").agg(ordered.alias("v")).select("sample_id", array_to_vector("v").alias("features"))
+    if width > MAX_PCA_COLUMNS:
+        return _wide_pca(materialize(vectors, "centred"), k)
     model = PCA(k=k, inputCol="features", outputCol="components").fit(vectors)
     share = [float(x) for x in model.explainedVariance.toArray()]
     return model.transform(vectors).select("sample_id", vector_to_array("components").alias("components"), F.array(*map(F.lit, share)).alias("explained"))
@@ -135,9 +152,10 @@ def mutation_sort_key(names: DataFrame, name: str = "variant") -> DataFrame:
 
 
 def position_coverage(targets: DataFrame, probes: DataFrame) -> DataFrame:
-    """UMIs of a sample's probes that span each target; both sides are per chromosome."""
-    spans = (probes["chrom"] == targets["chrom"]) & (probes["capture_start"] <= targets["start"]) & (probes["capture_end"] >= targets["stop"])
-    joined = targets.join(probes.drop("gene"), spans).select(targets["name"], "sample_id", "umi")
+    """UMIs of a sample's probes that span each target."""
+    spans = probes.select("chrom", F.col("capture_start").alias("start"), F.col("capture_end").alias("stop"), "sample_id", "umi")
+    over = overlap_join(targets.select("chrom", "name", "start", "stop"), spans, bin_size=1000).where("b_start <= start and b_stop >= stop")
+    joined = over.select("name", F.col("b_sample_id").alias("sample_id"), F.col("b_umi").alias("umi"))
     return joined.groupBy("name", "sample_id").agg(F.sum("umi").alias("coverage"))
 
 
@@ -172,7 +190,7 @@ def plink_tables(genotypes: DataFrame, sites: DataFrame, phenotype: DataFrame) -
     by_sample = rows.groupBy("sample_id", "affected").agg(F.array_join(in_order(pair), " ").alias("bases"), F.array_join(in_order(F.coalesce(F.col("genotype").cast("string"), F.lit("."))), "\t").alias("calls"))
     ped = by_sample.select("sample_id", F.concat_ws(" ", "sample_id", "sample_id", F.lit("0 0 0"), F.when(F.col("affected"), "2").otherwise("1"), "bases").alias("line"))
     geno = by_sample.select("sample_id", F.concat_ws("\t", "sample_id", "calls").alias("line"))
-    places = sites.select("variant", F.concat_ws("\t", "chrom", "variant", F.lit("0"), F.col("pos").cast("string")).alias("line"))
+    places = sites.select("variant", "chrom", "pos", F.concat_ws("\t", "chrom", "variant", F.lit("0"), F.col("pos").cast("string")).alias("line"))
     genes = sites.groupBy("gene").agg(F.array_join(F.sort_array(F.collect_set("variant")), " ").alias("line"))
     return ped, places, geno, genes
 

@@ -186,9 +186,10 @@ def downsample_umis(reads: DataFrame, n: int, group: Sequence[str], key: Column,
     """n records of each group without replacement, the same ones for the same seed.
 
     Uniform, or with probability proportional to weight: the records with the least -ln(u) / weight are a sequential
-    weighted draw. u is a hash of key and seed.
+    weighted draw. u is made of the first 52 bits of the MD5 of seed and key, so it is the same everywhere.
     """
-    u = (F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 52)) + 1) / F.lit(float((1 << 52) + 1))
+    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), 1, 13), 16, 10).cast("long")
+    u = (bits + 1) / F.lit(float((1 << 52) + 1))
     order = u if weight is None else -F.ln(u) / weight
     return reads.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(order, key))).where(F.col("_n") <= n).drop("_n")
 

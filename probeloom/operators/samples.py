@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import reverse_complement
+from ..spread import running_total
 from .intervals import overlap_join
 
 
@@ -145,12 +146,11 @@ def sheet_combinations(sheet: DataFrame, order: str = "ord") -> DataFrame:
 def plate_layout(design: DataFrame, wells: int = 96) -> DataFrame:
     """Plate and well (A1 to H12) of each distinct probe, in the order of gene and probe number.
 
-    Ranks are per gene, moved by the genes before: no single task sees all probes.
+    Ranks are per gene, moved by the sizes of the genes before: no single task sees all probes.
     """
     rows = design.dropDuplicates(["sequence", "mip"])
     own = rows.withColumn("_r", F.row_number().over(Window.partitionBy("gene").orderBy("number", "mip", "sequence")) - 1)
-    sizes = rows.groupBy("gene").agg(F.count("*").alias("n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.gene") < F.col("a.gene"), "left").groupBy("a.gene").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("_before"))
+    before = running_total(rows.groupBy("gene").agg(F.count("*").alias("n")), ["gene"], "n", "_before").drop("n")
     place = (F.col("_r") + F.col("_before")).cast("int")
     out = own.join(before, "gene").withColumn("_p", place)
     well = F.concat(F.substring(F.lit("ABCDEFGH"), F.floor(F.col("_p") % wells / 12).cast("int") + 1, F.lit(1)), (F.col("_p") % 12 + 1).cast("string"))
@@ -197,8 +197,13 @@ def good_samples(reports: DataFrame, expected: DataFrame) -> DataFrame:
     return reports.where("good_reads > 0").crossJoin(F.broadcast(silent)).where("_all").select("sample_id")  # one row on the right
 
 
-def archive_file_table(files: DataFrame, constants: DataFrame, width: int) -> DataFrame:
-    """One row per library with its files in columns filename, filename2, ..., and the constant columns."""
+def archive_file_table(files: DataFrame, constants: DataFrame, width: int = 1) -> DataFrame:
+    """One row per library with all of its files in columns filename, filename2, ..., and the constant columns.
+
+    There are as many columns as the library with most files needs, and width at least.
+    """
+    most = files.groupBy("library_id").agg(F.count("file").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    width = max(width, most)
     listed = files.groupBy("library_id").agg(F.sort_array(F.collect_list("file")).alias("_f"))
     names = ["filename", *[f"filename{i}" for i in range(2, width + 1)]]
     return listed.select("library_id", *[F.get("_f", F.lit(i)).alias(n) for i, n in enumerate(names)]).crossJoin(F.broadcast(constants))  # one constant row

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import candidates as K
 from ..operators import microhaplotypes as M
+from ..scratch import scratch_path
+from ..sources import readers as R
+from ..sources import writers as W
 from .registry import query, rows
 
 _HITS = "SELECT 'p' || l_partkey AS primer, l_orderkey * 1000000 + l_linenumber * 100000 + l_suppkey * 100 + cast(l_quantity AS bigint) AS ord, cast(l_suppkey % 2 * 16 AS int) AS flag, 'chr' || (l_suppkey % 14 + 1) AS chrom, l_partkey * 100 AS pos, '2S' || (l_linenumber + 15) || 'M1I' AS cigar, 40 + l_extendedprice % 30 AS tm FROM lineitem"
@@ -145,9 +148,14 @@ def design_summary(spark, sf):
     return K.design_summary([("all", p), ("plus", p.where("strand = '+'")), ("good", p.where("strand = '+' AND score > 25"))])
 
 
-@query("missed_by_design", f"WITH {_COVERED} SELECT * FROM ({_GOALS}) WHERE name NOT IN (SELECT name FROM cv)")
+# goals of up to 400 bases: a capture has 240
+_LONG = _GOALS.replace("p_partkey * 7 + 53 AS stop", "p_partkey * 7 + 50 + p_size * 8 AS stop")
+
+
+@query("missed_by_design", f"WITH {_COVERED.replace(_GOALS, _LONG)} SELECT * FROM ({_LONG}) WHERE name NOT IN (SELECT name FROM cv)")
 def missed_by_design(spark, sf):
-    return K.missed_by_design(rows(spark, sf, _GOALS), _covered(spark, sf))
+    goals = rows(spark, sf, _LONG)
+    return K.missed_by_design(goals, K.capture_targets(rows(spark, sf, _FULL), goals, "any", read_length=110, trim=10, barcode=10))
 
 
 @query("name_probes", f"SELECT probe, gene, start, gene || '_mip' || (row_number() OVER (PARTITION BY gene ORDER BY start, probe) - 1) AS mip_name FROM ({_PROBES})")
@@ -168,6 +176,9 @@ _MH = "SELECT sample_id, mip AS locus, haplotype_sequence AS sequence, read_coun
 _REPS = f"rp AS (SELECT locus, sequence, locus || '.' || (row_number() OVER (PARTITION BY locus ORDER BY min(ord), sequence) - 1) AS microhaplotype_id FROM ({_MH}) GROUP BY locus, sequence)"
 
 
+_ARMS = "SELECT 'mip' || l_partkey % 40 AS target_id, 'gene' || l_partkey % 40 % 8 AS gene_id, 'F' || l_linenumber AS forward_primer, 'R' || l_suppkey % 3 AS reverse_primer FROM lineitem"
+
+
 @query("pmo_representatives", f"WITH {_REPS} SELECT * FROM rp")
 def pmo_representatives(spark, sf):
     return M.pmo_representatives(rows(spark, sf, _MH))
@@ -182,7 +193,23 @@ def pmo_detected(spark, sf):
     return flat.select("sample_id", "locus", "microhaplotype_id", "v.read_count", "v.umi_count")
 
 
-_ARMS = "SELECT 'mip' || l_partkey % 40 AS target_id, 'gene' || l_partkey % 40 % 8 AS gene_id, 'F' || l_linenumber AS forward_primer, 'R' || l_suppkey % 3 AS reverse_primer FROM lineitem"
+@query("write_pmo", f"""WITH {_REPS}, l AS (SELECT sample_id, locus, sequence, max(ROW(ord, read_count, umi_count)) AS r FROM ({_MH}) GROUP BY sample_id, locus, sequence)
+SELECT 'detected' AS kind, sample_id || '/' || l.locus || '/' || microhaplotype_id AS name, r[2]::BIGINT AS number FROM l JOIN rp ON rp.locus = l.locus AND rp.sequence = l.sequence
+UNION ALL SELECT 'panel', target_id || '/' || min(gene_id), count(DISTINCT forward_primer) * 100 + count(DISTINCT reverse_primer) FROM ({_ARMS}) GROUP BY target_id
+UNION ALL SELECT 'representative', microhaplotype_id || '/' || sequence, length(sequence) FROM rp""")
+def write_pmo(spark, sf):
+    calls, path = rows(spark, sf, _MH), scratch_path(spark, "pmo")
+    representatives = M.pmo_representatives(calls)
+    detected = M.pmo_detected(calls, representatives, ["umi_count"])
+    W.write_pmo(M.pmo_document(M.pmo_panel(rows(spark, sf, _ARMS)), detected, representatives, "panel-1", "run-1"), path)
+    long = lambda c: c.cast("long").alias("number")
+    found = R.read_pmo(spark, path, "detected", "sample_id string, targets map<string, map<string, struct<read_count: bigint, umi_count: bigint>>>")
+    found = found.select("sample_id", F.explode("targets").alias("locus", "haplotypes")).select("sample_id", "locus", F.explode("haplotypes").alias("id", "v"))
+    out = found.select(F.lit("detected").alias("kind"), F.concat_ws("/", "sample_id", "locus", "id").alias("name"), long(F.col("v.read_count")))
+    panel = R.read_pmo(spark, path, "panel", "target_id string, gene_id string, forward_primers array<string>, reverse_primers array<string>")
+    out = out.unionByName(panel.select(F.lit("panel").alias("kind"), F.concat_ws("/", "target_id", "gene_id").alias("name"), long(F.size("forward_primers") * 100 + F.size("reverse_primers"))))
+    names = R.read_pmo(spark, path, "representative", "locus string, sequence string, microhaplotype_id string")
+    return out.unionByName(names.select(F.lit("representative").alias("kind"), F.concat_ws("/", "microhaplotype_id", "sequence").alias("name"), long(F.length("sequence"))))
 
 
 @query("pmo_panel", f"SELECT target_id, min(gene_id) AS gene_id, list_sort(list(DISTINCT forward_primer)) AS forward_primers, list_sort(list(DISTINCT reverse_primer)) AS reverse_primers FROM ({_ARMS}) GROUP BY target_id")

@@ -214,11 +214,14 @@ def repool_decision(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in ("umi_coverage", "library_to_completion", "umis_per_target")})
 
 
-@query("downsample_umis", None)
+@query("downsample_umis", """
+WITH k AS (SELECT *, ord || ':' || haplotype_id || ':' || sample_id || ':' || umi_count AS key FROM calls),
+u AS (SELECT *, -ln((('0x' || substr(md5('3:' || key), 1, 13))::BIGINT + 1) / 4503599627370497.0::DOUBLE) / (read_count + 1) AS wait FROM k)
+SELECT sample_id, haplotype_id, ord, umi_count FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY wait, key) AS n FROM u) WHERE n <= 10""")
 def downsample_umis(spark, sf):
     calls = rows(spark, sf, "calls")
     key = F.concat_ws(":", "ord", "haplotype_id", "sample_id", "umi_count")
-    return H.downsample_umis(calls, 10, ["sample_id"], key, F.col("read_count").cast("double") + 1, seed=3)
+    return H.downsample_umis(calls, 10, ["sample_id"], key, F.col("read_count").cast("double") + 1, seed=3).select("sample_id", "haplotype_id", "ord", "umi_count")
 
 
 @query("expand_umi_reads", """
@@ -310,10 +313,11 @@ def call_microsats(spark, sf):
     return H.call_microsats(calls, 0.2, fixed).select("sample_id", "region", "repeat_length", "umis", F.round("frequency", 9).alias("frequency"))
 
 
-@query("concat_target_tables", "SELECT mip, sample_id, umi_count FROM calls WHERE mip IN ('mip1', 'mip2', 'mip3')")
+@query("concat_target_tables", "SELECT gene, sample_id, read_count FROM calls")
 def concat_target_tables(spark, sf):
-    calls = rows(spark, sf, "calls").select("mip", "sample_id", "umi_count")
-    return H.concat_target_tables([calls.where(F.col("mip") == m) for m in ("mip1", "mip2", "mip3")], "mip", "sample_id")
+    calls = rows(spark, sf, "calls").select("gene", "sample_id", "read_count")
+    genes = sorted(r["gene"] for r in calls.select("gene").distinct().collect())  # one table for each
+    return H.concat_target_tables([calls.where(F.col("gene") == g) for g in genes], "gene", "sample_id")
 
 
 @query("concat_target_tables_whole", "SELECT mip, sample_id, umi_count FROM calls")
@@ -323,9 +327,17 @@ def concat_target_tables_whole(spark, sf):
     return H.concat_target_tables([calls.where(F.col("mip") == m) for m in mips], "mip", "sample_id")
 
 
-@query("padded_reads", None)
+_PLACED = "SELECT DISTINCT m.haplotype_id, m.mapped_copy_number, c.chrom, c.capture_start, c.capture_end, c.orientation, 40 AS umi_count, 'ACGTTA' AS haplotype_sequence, 'IIIIHH' AS sequence_quality FROM mapped AS m JOIN probe_copies AS c ON m.mip = c.mip AND m.copy = c.copy"
+# the base at a place of any of its contigs: each 100 bases repeat a word made of their number
+_FLANK = "array_to_string(list_transform(range({lo}, {hi} + 1), lambda p: substr(translate(((p - 1) // 100 + 100)::VARCHAR, '0123456789', 'ACGTTGCAAC'), ((p - 1) % 100 % 3 + 1)::INT, 1)), '')"
+
+
+@query("padded_reads", f"""
+WITH h AS ({_PLACED}), f AS (SELECT *, {_FLANK.format(lo='greatest(1, capture_start - 30)', hi='(capture_start - 1)')} AS l, {_FLANK.format(lo='(capture_end + 1)', hi='(capture_end + 30)')} AS r FROM h)
+SELECT haplotype_id, chrom, capture_start, 40 // mapped_copy_number AS count, l || CASE orientation WHEN 'reverse' THEN 'TAACGT' ELSE 'ACGTTA' END || r AS seq,
+  repeat('!', length(l)) || CASE orientation WHEN 'reverse' THEN 'HHIIII' ELSE 'IIIIHH' END || repeat('!', length(r)) AS qual FROM f""")
 def padded_reads(spark, sf):
-    haps = rows(spark, sf, "SELECT DISTINCT m.haplotype_id, m.mapped_copy_number, c.chrom, c.capture_start, c.capture_end, c.orientation, 40 AS umi_count, 'ACGTTA' AS haplotype_sequence, 'IIIIHH' AS sequence_quality FROM mapped AS m JOIN probe_copies AS c ON m.mip = c.mip AND m.copy = c.copy")
+    haps = rows(spark, sf, _PLACED)
     places = rows(spark, sf, "SELECT DISTINCT chrom FROM probe_copies")
     contigs = places.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(999)))).withColumn("chunk_size", F.lit(100)).withColumn("seq", F.substring(F.repeat(F.translate((F.col("chunk") + 100).cast("string"), "0123456789", "ACGTTGCAAC"), 40), 1, 100))
     return H.padded_reads(haps, contigs, 30).select("haplotype_id", "chrom", "capture_start", "count", "seq", "qual")

@@ -189,10 +189,12 @@ def good_samples(spark, sf):
     return S.good_samples(reports, rows(spark, sf, "sample_meta"))
 
 
-@query("archive_file_table", "WITH f AS (SELECT 'L' || o_custkey AS library_id, list(o_orderkey || '.fastq.gz' ORDER BY o_orderkey || '.fastq.gz') AS f FROM orders GROUP BY o_custkey) SELECT library_id, f[1] AS filename, f[2] AS filename2, f[3] AS filename3, 'AMPLICON' AS strategy FROM f")
+_ARCHIVED = "SELECT DISTINCT 'L' || l_orderkey AS library_id, 'L' || l_orderkey || '_' || l_linenumber || '.fastq.gz' AS file FROM lineitem"
+
+
+@query("archive_file_table", f"WITH f AS (SELECT library_id, list(file ORDER BY file) AS f FROM ({_ARCHIVED}) GROUP BY library_id) SELECT library_id, f[1] AS filename, {', '.join(f'f[{i}] AS filename{i}' for i in range(2, 8))}, 'AMPLICON' AS strategy FROM f")
 def archive_file_table(spark, sf):
-    files = rows(spark, sf, "SELECT 'L' || o_custkey AS library_id, o_orderkey || '.fastq.gz' AS file FROM orders")
-    return S.archive_file_table(files, spark.range(1).select(F.lit("AMPLICON").alias("strategy")), 3)
+    return S.archive_file_table(rows(spark, sf, _ARCHIVED), spark.range(1).select(F.lit("AMPLICON").alias("strategy")), 7)
 
 
 @query("biosample_table", "SELECT m.sample_id, 'Plasmodium' AS organism, CASE WHEN year = 2017 THEN 'not collected' ELSE site END AS geo_loc_name, year AS collection_date, 'blood' AS isolation_source, CASE WHEN length(m.sample_id) > 2 THEN 'ACC' || m.sample_id END AS accession FROM sample_meta AS m WHERE year <> 2016")
@@ -254,10 +256,23 @@ def cigar_lengths(spark, sf):
     return table.select("p_partkey", Q.cigar_lengths(F.col("cigar"))["M"].alias("m"), Q.cigar_lengths(F.col("cigar"))["S"].alias("s"), Q.reference_length(F.col("cigar")).alias("reference_length"))
 
 
-@query("nearest_neighbor_tm", None)
+# published values, per pair of neighbours: enthalpy (cal/mol) and entropy (cal/mol K)
+_TM_H = "CASE WHEN d IN ('AA', 'TT') THEN -7900 WHEN d IN ('AT', 'TA') THEN -7200 WHEN d IN ('CA', 'TG') THEN -8500 WHEN d IN ('GT', 'AC') THEN -8400 WHEN d IN ('CT', 'AG') THEN -7800 WHEN d IN ('GA', 'TC') THEN -8200 WHEN d = 'CG' THEN -10600 WHEN d = 'GC' THEN -9800 WHEN d IN ('GG', 'CC') THEN -8000 END"
+_TM_S = "CASE WHEN d IN ('AA', 'TT') THEN -22.2 WHEN d = 'AT' THEN -20.4 WHEN d = 'TA' THEN -21.3 WHEN d IN ('CA', 'TG') THEN -22.7 WHEN d IN ('GT', 'AC') THEN -22.4 WHEN d IN ('CT', 'AG') THEN -21.0 WHEN d IN ('GA', 'TC') THEN -22.2 WHEN d = 'CG' THEN -27.2 WHEN d = 'GC' THEN -24.4 WHEN d IN ('GG', 'CC') THEN -19.9 END"
+_TM_SEQ = "SELECT p_partkey, 'ACG' || translate(cast(p_partkey * 7654321 AS string), '0123456789', 'ACGTTGCAAC') || 'TTGC' AS seq FROM part"
+
+
+@query("nearest_neighbor_tm", f"""
+WITH q AS ({_TM_SEQ}), x AS (SELECT *, list_transform(range(1, length(seq)), lambda i: substr(seq, i::INT, 2)) AS ds, floor(100.0 * length(regexp_replace(seq, '[^GC]', '', 'g')) / length(seq)) / 100 AS gc FROM q),
+e AS (SELECT *, list_sum(list_transform(ds, lambda d: ({_TM_H})::DOUBLE)) + list_sum(list_transform([left(seq, 1), right(seq, 1)], lambda c: CASE WHEN c IN ('G', 'C') THEN 100.0 ELSE 2300.0 END)) AS h,
+  list_sum(list_transform(ds, lambda d: ({_TM_S})::DOUBLE)) + list_sum(list_transform([left(seq, 1), right(seq, 1)], lambda c: CASE WHEN c IN ('G', 'C') THEN -2.8 ELSE 4.1 END)) AS s FROM x),
+k AS (SELECT *, h / (s + 1.987::DOUBLE * ln(0.25e-9::DOUBLE)) AS dry, ln(0.05::DOUBLE) AS na, 0.0015::DOUBLE AS mg0 FROM e),
+f AS (SELECT *, (-(1 - 30000 * mg0) + sqrt(pow(1 - 30000 * mg0, 2) + 4 * 30000 * mg0)) / 60000 AS mg FROM k),
+g AS (SELECT *, 3.92 * (0.843 - 0.352 * sqrt(0.05::DOUBLE) * na) AS a, 1.42 * (1.279 - 4.03e-3 * na - 8.03e-3 * na * na) AS b, 8.31 * (0.486 - 0.258 * na + 5.25e-3 * na * na * na) AS c FROM f)
+SELECT p_partkey, round(dry / (dry * 1e-5 * (a - 0.911 * ln(mg) + gc * (6.26 + b * ln(mg)) + (-48.2 + 52.5 * ln(mg) + c * ln(mg) * ln(mg)) / (2 * (length(seq) - 1))) + 1) - 273.15, 6) AS tm FROM g""")
 def nearest_neighbor_tm(spark, sf):
-    table = rows(spark, sf, "SELECT p_partkey, 'ACG' || translate(cast(p_partkey * 7654321 AS string), '0123456789', 'ACGTTGCAAC') || 'TTGC' AS seq FROM part")
-    return table.select("p_partkey", Q.nearest_neighbor_tm(F.col("seq"), 0.25, 50, 1.5).alias("tm"))
+    return rows(spark, sf, _TM_SEQ).select("p_partkey", F.round(Q.nearest_neighbor_tm(F.col("seq"), 0.25, 50, 1.5), 6).alias("tm"))
+
 
 
 @query("chromosome_alias", "SELECT p_partkey, 'Pf3D7_' || lpad((p_size % 14 + 1)::VARCHAR, 2, '0') || '_v3' AS assembly FROM part")

@@ -72,8 +72,9 @@ def _vcf(spark, sf):
 
 @query("read_vcf", f"WITH v AS ({_SITES}) SELECT chrom, pos, q::DOUBLE AS qual, q::VARCHAR AS dp_info, 'true' AS ot, 'S' || k AS sample, CASE k WHEN 1 THEN '0/1' ELSE './.' END AS gt, CASE k WHEN 1 THEN n::VARCHAR END AS dp FROM v, (SELECT unnest([1, 2]) AS k)")
 def read_vcf(spark, sf):
-    # one file, as a caller writes it: the header is in the file of its sites
-    back = R.read_vcf(spark, _text(_vcf(spark, sf).coalesce(1), "vcf"))
+    # many part files, of which one has the header
+    path = _text(_vcf(spark, sf), "vcf")
+    back = R.read_vcf(spark, path, R.vcf_samples(spark.read.text(path)))
     return back.select("chrom", "pos", "qual", F.col("info")["DP"].alias("dp_info"), F.col("info")["OT"].alias("ot"), "sample", F.col("call")["GT"].alias("gt"), F.col("call")["DP"].alias("dp"))
 
 
@@ -129,6 +130,19 @@ def write_fasta(spark, sf):
     return R.read_fasta(spark, path)
 
 
+@query("read_fasta", f"SELECT 'd' || doc_id || '>x c.76A>T' AS id, seq, false AS repeated FROM ({_SEQS_SQL})")
+def read_fasta(spark, sf):
+    path = scratch_path(spark, "fasta")
+    W.write_fasta(_seqs(spark, sf).withColumn("id", F.concat("id", F.lit(">x c.76A>T"))), path)
+    return R.read_fasta(spark, path, full_name=True)
+
+
+@query("read_fastq", f"SELECT '@d' || doc_id AS id, seq, repeat('@', length(seq)) AS qual FROM ({_SEQS_SQL})")
+def read_fastq(spark, sf):
+    record = W.fastq_record(F.concat(F.lit("@"), "id"), F.col("seq"), F.repeat(F.lit("@"), F.length("seq")))
+    return R.read_fastq(spark, _text(_seqs(spark, sf).select(record.alias("value")), "fastq")).select("id", "seq", "qual")
+
+
 @query("write_fastq_per_sample", f"SELECT 'S' || doc_id % 5 AS sample_id, 'd' || doc_id AS id, seq, repeat('I', length(seq)) AS qual FROM ({_SEQS_SQL})")
 def write_fastq_per_sample(spark, sf):
     path = scratch_path(spark, "fastq")
@@ -138,14 +152,6 @@ def write_fastq_per_sample(spark, sf):
     return back.select(F.regexp_extract("path", "sample_id=([^/]+)", 1).alias("sample_id"), "id", "seq", "qual")
 
 
-@query("write_wide_matrix", "SELECT sample_id, max(CASE WHEN variant = 'gene0-Ala0Val' THEN alt END) AS \"gene0-Ala0Val\", max(CASE WHEN variant = 'gene1-Ala7Val' THEN alt END) AS \"gene1-Ala7Val\" FROM depths GROUP BY sample_id")
-def write_wide_matrix(spark, sf):
-    path, names = scratch_path(spark, "wide"), ["gene0-Ala0Val", "gene1-Ala7Val"]
-    W.write_wide_matrix(rows(spark, sf, "depths"), path, "sample_id", "variant", names, "alt")
-    back = spark.read.option("header", True).csv(path)
-    return back.select("sample_id", *[F.col(f"`{n}`").cast("bigint").alias(n) for n in names])
-
-
 @query("write_long", "SELECT variant, gene, sample_id, alt FROM depths")
 def write_long(spark, sf):
     path = scratch_path(spark, "long")
@@ -153,38 +159,49 @@ def write_long(spark, sf):
     return spark.read.parquet(path).select("variant", "gene", "sample_id", "alt")
 
 
-@query("read_wide_matrix", "SELECT sample_id, gene AS \"Gene\", variant AS \"Mutation Name\", alt::DOUBLE AS value FROM depths WHERE variant IN ('gene0-Ala0Val', 'gene1-Ala7Val')")
-def read_wide_matrix(spark, sf):
-    d = rows(spark, sf, "depths").where("variant IN ('gene0-Ala0Val', 'gene1-Ala7Val')")
-    wide = W.wide_matrix(d, "sample_id", "variant", ["gene0-Ala0Val", "gene1-Ala7Val"], "alt").na.drop()
-    lines = wide.select(F.concat_ws(",", "sample_id", *[F.col(f"`{c}`").cast("string") for c in wide.columns[1:]]).alias("value"))
-    heads = spark.range(1).select(F.explode(F.array(F.lit("Gene,gene0,gene1"), F.lit("Mutation Name,gene0-Ala0Val,gene1-Ala7Val"))).alias("value"))
-    return R.read_wide_matrix(spark, _text(heads.unionByName(lines), "matrix"), ["Gene", "Mutation Name"])
-
-
 def _variants(depths):
     """The columns of a wide file are values of the table, and its header holds all of them."""
     return sorted(tuple(r) for r in depths.select("variant", "gene").distinct().collect())
 
 
-@query("write_wide_matrix_whole", "SELECT sample_id, variant, alt FROM depths")
-def write_wide_matrix_whole(spark, sf):
-    path, depths = scratch_path(spark, "wide-whole"), rows(spark, sf, "depths")
+def _wide_back(spark, sf, value):
+    """All variants of a value as a wide file, read back and turned long."""
+    path, depths = scratch_path(spark, "wide"), rows(spark, sf, "depths")
     names = [v for v, _ in _variants(depths)]
-    W.write_wide_matrix(depths, path, "sample_id", "variant", names, "alt")
+    W.write_wide_matrix(depths, path, "sample_id", "variant", names, value)
     back = spark.read.option("header", True).csv(path)
-    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), F.col(f"`{n}`").cast("bigint").alias("alt")) for n in names]))
-    return back.select("sample_id", cells.alias("c")).select("sample_id", "c.variant", "c.alt").where("alt is not null")
+    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), F.col(f"`{n}`").cast("bigint").alias(value)) for n in names]))
+    return back.select("sample_id", cells.alias("c")).select("sample_id", "c.variant", f"c.{value}").where(F.col(value).isNotNull())
 
 
-@query("read_wide_matrix_whole", "SELECT sample_id, gene AS \"Gene\", variant AS \"Mutation Name\", alt::DOUBLE AS value FROM depths")
-def read_wide_matrix_whole(spark, sf):
+@query("write_wide_matrix", "SELECT sample_id, variant, ref FROM depths")
+def write_wide_matrix(spark, sf):
+    return _wide_back(spark, sf, "ref")
+
+
+@query("write_wide_matrix_whole", "SELECT sample_id, variant, alt FROM depths")
+def write_wide_matrix_whole(spark, sf):
+    return _wide_back(spark, sf, "alt")
+
+
+def _matrix(spark, sf, value):
+    """All variants of a value as a matrix with header rows, read back."""
     depths = rows(spark, sf, "depths")
     found = _variants(depths)
-    wide = W.wide_matrix(depths, "sample_id", "variant", [v for v, _ in found], "alt")
+    wide = W.wide_matrix(depths, "sample_id", "variant", [v for v, _ in found], value)
     lines = wide.select(F.concat_ws(",", "sample_id", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in wide.columns[1:]]).alias("value"))
     heads = spark.createDataFrame([(",".join(["Gene", *[g for _, g in found]]),), (",".join(["Mutation Name", *[v for v, _ in found]]),)], "value string")
-    return R.read_wide_matrix(spark, _text(heads.unionByName(lines), "matrix-whole"), ["Gene", "Mutation Name"]).where("value is not null")
+    return R.read_wide_matrix(spark, _text(heads.unionByName(lines), "matrix"), ["Gene", "Mutation Name"]).where("value is not null")
+
+
+@query("read_wide_matrix", "SELECT sample_id, gene AS \"Gene\", variant AS \"Mutation Name\", coverage::DOUBLE AS value FROM depths")
+def read_wide_matrix(spark, sf):
+    return _matrix(spark, sf, "coverage")
+
+
+@query("read_wide_matrix_whole", "SELECT sample_id, gene AS \"Gene\", variant AS \"Mutation Name\", alt::DOUBLE AS value FROM depths")
+def read_wide_matrix_whole(spark, sf):
+    return _matrix(spark, sf, "alt")
 
 
 @query("read_demux_stats", "SELECT l_suppkey::INT AS sample_number, sum(cast(l_quantity AS bigint))::BIGINT AS reads_raw FROM lineitem GROUP BY l_suppkey")

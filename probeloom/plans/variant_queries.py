@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import genotypes as G
 from ..operators import variants as V
+from ..scratch import scratch_path
+from ..sources import readers as R
+from ..sources import writers as W
 from .registry import query, rows
 
 _VARIANTS = "SELECT DISTINCT variant FROM depths"
@@ -177,14 +180,14 @@ def decompose_blocks(spark, sf):
 
 
 @query("aggregate_nt", f"""
-WITH s AS (SELECT *, unnest(string_split(alt, ',')) AS a, generate_subscripts(string_split(alt, ','), 1) AS i FROM site_calls WHERE length(ref) < 3 AND alt <> 'GCC'),
+WITH s AS (SELECT *, unnest(string_split(alt, ',')) AS a, generate_subscripts(string_split(alt, ','), 1) AS i FROM site_calls),
 x AS (SELECT chrom, pos, ref, a AS alt, sample_id, string_split(ao, ',')[i]::DOUBLE AS ao, ro, dp, CASE WHEN gt LIKE '%.%' THEN NULL ELSE len(list_filter(string_split(gt, '/'), lambda g: g = i::VARCHAR)) END AS genotype FROM s),
-d AS (SELECT chrom, pos + j AS pos, ref[j + 1] AS ref_base, alt[j + 1] AS alt_base, sample_id, ao, ro, dp, genotype FROM x, (SELECT unnest(range(2)) AS j) WHERE j < length(ref))
+d AS (SELECT chrom, pos + j AS pos, ref[j + 1] AS ref_base, alt[j + 1] AS alt_base, sample_id, ao, ro, dp, genotype FROM x, (SELECT unnest(range(2)) AS j) WHERE length(ref) = length(alt) AND j < length(ref) AND (length(ref) = 1 OR ref[j + 1] <> alt[j + 1])
+UNION ALL SELECT chrom, pos, ref, alt, sample_id, ao, ro, dp, genotype FROM x WHERE length(ref) <> length(alt))
 SELECT chrom, pos, ref_base, alt_base, chrom || ':' || pos AS mutation_name, 'No' AS targeted, sample_id, sum(ao) AS alt, least(min(ro), max(dp) - sum(ao)) AS ref, max(dp) AS coverage, {_GT} AS genotype
 FROM d GROUP BY chrom, pos, ref_base, alt_base, sample_id""")
 def aggregate_nt(spark, sf):
-    sites = rows(spark, sf, "site_calls").where("length(ref) < 3 AND alt <> 'GCC'")
-    single = V.decompose_blocks(V.split_multiallelic(sites)).withColumns({"mutation_name": F.concat_ws(":", "chrom", "pos"), "targeted": F.lit("No")})
+    single = V.decompose_blocks(V.split_multiallelic(rows(spark, sf, "site_calls"))).withColumns({"mutation_name": F.concat_ws(":", "chrom", "pos"), "targeted": F.lit("No")})
     return V.aggregate_nt(single.withColumnsRenamed({"ref": "ref_base", "alt": "alt_base"}))
 
 
@@ -381,7 +384,7 @@ def plink_ped(spark, sf):
 
 @query("plink_map", f"WITH {_PLINK} SELECT variant, chrom || chr(9) || variant || chr(9) || '0' || chr(9) || pos AS line FROM st")
 def plink_map(spark, sf):
-    return _plink(spark, sf)[1]
+    return _plink(spark, sf)[1].select("variant", "line")
 
 
 @query("plink_geno", f"""WITH {_PLINK} SELECT gt.sample_id, gt.sample_id || chr(9) || string_agg(coalesce(genotype::VARCHAR, '.'), chr(9) ORDER BY chrom, pos, gt.variant) AS line
@@ -395,14 +398,41 @@ def plink_genes(spark, sf):
     return _plink(spark, sf)[3]
 
 
+@query("write_plink", f"""WITH {_PLINK}, cells AS (SELECT gt.sample_id, affected, genotype, chrom, pos, gt.variant FROM gt JOIN phenotype AS p ON gt.sample_id = p.sample_id JOIN st ON gt.variant = st.variant)
+SELECT 'ped' AS kind, sample_id || ' ' || sample_id || ' 0 0 0 ' || CASE WHEN affected THEN '2' ELSE '1' END || ' ' || string_agg(CASE genotype WHEN 0 THEN 'A A' WHEN 1 THEN 'A G' WHEN 2 THEN 'G G' ELSE '0 0' END, ' ' ORDER BY chrom, pos, variant) AS line FROM cells GROUP BY sample_id, affected
+UNION ALL SELECT 'map', chrom || chr(9) || variant || chr(9) || '0' || chr(9) || pos FROM st
+UNION ALL SELECT 'geno', sample_id || chr(9) || string_agg(coalesce(genotype::VARCHAR, '.'), chr(9) ORDER BY chrom, pos, variant) FROM cells GROUP BY sample_id
+UNION ALL SELECT 'hlist', string_agg(DISTINCT variant, ' ' ORDER BY variant) FROM st GROUP BY gene""")
+def write_plink(spark, sf):
+    path = scratch_path(spark, "plink")
+    W.write_plink(_plink(spark, sf), path)
+    return R.read_plink(spark, path)
+
+
 @query("coi_encoding", f"WITH {_CALLED} SELECT sample_id, variant, coalesce(genotype / 2.0::DOUBLE, -1) AS coi FROM gt")
 def coi_encoding(spark, sf):
     return G.coi_encoding(_called(spark, sf)).select("sample_id", "variant", "coi")
 
 
-@query("contingency_tests", None)
+# the chi-square tail with one degree of freedom is 1 less the normal density's integral, here by Simpson's rule
+_CHI = "1 - sqrt(chi) / 3000 * list_sum(list_transform(range(1001), lambda i: CASE WHEN i % 1000 = 0 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * sqrt(2 / pi()) * exp(-chi * i * i / 2000000)))"
+
+
+@query("contingency_tests", f"""
+WITH {_CALLED}, c AS (SELECT variant, affected, count(CASE WHEN genotype = 2 THEN 1 END) AS hom, count(CASE WHEN genotype = 1 THEN 1 END) AS het, count(CASE WHEN genotype > 0 THEN 1 END) AS either, count(CASE WHEN genotype = 0 THEN 1 END) AS wild
+  FROM gt JOIN phenotype AS p ON gt.sample_id = p.sample_id WHERE genotype IS NOT NULL GROUP BY variant, affected),
+l AS (SELECT variant, affected, wild, unnest(['hom', 'het', 'any']) AS kind, unnest([hom, het, either]) AS alt FROM c),
+t AS (SELECT variant, kind, coalesce(sum(CASE WHEN affected THEN alt END), 0)::BIGINT AS a, coalesce(sum(CASE WHEN NOT affected THEN alt END), 0)::BIGINT AS b,
+  coalesce(sum(CASE WHEN affected THEN wild END), 0)::BIGINT AS c, coalesce(sum(CASE WHEN NOT affected THEN wild END), 0)::BIGINT AS d FROM l GROUP BY variant, kind),
+m AS (SELECT *, a + b + c + d AS n, lgamma(a + b + 1) + lgamma(c + d + 1) + lgamma(a + c + 1) + lgamma(b + d + 1) - lgamma(a + b + c + d + 1) AS fixed,
+  (a + b + c + d) * pow(greatest(0, abs(a * d - b * c) - (a + b + c + d) / 2), 2) / nullif((a + b)::DOUBLE * (c + d) * (a + c) * (b + d), 0) AS chi FROM t),
+o AS (SELECT *, list_transform(range(greatest(0, a + b + a + c - n), least(a + b, a + c) + 1), lambda x: fixed - lgamma(x + 1) - lgamma(a + b - x + 1) - lgamma(a + c - x + 1) - lgamma(n - a - b - a - c + x + 1)) AS ps,
+  fixed - lgamma(a + 1) - lgamma(b + 1) - lgamma(c + 1) - lgamma(d + 1) AS own FROM m)
+SELECT variant, kind, a AS case_alt, b AS control_alt, c AS case_wild, d AS control_wild, round(a * d / nullif(b::DOUBLE * c, 0), 9) AS odds_ratio,
+  round(CASE WHEN n = 0 THEN 1 ELSE least(1, list_sum(list_transform(list_filter(ps, lambda p: p <= own + 1e-7), lambda p: exp(p)))) END, 7) AS fisher_p, round(coalesce({_CHI}, 1), 7) AS chi_square_p FROM o""")
 def contingency_tests(spark, sf):
-    return G.contingency_tests(_called(spark, sf), rows(spark, sf, "phenotype"))
+    out = G.contingency_tests(_called(spark, sf), rows(spark, sf, "phenotype"))
+    return out.withColumns({"odds_ratio": F.round("odds_ratio", 9), "fisher_p": F.round("fisher_p", 7), "chi_square_p": F.round("chi_square_p", 7)})
 
 
 _CELLS = "x AS (SELECT sample_id, gene, CASE WHEN ref > alt THEN 0 ELSE 1 END AS expected, CASE WHEN coverage % 10 = 0 THEN NULL WHEN alt > 20 THEN 1 ELSE 0 END AS observed FROM depths)"

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
+
+#: Parts of a PLINK data set, one folder each.
+PLINK_KINDS = ("ped", "map", "geno", "hlist")
+#: Sample names of VCF headers are broadcast up to this size.
+BROADCAST_BYTES = 32 << 20
+
 #: Columns of a wrangler's table and the names that we give them.
 HAPLOTYPE_COLUMNS = {"s_Sample": "sample_id", "p_geneName": "gene", "p_targetName": "mip", "h_popUID": "haplotype_id", "h_seq": "haplotype_sequence", "c_qual": "sequence_quality", "c_readCnt": "read_count", "c_barcodeCnt": "umi_count"}
 
@@ -59,16 +65,23 @@ def merge_probe_catalogues(catalogues: Sequence[DataFrame]) -> DataFrame:
     return rows.withColumn("_last", last).where("_i = _last").drop("_i", "_last")
 
 
-def parse_vcf(lines: DataFrame) -> DataFrame:
+def parse_vcf(lines: DataFrame, samples: Sequence[str] | None = None) -> DataFrame:
     """One row per site and sample of VCF lines (column value, and file to tell several files apart).
 
-    chrom, pos, id, ref, alt, qual, filter, info (map; flags are 'true'), sample, call (map from FORMAT keys).
+    chrom, pos, id, ref, alt, qual, filter, info (map; flags are 'true'), sample, call (map from FORMAT keys). A file's
+    samples are named by its header, or for all files by samples, as a file in parts has one header only.
     """
     lines = lines if "file" in lines.columns else lines.withColumn("file", F.lit(""))
-    names = lines.where(F.col("value").startswith("#CHROM")).select("file", F.slice(F.split("value", "\t"), 10, 1 << 30).alias("samples"))
     cells = lines.where(~F.col("value").startswith("#")).select("file", F.split("value", "\t").alias("f"))
+    if samples is None:
+        heads = lines.where(F.col("value").startswith("#CHROM")).select("file", F.slice(F.split("value", "\t"), 10, 1 << 30).alias("samples"))
+        names = materialize(heads.groupBy("file").agg(F.first("samples").alias("samples")), "vcf-headers")  # one row for each file
+        size = names.agg(F.coalesce(F.sum(F.octet_length(F.concat_ws("", "samples", "file")) + 64), F.lit(0))).first()[0]
+        base = cells.join(F.broadcast(names) if size <= BROADCAST_BYTES else names, "file")
+    else:
+        base = cells.withColumn("samples", F.array(*map(F.lit, samples)))
     info = F.transform_values(F.str_to_map(F.col("f")[7], F.lit(";"), F.lit("=")), lambda k, v: F.coalesce(v, F.lit("true")))
-    base = cells.join(names, "file").select(
+    base = base.select(
         "file", F.col("f")[0].alias("chrom"), F.col("f")[1].cast("bigint").alias("pos"), F.col("f")[2].alias("id"), F.col("f")[3].alias("ref"), F.col("f")[4].alias("alt"), F.col("f")[5].try_cast("double").alias("qual"), F.col("f")[6].alias("filter"),
         info.alias("info"), F.split(F.get("f", F.lit(8)), ":").alias("_keys"), F.explode(F.arrays_zip(F.col("samples").alias("s"), F.slice("f", 10, 1 << 30).alias("v"))).alias("_c"),
     )
@@ -77,8 +90,14 @@ def parse_vcf(lines: DataFrame) -> DataFrame:
     return base.select("file", "chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", F.col("_c.s").alias("sample"), F.map_from_entries(pairs).alias("call"))
 
 
-def read_vcf(spark: SparkSession, path: str) -> DataFrame:
-    return parse_vcf(spark.read.text(path).withColumn("file", F.input_file_name()))
+def read_vcf(spark: SparkSession, path: str, samples: Sequence[str] | None = None) -> DataFrame:
+    return parse_vcf(spark.read.text(path).withColumn("file", F.input_file_name()), samples)
+
+
+def vcf_samples(lines: DataFrame) -> list[str]:
+    """The sample names of the first header among VCF lines."""
+    head = lines.where(F.col("value").startswith("#CHROM")).first()
+    return head["value"].split("\t")[9:] if head else []
 
 
 def parse_sam(lines: DataFrame) -> DataFrame:
@@ -113,28 +132,44 @@ def read_genepred(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str, full_name: bool = False) -> DataFrame:
-    """id (up to the first white space unless full_name), seq, and whether the id occurs again."""
-    records = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
+    """id (up to the first white space unless full_name), seq, and whether the id occurs again.
+
+    A record begins with '>' at the start of a line; a name may hold others.
+    """
+    records = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value")).where(F.trim("value") != "")
     head = F.regexp_extract("value", "^([^\r\n]*)", 1)
     rows = records.select((head if full_name else F.split(head, "\\s")[0]).alias("id"), F.translate(F.regexp_replace("value", "^[^\n]*", ""), "\r\n", "").alias("seq"))
     return rows.withColumn("repeated", F.count("*").over(Window.partitionBy("id")) > 1)
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import gzip
+def read_fastq(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """path, id, seq and qual of plain or gzipped files; a record that the file's end cuts off is left out.
 
-    for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-            text = (gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content).decode()
-            lines = text.splitlines()
-            whole = len(lines) // 4 * 4
-            yield pa.RecordBatch.from_arrays([pa.array([path] * (whole // 4), pa.string()), pa.array([x[1:] for x in lines[0:whole:4]], pa.string()), pa.array(lines[1:whole:4], pa.string()), pa.array(lines[3:whole:4], pa.string())], names=["path", "id", "seq", "qual"])
+    Lines are numbered where they are read, and the first numbers of a file's blocks follow from the counts of lines
+    before (one small row for each block), so no file has to fit in memory.
+    """
+    lines = spark.read.text(paths).select("value", F.input_file_name().alias("path"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("at"))
+    blocks = lines.groupBy("path", "block").agg(F.min("at").alias("from"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = lines.join(blocks.select("path", "block", (before - F.col("from")).alias("shift")), ["path", "block"]).withColumn("line", F.col("at") + F.col("shift"))
+    part = lambda k: F.max(F.when(F.col("line") % 4 == k, F.col("value")))
+    records = numbered.groupBy("path", F.floor(F.col("line") / 4).alias("record")).agg(part(0).alias("head"), part(1).alias("seq"), part(3).alias("qual"))
+    return records.where("qual is not null").select("path", F.expr("substring(head, 2)").alias("id"), "seq", "qual")
 
 
-def read_fastq(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """path, id, seq and qual of plain or gzipped files; a file is read by one task."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return files.mapInArrow(_records, "path string, id string, seq string, qual string")
+def read_plink(spark: SparkSession, path: str) -> DataFrame:
+    """kind (ped, map, geno or hlist) and line of the tables below a path, as write_plink() writes them."""
+    out = None
+    for kind in PLINK_KINDS:
+        part = spark.read.text(f"{path}/{kind}").select(F.lit(kind).alias("kind"), F.col("value").alias("line"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def read_pmo(spark: SparkSession, path: str, kind: str, schema: str) -> DataFrame:
+    """The rows of one kind of part (panel, detected or representative) of a written document, with its ids."""
+    parts = spark.read.schema("panel_id string, run_id string, json string, kind string").json(path).where(F.col("kind") == kind)
+    return parts.select("panel_id", "run_id", F.from_json("json", schema).alias("j")).select("panel_id", "run_id", "j.*")
 
 
 def read_wide_matrix(spark: SparkSession, path: str, levels: Sequence[str]) -> DataFrame:

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..spread import spread_join
+from .readers import PLINK_KINDS
+
 
 def write_long(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode("errorifexists")
@@ -26,10 +29,12 @@ def fastq_record(name: Column, seq: Column, qual: Column) -> Column:
     return F.concat_ws("\n", F.concat(F.lit("@"), name), seq, F.lit("+"), qual)
 
 
-def write_fastq_per_sample(reads: DataFrame, path: str) -> None:
-    """A folder per sample of gzipped records. reads: sample_id, name, seq, qual."""
+def write_fastq_per_sample(reads: DataFrame, path: str, per_file: int = 1_000_000) -> None:
+    """A folder per sample of gzipped files of about per_file records. reads: sample_id, name, seq, qual."""
     out = reads.select("sample_id", fastq_record(F.col("name"), F.col("seq"), F.col("qual")).alias("value"))
-    out.repartition("sample_id", F.pmod(F.xxhash64("value"), F.lit(8))).write.partitionBy("sample_id").text(path, compression="gzip")
+    parts = out.groupBy("sample_id").agg(F.count("*").alias("n")).select("sample_id", "n", F.ceil(F.col("n") / per_file).alias("_parts"))
+    dealt = spread_join(out, parts, ["sample_id"]).repartition("sample_id", F.pmod(F.xxhash64("value"), F.col("_parts"))).drop("_parts")
+    dealt.write.partitionBy("sample_id").text(path, compression="gzip")
 
 
 def fasta_record(name: Column, seq: Column, width: int = 60) -> Column:
@@ -45,6 +50,21 @@ def write_lines(df: DataFrame, path: str, column: str = "line") -> None:
     df.select(F.col(column).alias("value")).write.text(path)
 
 
+def write_plink(tables: Sequence[DataFrame], path: str) -> None:
+    """The ped, map, geno and hlist tables (column line, and for the map chrom, pos and variant) as folders of text.
+
+    The map's lines are in the order of the ped's columns, over all of its part files.
+    """
+    ped, places, geno, genes = tables
+    for kind, table in zip(PLINK_KINDS, (ped, places.orderBy("chrom", "pos", "variant"), geno, genes), strict=True):
+        write_lines(table, f"{path}/{kind}")
+
+
+def write_pmo(parts: DataFrame, path: str) -> None:
+    """The parts of a portable microhaplotype document (kind, panel_id, run_id, json) as JSON lines, a folder for each kind."""
+    parts.write.partitionBy("kind").json(path)
+
+
 def filter_vcf_lines(lines: DataFrame, tags: Sequence[str]) -> DataFrame:
     """Header lines, and the raw lines of sites whose FILTER names none of the tags."""
     named = F.arrays_overlap(F.split(F.get(F.split("value", "\t"), F.lit(6)), ";"), F.array(*map(F.lit, tags)))
