@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import let, read
 
 #: The base patterns. The keywords are spelled per letter, as engines differ in what ignoring case covers.
 _KEYWORDS = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
@@ -49,51 +49,79 @@ _SCALE = 1 << 20
 #: k * log2(k) as whole numbers, so that adding and removing characters leaves no rounding behind.
 _TERMS = [round(k * math.log2(k) * _SCALE) if k else 0 for k in range(WINDOW + 1)]
 
+#: Counts up to WINDOW fit fields of 5 bits, and 12 of them a bigint.
+_FIELD, _FIELDS = 5, 12
+_BLOCK = 128
+
 _SPAN = "array<struct<start:bigint,end:bigint,text:string>>"
 
 
+def _before(sizes: Column) -> Column:
+    """For each of an array of numbers the sum of those before it: in blocks, and blocks of blocks, so in time near the length."""
+
+    def scan(xs: Column) -> Column:
+        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
+        step = lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(xs, start, step, lambda acc: acc["out"])
+
+    def blocks(xs: Column, over) -> Column:
+        def added(cut: Column) -> Column:
+            sums = F.transform(cut, lambda b: F.aggregate(b, F.lit(0).cast("bigint"), lambda acc, x: acc + x))
+            return F.flatten(F.zip_with(cut, let(sums, over), lambda b, o: F.transform(scan(b), lambda x: x + o)))
+
+        return let(F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / _BLOCK).cast("int")), lambda i: F.slice(xs, i * _BLOCK + 1, _BLOCK)), added)
+
+    return let(sizes, lambda xs: F.when(F.size(xs) <= _BLOCK, scan(xs)).otherwise(blocks(xs, lambda sums: blocks(sums, scan))))
+
+
 def _located(text: Column, matches: Column, pattern: str) -> Column:
     """Matches with their bounds in code points: the text between matches and the matches, added up."""
-    pieces = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("match"))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("out"))
 
-    def step(acc, x):
-        lo = acc["at"] + F.length(x["0"])
-        hi = lo + F.length(x["1"])
-        item = F.struct(lo.cast("bigint").alias("start"), hi.cast("bigint").alias("end"), x["1"].alias("text"))
-        return F.when(x["1"].isNull(), acc).otherwise(F.struct(hi.cast("bigint").alias("at"), F.concat(acc["out"], F.array(item)).alias("out")))
+    def spans(gaps: Column) -> Column:
+        ends = F.zip_with(gaps, matches, lambda g, m: (F.length(g) + F.length(m)).cast("bigint"))
+        starts = F.zip_with(_before(ends), gaps, lambda at, g: at + F.length(g))
+        return F.zip_with(starts, matches, lambda lo, m: F.struct(lo.alias("start"), (lo + F.length(m)).alias("end"), m.alias("text")))
 
-    pieces = F.transform(pieces, lambda x: F.struct(x["gap"].alias("0"), x["match"].alias("1")))
-    return F.when(F.size(matches) > 0, F.aggregate(pieces, start, step, lambda acc: acc["out"])).otherwise(F.array().cast(_SPAN))
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
+    return F.when(F.size(matches) > 0, let(gaps, spans)).otherwise(F.array().cast(_SPAN))
 
 
 def _hot_bounds(candidate: Column) -> Column:
-    """Bounds within the candidate of its suspicious windows taken together; null if there are none."""
+    """Bounds within the candidate of its suspicious windows taken together; null if there are none.
+
+    The counts of the window's characters are kept as fields of _FIELD bits in a few whole numbers; each step changes two of them.
+    """
     codes = F.transform(F.split(candidate, ""), lambda c: F.position(c, F.lit(ALPHABET)) - 1)
+    numbers = range(-(-len(ALPHABET) // _FIELDS))
+
+    def field(x: Column, number: int) -> Column:
+        """One in the field of character x, if that lies in this number."""
+        own = (x >= number * _FIELDS) & (x < (number + 1) * _FIELDS)
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (x - number * _FIELDS) * _FIELD)
+        return F.when(own, one).otherwise(F.lit(0).cast("bigint"))
+
+    def count(acc: Column, x: Column) -> Column:
+        held = F.element_at(F.array(*[acc[f"c{k}"] for k in numbers]), F.floor(x / _FIELDS).cast("int") + 1)
+        return F.call_function("shiftright", held, (x % _FIELDS * _FIELD).cast("int")).bitwiseAND(F.lit((1 << _FIELD) - 1)).cast("int")
 
     def scan(codes):
         leaving = F.concat(F.array_repeat(F.lit(-1), WINDOW), codes)
         moves = F.filter(F.arrays_zip(codes.alias("c"), leaving.alias("o")), lambda x: x["c"].isNotNull())
         moves = F.transform(moves, lambda x, i: F.struct(x["c"].alias("into"), x["o"].alias("out"), i.alias("i")))
         terms = F.array(*[F.lit(x) for x in _TERMS])
-        zero = F.struct(
-            F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
-            F.lit(0).cast("bigint").alias("sum"),
-            F.lit(-1).alias("first"),
-            F.lit(-1).alias("last"),
-        )
+        zero = F.struct(*[F.lit(0).cast("bigint").alias(f"c{k}") for k in numbers], F.lit(0).cast("bigint").alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
         least = F.coalesce(*[F.when(candidate.rlike(p), F.lit(t)) for _, p, t in CLASSES])
         most_sum = (F.lit(math.log2(WINDOW)) - least) * (WINDOW * _SCALE)
 
         def step(acc, x):
-            out_count = F.when(x["out"] >= 0, F.element_at(acc["counts"], x["out"] + 1)).otherwise(F.lit(0))
-            in_count = F.element_at(acc["counts"], x["into"] + 1) - F.when(x["into"] == x["out"], 1).otherwise(0)
+            goes = x["out"] >= 0
+            out_count = F.when(goes, count(acc, x["out"])).otherwise(F.lit(0))
+            in_count = count(acc, x["into"]) - F.when(x["into"] == x["out"], 1).otherwise(0)
             term = lambda k: F.element_at(terms, k + 1)
-            total = acc["sum"] + F.when(x["out"] >= 0, term(out_count - 1) - term(out_count)).otherwise(F.lit(0)) + term(in_count + 1) - term(in_count)
-            counts = F.transform(acc["counts"], lambda n, k: n + F.when(k == x["into"], 1).otherwise(0) - F.when(k == x["out"], 1).otherwise(0))
+            total = acc["sum"] + F.when(goes, term(out_count - 1) - term(out_count)).otherwise(F.lit(0)) + term(in_count + 1) - term(in_count)
             hot = (x["i"] >= WINDOW - 1) & (total <= most_sum)
             return F.struct(
-                counts.alias("counts"),
+                *[(acc[f"c{k}"] + field(x["into"], k) - field(x["out"], k)).alias(f"c{k}") for k in numbers],
                 total.cast("bigint").alias("sum"),
                 F.when(hot & (acc["first"] < 0), x["i"] - (WINDOW - 1)).otherwise(acc["first"]).alias("first"),
                 F.when(hot, x["i"] + 1).otherwise(acc["last"]).alias("last"),
@@ -101,7 +129,7 @@ def _hot_bounds(candidate: Column) -> Column:
 
         return F.aggregate(moves, zero, step, lambda acc: F.when(acc["first"] >= 0, F.struct(acc["first"].alias("lo"), acc["last"].alias("hi"))))
 
-    return F.element_at(F.transform(F.array(codes), scan), 1)
+    return let(codes, scan)
 
 
 def secret_spans(docs: DataFrame, *, text: str = "text") -> DataFrame:

@@ -13,10 +13,9 @@ N_SHARDS = 24
 VIRTUAL_NODES = 64
 
 
-def ring_nodes(n_shards: int, virtual_nodes: int) -> tuple[int, list[tuple[int, int]]]:
+def ring_nodes(spark: SparkSession, n_shards: int, virtual_nodes: int) -> tuple[int, list[tuple[int, int]]]:
     """The ring's number of cells, and (cell, shard) of each virtual node clockwise. Their number is fixed by the arguments."""
     cells = 1 << (8 * n_shards * virtual_nodes - 1).bit_length()
-    spark = SparkSession.getActiveSession()
     node = spark.range(n_shards * virtual_nodes).select((F.col("id") % n_shards).cast("int").alias("shard"), F.floor(F.col("id") / n_shards).alias("v"))
     placed = node.select("shard", F.pmod(F.xxhash64(F.lit("node"), "shard", "v"), F.lit(cells)).cast("int").alias("cell"), F.xxhash64("v", "shard").alias("tie"))
     return cells, [(r["cell"], r["shard"]) for r in sorted(placed.collect(), key=lambda r: (r["cell"], r["tie"]))]
@@ -68,7 +67,7 @@ def shard(docs: DataFrame, keys: list[Column], n_shards: int = N_SHARDS, virtual
     hash; rows with equal keys are interchangeable, and each gets a slot of its own. Nulls hash like any value. An
     empty table gives no rows. Clashing columns named shard or slot are replaced.
     """
-    cells, nodes = ring_nodes(n_shards, virtual_nodes)
+    cells, nodes = ring_nodes(docs.sparkSession, n_shards, virtual_nodes)
     placed = docs.withColumn("_hash", F.xxhash64(F.lit("key"), *keys)).withColumn("_cell", F.pmod("_hash", F.lit(cells)).cast("int"))
     counts = {r["_cell"]: r["n"] for r in placed.groupBy("_cell").agg(F.count("*").alias("n")).collect()}
     flows = fill_ring(counts, nodes, n_shards)
