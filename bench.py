@@ -1,10 +1,14 @@
-"""Seconds per headline query: one JSON line. BENCH_SF_DIR and BENCH_CPUS choose the tables and the cores."""
+"""Seconds per headline query: one JSON line. BENCH_SF_DIR and BENCH_CPUS choose the tables and the cores.
+
+duckdb holds the seconds of the same queries as SQL in DuckDB with as many threads, over the same files.
+"""
 
 import json
 import os
 import time
 
 from probeloom import plans
+from probeloom.plans.registry import TABLES
 from probeloom.session import local_session
 
 HEADLINE = (
@@ -13,6 +17,22 @@ HEADLINE = (
 )
 
 
+def duckdb_seconds(sf_dir: str, cores: int) -> dict[str, float]:
+    try:
+        import duckdb
+    except ImportError:
+        return {}
+    con = duckdb.connect(config={"threads": cores})
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    took = {}
+    for name in HEADLINE:
+        began = time.time()
+        con.execute(plans.ORACLE[name]).fetchall()
+        took[name] = round(time.time() - began, 3)
+    return took
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
@@ -23,8 +43,10 @@ def main() -> None:
         began = time.time()
         plans.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         took[name] = round(time.time() - began, 3)
-    print(json.dumps({"metric": "headline queries, total wall time", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
     spark.stop()
+    other = duckdb_seconds(sf_dir, cores)
+    line = {"metric": "headline queries, total wall time", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}
+    print(json.dumps(line | {"duckdb_value": round(sum(other.values()), 3), "duckdb": other}))
 
 
 if __name__ == "__main__":

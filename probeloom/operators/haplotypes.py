@@ -94,10 +94,9 @@ def unique_umi_matrix(mapped: DataFrame, samples: DataFrame, probes: DataFrame)
 def estimate_copy_counts(matrix: DataFrame, average: float = 2.0, quantiles: tuple[float, float] = (0.4, 0.6), keys: Sequence[str] = ("mip", "copy"), value: str = "umi") -> DataFrame:
     """copy_count = average * share of the sample / mean of two quantiles of the probe's shares, zeros included."""
     share = F.try_divide(F.col(value).cast("double"), F.sum(value).over(Window.partitionBy("sample_id")))
-    rows = matrix.withColumn("share", share)
-    middle = rows.groupBy(*keys).agg(F.expr(f"percentile(share, array({quantiles[0]}, {quantiles[1]}))").alias("q"))
-    level = middle.select(*keys, ((F.col("q")[0] + F.col("q")[1]) / 2).alias("level"))
-    return rows.join(level, list(keys)).withColumn("copy_count", F.try_divide(average * F.col("share"), F.col("level"))).drop("level")
+    q = F.percentile("share", list(quantiles)).over(Window.partitionBy(*keys))
+    rows = matrix.withColumn("share", share).withColumn("_q", q)
+    return rows.withColumn("copy_count", F.try_divide(average * F.col("share"), (F.col("_q")[0] + F.col("_q")[1]) / 2)).drop("_q")
 
 
 def copy_share(estimates: DataFrame) -> DataFrame:
@@ -260,10 +259,10 @@ def probe_table(normalized: DataFrame, copies: DataFrame) -> DataFrame:
 
 def median_filters(table: DataFrame, min_probe: float, min_sample: float, value: str = "umi") -> DataFrame:
     """Drop probes, then samples, with too small a median; normalized = 2 * value / the probe's median."""
-    probe = table.groupBy("mip", "copy").agg(F.expr(f"percentile({value}, 0.5)").alias("probe_median")).where(F.col("probe_median") >= min_probe)
-    rows = table.join(probe, ["mip", "copy"])
-    sample = rows.groupBy("sample_id").agg(F.expr(f"percentile({value}, 0.5)").alias("m")).where(F.col("m") >= min_sample)
-    return rows.join(sample.select("sample_id"), "sample_id", "left_semi").withColumn("normalized", F.try_divide(2.0 * F.col(value), F.col("probe_median")))
+    median = lambda *keys: F.percentile(value, 0.5).over(Window.partitionBy(*keys))
+    rows = table.withColumn("probe_median", median("mip", "copy")).where(F.col("probe_median") >= min_probe)
+    rows = rows.withColumn("_m", median("sample_id")).where(F.col("_m") >= min_sample).drop("_m")
+    return rows.withColumn("normalized", F.try_divide(2.0 * F.col(value), F.col("probe_median")))
 
 
 def record_filter(table: DataFrame, field: str, compare: str, value) -> DataFrame:
