@@ -1,4 +1,4 @@
-"""Substring dedup: runs of words that repeat across documents, found by doubling the window."""
+"""Substring dedup: runs of words that repeat across documents, found by doubling the window level by level."""
 
 from __future__ import annotations
 
@@ -6,43 +6,72 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
+from ..spread import spread_join
 from .common import Tokens, read, slices, window_hashes
 
-#: The last level. The level before it looks at windows of half as many words.
+#: The last level; the levels before it look at windows of a half and a quarter as many words.
 WINDOW = 50
 _WORDS, _SECOND = 21, 0x1234567
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], half: int, window: int) -> Iterator[pa.RecordBatch]:
-    """The half-length windows that matter: the least hash within each full window.
+def levels(window: int) -> tuple[int, int, int]:
+    half = -(-window // 2)
+    return -(-half // 2), half, window
 
-    Two equal full windows have the same least half window at the same place, so one half window for each full
-    window is enough to find every repeat, and neighbouring full windows mostly agree on it.
+
+def _sliding(x: np.ndarray, size: int, extreme: np.ufunc, filler: int) -> np.ndarray:
+    """Least (np.minimum) or greatest (np.maximum) of each size neighbours, from running ones of blocks in both directions."""
+    n = len(x) - size + 1
+    blocks = np.full(-(-len(x) // size) * size, filler, x.dtype)
+    blocks[: len(x)] = x
+    blocks = blocks.reshape(-1, size)
+    ahead = extreme.accumulate(blocks, axis=1).ravel()
+    back = extreme.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return extreme(back[:n], ahead[size - 1 : size - 1 + n])
+
+
+def _anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """The windows of the first level that matter: the least hash within each full window; and both of their doubles.
+
+    Equal full windows have their least windows at the same places, so these are enough to find every repeat, and
+    neighbouring full windows mostly agree on them. Around a first window of a full window, at least one of the windows
+    of twice the length that begin or end with it lies in the full window, too.
     """
-    span = window - half + 1
+    first, second, _ = levels(window)
+    span = window - first + 1
     for batch in slices(batches, "text"):
         tokens = Tokens(batch.column("text"))
-        hashes = window_hashes(tokens.hashes(_WORDS), half)
-        rows, at, value = [], [], []
-        for i, (lo, hi) in enumerate(zip(tokens.first, tokens.first[1:], strict=False)):
-            if hi - lo < window:
-                continue
-            own = hashes[lo : hi - half + 1]
-            picked = np.unique(np.lib.stride_tricks.sliding_window_view(own, span).argmin(axis=1) + np.arange(len(own) - span + 1))
-            rows.append(np.full(len(picked), i))
-            at.append(picked)
-            value.append(own[picked])
-        if rows:
-            row = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(value).view(np.int64)), batch.column("doc_id").take(row), batch.column("t").take(row), pa.array(np.concatenate(at).astype(np.int32))], names=["h", "doc_id", "t", "pos"])
-
-
-def _extended(batches: Iterator[pa.RecordBatch], half: int, window: int) -> Iterator[pa.RecordBatch]:
+        words = tokens.hashes(_WORDS)
+        if len(words) < window:
+            continue
+        hashes, doubles = window_hashes(words, first), window_hashes(words, second)
+        lo, hi = tokens.first[:-1], tokens.first[1:]
+        row = np.repeat(np.arange(len(lo)), hi - lo)
+        least = _sliding(hashes, span, np.minimum, np.iinfo(np.uint64).max)
+        whole = row[: len(least)] == row[np.arange(len(least)) + window - 1]  # windows within one row
+        least[~whole] = 0
+        # a place is an anchor if its hash is the least of some whole window around it: then it is the greatest of these least
+        around = _sliding(np.concatenate([np.zeros(span - 1, np.uint64), least, np.zeros(span - 1, np.uint64)]), span, np.maximum, 0)
+        at = np.flatnonzero((around == hashes) & (around > 0))
+        own = row[at]
+        right, left = at + second <= hi[own], at + first - second >= lo[own]
+        take = pa.array(own)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(hashes[at].view(np.int64)), batch.column("doc_id").take(take), batch.column("t").take(take), pa.array((at - lo[own]).astype(np.int32)),
+                pa.array(doubles[np.minimum(at, len(doubles) - 1)].view(np.int64), mask=~right), pa.array(doubles[np.maximum(at + first - second, 0)].view(np.int64), mask=~left),
+            ],
+            names=["h", "doc_id", "t", "pos", "right", "left"],
+        )
+
+
+def _extended(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """All full windows around the half windows that repeat."""
+    _, half, _ = levels(window)
     span = window - half + 1
     for batch in slices(batches, "text"):
         tokens = Tokens(batch.column("text"))
@@ -64,14 +93,14 @@ def _extended(batches: Iterator[pa.RecordBatch], half: int, window: int) -> Iter
 def _keep(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         counts, removed, kept = [], [], []
-        for text, copy, starts in zip(batch.column("text").to_pylist(), batch.column("copy").to_pylist(), batch.column("starts").to_pylist(), strict=True):
+        for text, copy, ranges in zip(batch.column("text").to_pylist(), batch.column("copy").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
             words = (text or "").encode().split()
             gone = np.zeros(len(words) + 1, np.int64)
             if copy and len(words) >= window:
                 gone[0] += 1
-            for s in starts or ():
-                gone[s] += 1
-                gone[s + window] -= 1
+            for r in ranges or ():
+                gone[r["lo"]] += 1
+                gone[r["hi"]] -= 1
             covered = np.cumsum(gone[:-1]) > 0
             counts.append(len(words))
             removed.append(int(covered.sum()))
@@ -79,33 +108,53 @@ def _keep(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
 
+def _repeated(windows: DataFrame, name: str) -> DataFrame:
+    """The rows of windows (h, doc_id, t, ...) whose hash two documents with different texts have."""
+    seen = windows.groupBy("h").agg(F.count("*").alias("n"), *[f(c).alias(f"{c}_{n}") for c in ("doc_id", "t") for n, f in (("lo", F.min), ("hi", F.max))])
+    seen = seen.where("doc_id_lo < doc_id_hi and t_lo < t_hi").select("h", "n")
+    return materialize(spread_join(windows, seen, ["h"]), name)
+
+
 def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and kept (the words that stay, joined by a space) for each row of docs.
 
     A word goes if a window of so many words covers it whose words also start in a document with a smaller doc_id.
-    Levels: half windows that two different texts share are the candidates; around them full windows are compared.
+    Levels: windows of a quarter of the length that two different texts share are doubled, those that are still shared
+    are doubled again, and the last level's shared windows go; neighbouring ones become one range. A level without
+    candidates ends the search.
     Texts equal byte for byte are settled as wholes. Null, empty and short texts lose nothing; rows with a null doc_id
     neither lose words nor take any from others; rows that repeat a doc_id count as one document. Hashes of full
-    windows have 96 bits.
+    windows have 96 bits. Other columns are ignored.
     """
-    half = window // 2
+    first, second, _ = levels(window)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
     named = rows.where("doc_id is not null")
 
     whole = named.select("doc_id", "t", F.xxhash64(F.lit("whole"), "text").alias("t2"))
-    firsts = whole.groupBy("t", "t2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    copies = materialize(whole.join(firsts, ["t", "t2"]).where("doc_id > first").select("doc_id", "t").distinct(), "copies")
-
-    anchors = materialize(named.mapInArrow(lambda b: _anchors(b, half, window), "h long, doc_id long, t long, pos int"), "anchors")
-    repeated = anchors.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.min("t").alias("tlo"), F.max("t").alias("thi")).where("lo < hi and tlo < thi").select("h")
-    found = anchors.join(repeated, "h").groupBy("doc_id", "t").agg(F.collect_set("pos").alias("found")).join(copies, ["doc_id", "t"], "left_anti")
-    wide = named.join(found, ["doc_id", "t"]).mapInArrow(lambda b: _extended(b, half, window), "h1 long, h2 int, doc_id long, t long, start int")
-    wide = materialize(wide, "windows")
-    owners = wide.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("h1", "h2", "first")
-    gone = wide.join(owners, ["h1", "h2"]).where("doc_id > first").groupBy("doc_id", "t").agg(F.collect_set("start").alias("starts"))
-
-    marks = gone.unionByName(copies.select("doc_id", "t", F.lit(True).alias("copy")), allowMissingColumns=True)
-    joined = rows.join(marks, ["doc_id", "t"], "left").select("doc_id", "text", "copy", "starts")
+    firsts = whole.groupBy("t", "t2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first < last")
+    copies = materialize(spread_join(whole, firsts, ["t", "t2"]).where("doc_id > first").select("doc_id", "t").distinct(), "copies")
+
+    anchors = materialize(named.mapInArrow(lambda b: _anchors(b, window), "h long, doc_id long, t long, pos int, right long, left long"), "anchors")
+    anchors = _repeated(anchors, "level-1")
+    both = F.array(F.struct(F.col("right").alias("h"), F.col("pos")), F.struct(F.col("left").alias("h"), (F.col("pos") + first - second).alias("pos")))
+    halves = anchors.select("doc_id", "t", F.explode(both).alias("x")).select("x.h", "doc_id", "t", "x.pos").where("h is not null").distinct()
+    halves = _repeated(materialize(halves, "doubled"), "level-2")
+    marks = copies.select("doc_id", "t", F.lit(True).alias("copy"))
+    ranges_type = "array<struct<lo:int,hi:int>>"
+    if halves.isEmpty():
+        marks = marks.withColumn("ranges", F.lit(None).cast(ranges_type))
+    else:
+        found = halves.groupBy("doc_id", "t").agg(F.collect_set("pos").alias("found")).join(copies, ["doc_id", "t"], "left_anti")
+        wide = named.join(found, ["doc_id", "t"]).mapInArrow(lambda b: _extended(b, window), "h1 long, h2 int, doc_id long, t long, start int")
+        wide = materialize(wide, "level-3")
+        owners = wide.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first < last").select("h1", "h2", "first", "n")
+        gone = spread_join(wide, owners, ["h1", "h2"]).where("doc_id > first").select("doc_id", "t", "start").distinct()
+        # starts in a row have the same distance to their rank: one range of words
+        rank = F.row_number().over(Window.partitionBy("doc_id", "t").orderBy("start"))
+        runs = gone.withColumn("run", F.col("start") - rank).groupBy("doc_id", "t", "run").agg(F.min("start").alias("lo"), (F.max("start") + window).alias("hi"))
+        ranges = runs.groupBy("doc_id", "t").agg(F.collect_list(F.struct("lo", "hi")).cast(ranges_type).alias("ranges"))
+        marks = ranges.select("doc_id", "t", F.lit(None).cast("boolean").alias("copy"), "ranges").unionByName(marks, allowMissingColumns=True)
+    joined = rows.join(marks, ["doc_id", "t"], "left").select("doc_id", "text", "copy", "ranges")
     return joined.mapInArrow(lambda b: _keep(b, window), "doc_id long, n_words long, n_removed long, kept string")
 
 
