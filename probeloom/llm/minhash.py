@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from ..scratch import materialize
+from ..spread import spread_join
 from .common import Tokens, mix, read, slices, window_hashes
 
 SHINGLE = 5
@@ -166,8 +167,8 @@ def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one component; buckets of two were settled by their only pair."""
     label = members.where("n > 2").join(found, members["rep"] == found["node"], "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
     label = materialize(label, "labels")
-    apart = label.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    return materialize(label.join(apart, "bucket", "left_semi"), "open-members")
+    apart = label.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo < hi").select("bucket", "n")
+    return materialize(spread_join(label, apart, ["bucket"]), "open-members")
 
 
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -227,47 +228,51 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     Texts are lower-cased (A-Z) and cut at ASCII white space; a set holds the distinct 5-word shingles, or the whole
     sequence if it is shorter. Sets of similarity 0.75 or more are linked; component_id is the smallest doc_id
     reachable, and the document with that id is kept. Texts without words, and null texts, are linked with nothing.
-    Rows that repeat a doc_id are expected to repeat its text, and share its component. A row with a null doc_id is
-    never linked, has a null component_id and is kept. Other columns are ignored.
+    Rows that repeat a doc_id count as one document even if their texts differ: they share a component. A row with a
+    null doc_id is never linked, has a null component_id and is kept. Other columns are ignored.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = materialize(sketches(docs), "sketches")
     known = rows.where("doc_id is not null and key is not null")
-    reps = known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    reps = known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
     reps = materialize(reps, "classes")
 
     width = 2 * ROWS
     bands = F.array(*[F.xxhash64(F.lit(i), F.substring("sketch", i * width + 1, width)) for i in range(BANDS)])
     banded = reps.select("rep", F.explode(bands).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = materialize(banded.join(shared, "bucket"), "bands")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "n", F.col("n").alias("size"))
+    members = materialize(spread_join(banded, shared, ["bucket"]).withColumnRenamed("size", "n"), "bands")
 
     # first each bucket's most central member against the others of the bucket: one pair for each member
     central = members.groupBy("rep").agg(F.sum("n").alias("weight"))
     weighed = members.join(central, "rep")
-    pivots = weighed.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("top")).select("bucket", F.col("top.weight").alias("weight"), (-F.col("top.rep")).alias("pivot"))
-    starred = members.join(pivots, "bucket").where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
+    pivots = weighed.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("top"), F.first("n").alias("n")).select("bucket", F.col("top.weight").alias("weight"), (-F.col("top.rep")).alias("pivot"), F.col("n").alias("_rows"))
+    around = materialize(spread_join(members, pivots, ["bucket"], "_rows"), "around")
+    starred = around.where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"))
     starred = materialize(starred.distinct(), "starred")
     found = components(materialize(_linked(starred, reps, docs), "star-links"))
 
     # then whatever is still apart in a bucket, by an exact filter
     open_ = _open_members(members, found)
     if open_.limit(1).count():
-        main = members.join(pivots, "bucket").groupBy("rep").agg(F.max(F.struct("weight", "pivot"))["pivot"].alias("pivot"))
+        main = around.groupBy("rep").agg(F.max(F.struct("weight", "pivot"))["pivot"].alias("pivot"))
         whose = found.select(F.col("node").alias("pivot"), F.col("component").alias("_own"))
         open_ = open_.select("rep", "component").distinct().join(reps.select("rep", "n_shingles"), "rep").join(main, "rep")
         open_ = open_.join(whose, "pivot", "left").withColumn("pivot_component", F.coalesce("_own", "pivot")).drop("_own")
         rest = _rare_pairs(materialize(open_, "open"), docs).join(starred, ["a", "b"], "left_anti")
         found = _joined(found, _linked(rest, reps, docs))
 
-    classes = reps.join(found, reps["rep"] == found["node"], "left").select(F.col("key").alias("_key"), F.coalesce("component", "rep").alias("_component"))
-    out = rows.join(classes, (rows["key"] == classes["_key"]) & rows["doc_id"].isNotNull(), "left")
-    component = F.coalesce("_component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    classes = reps.join(found, reps["rep"] == found["node"], "left").select("key", F.coalesce("component", "rep").alias("component_id"), "copies")
+    linked = spread_join(rows.where("doc_id is not null and key is not null"), classes, ["key"], "copies").select("doc_id", "n_shingles", "component_id")
+    alone = rows.where("doc_id is null or key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose document stays: one of each group of near duplicates."""
+    """The rows of docs whose document stays: one of each group of near duplicates.
+
+    Rows with a null doc_id stay; rows that repeat a doc_id share its fate. All columns pass through.
+    """
     fate = materialize(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "duplicates")
     return docs.join(fate, "doc_id", "left_anti").select(*docs.columns)
 
