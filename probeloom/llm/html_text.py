@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -10,11 +11,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
+from ..spread import spread_join
 from .common import read, slices
 
+#: The winning paths of all hosts are broadcast up to this size; beyond it, those of hosts with very many pages.
+BROADCAST_BYTES = 32 << 20
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
@@ -40,6 +46,8 @@ _JUNK_WORDS = re.compile(
     r"|(?<!\S)(?:side|rail|foot|more|tags|reply|skip|hidden|is-hidden|print)(?!\S))(?=$|[\s_-])",
     re.I,
 )
+#: Links that only lead past the menus.
+_SKIPS = re.compile(r"(?<!\S)skip(?:[_-]?(?:link|nav|to)\S*)?(?!\S)", re.I)
 #: Whole classes and ids of what readers wrote: it may be longer than the article.
 _REPLIES = re.compile(r"(?<!\S)(?:comments?|comments?[_-]?(?:list|area|section|thread)|disqus(?:[_-]thread)?|respond|replies|discussion)(?!\S)", re.I)
 #: Whole classes and ids that leave no doubt: such an element stays only for an article, main or h1 inside.
@@ -55,6 +63,13 @@ _MOST, _MOST_WITH_ARTICLE = 0.5, 0.2
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+def _below(path: str, segment: str) -> str:
+    """The path of a container inside another; of a long path the part so far is hashed, so that deep pages stay small."""
+    if len(path) > 512:
+        path = "#" + hashlib.blake2b(path.encode(errors="surrogatepass"), digest_size=16).hexdigest()
+    return f"{path}/{segment[:512]}"
+
+
 class _Named:
     """An element that may go by a word in its class or id; core: an article, main or h1 is inside."""
 
@@ -86,6 +101,7 @@ class _Page:
 
     def __init__(self, source: str):
         self.paths: list[str] = [""]  # of containers; the first stands for the page
+        self.tags: list[str] = [""]
         self.parents: list[int] = [-1]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters inside links
         self._flagged: dict[int, int] = {}  # by container: characters left out as junk
@@ -116,7 +132,6 @@ class _Page:
             if m["end"]:
                 if tag == "a":
                     link = max(0, link - 1)
-                    continue
                 if tag in _INLINE:
                     # closes its own start if that was kept, but no block around it
                     for i in range(len(stack) - 1, -1, -1):
@@ -144,7 +159,6 @@ class _Page:
             attrs = m["attrs"]
             if tag == "a":
                 link += 1
-                continue
             if tag in _RAW:
                 if tag not in unclosed and not _SELF_CLOSED.search(attrs):
                     end = _RAW_END[tag].search(source, at)
@@ -159,7 +173,7 @@ class _Page:
                 continue
             if tag in _INLINE:
                 # one that goes is kept on the stack until its end, and so are others of its name inside it
-                found = bool(attrs) and (self._is_junk(tag, attrs) or bool(self._is_named(tag, attrs)))
+                found = bool(attrs) and (self._is_junk(tag, attrs) or (self._skips(attrs) if tag == "a" else bool(self._is_named(tag, attrs))))
                 if (found or any(x[0] == tag for x in stack)) and not _SELF_CLOSED.search(attrs):
                     stack.append((tag, container, junk, header, self._within))
                     junk += found
@@ -192,7 +206,8 @@ class _Page:
                     x.core, x.main = True, x.main or tag != "article"
             if tag in _CONTAINERS:
                 self.parents.append(container)
-                self.paths.append(f"{self.paths[container]}/{tag}{self._classes(attrs)}")
+                self.tags.append(tag)
+                self.paths.append(_below(self.paths[container], f"{tag}{self._classes(attrs)}"))
                 container = len(self.paths) - 1
         if at < len(source) and not junk:
             self._add(source[at:], link)
@@ -258,6 +273,9 @@ class _Page:
         named = f"{found.get('class', '')} {found.get('id', '')}".strip()
         return named if named and _JUNK_WORDS.search(named) else ""
 
+    def _skips(self, attrs: str) -> bool:
+        return bool(_SKIPS.search(self._attributes(attrs).get("class", "")))
+
     def _classes(self, attrs: str) -> str:
         """The element's classes without numbers, so that pages made from one template agree."""
         named = self._attributes(attrs).get("class", "")
@@ -286,7 +304,7 @@ class _Page:
         outer = [start]
         while (up := self.parents[outer[-1]]) > 0:
             outer.append(up)
-        tags = [re.split(r"[/.]", self.paths[i][len(self.paths[self.parents[i]]) + 1 :], maxsplit=1)[0] for i in outer]
+        tags = [self.tags[i] for i in outer]
         marks = [k for k, tag in enumerate(tags) if tag in ("article", "main")]
         best = marks[0] if marks else 0
         last = (tags.index("main") if "main" in tags else best) if marks else len(outer) - 1
@@ -330,14 +348,14 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """host and path: the container path that a host's pages agree on.
+    """host, path and pages: the container path that a host's pages agree on, and about how many they are.
 
     Every page splits 1000 votes over its containers by score; paths drop numbers in classes. Ties go to the shorter
     path, then to the lesser. Hosts without any text have no row.
     """
     votes = pages.mapInArrow(_votes, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    best = votes.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("v"), F.length("path").alias("n"), "path")).alias("best"))
-    return best.select("host", F.col("best.path").alias("path"))
+    best = votes.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("v"), F.length("path").alias("n"), "path")).alias("best"), F.sum("votes").alias("whole"))
+    return best.select("host", F.col("best.path").alias("path"), F.ceil(F.col("whole") / 1000).alias("pages"))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,9 +373,13 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     page_id are extracted each. Other columns are ignored.
     """
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    winners = host_paths(rows.select("host", "html")).withColumnRenamed("host", "h")
-    joined = rows.join(winners, rows["host"] == winners["h"], "left").select("page_id", "url", "html", "path")
-    return joined.mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
+    winners = materialize(host_paths(rows.select("host", "html")), "winners")
+    size = winners.agg(F.coalesce(F.sum(F.octet_length("host") + F.octet_length("path") + 32), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        joined = rows.join(F.broadcast(winners.drop("pages")), "host", "left")
+    else:
+        joined = spread_join(rows, winners, ["host"], "pages", "left")
+    return joined.select("page_id", "url", "html", "path").mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
