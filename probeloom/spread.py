@@ -33,6 +33,24 @@ def spread_join(rows: DataFrame, small: DataFrame, on: Sequence[str], count: str
     return here.unionByName(rest)
 
 
+def spread_pairs(x: DataFrame, y: DataFrame, on: Sequence[str]) -> DataFrame:
+    """x joined to y where many rows of y may share a key: those of a hot key are dealt to several tasks, to which x's rows of it are copied.
+
+    The columns besides the keys have different names. Hot keys are few, as in spread_join().
+    """
+    on = list(on)
+    counts = materialize(y.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS), "key-counts")
+    whole = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.count("*").alias("keys")).first()
+    if not whole["keys"]:
+        return x.join(y, on)
+    limit = max(HOT_ROWS, -(-whole["total"] // MAX_HOT_KEYS))
+    hot = F.broadcast(counts.where(F.col("_n") > limit).select(*on, F.ceil(F.col("_n") / limit).cast("int").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = y.join(hot, on, "left").withColumn("_part", F.pmod(F.hash(*[c for c in y.columns if c not in on]), parts)).drop("_parts")
+    copied = x.join(hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return copied.join(dealt, [*on, "_part"]).drop("_part")
+
+
 def running_total(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
     """Add the sum of value over all rows before, in the given order, without bringing the rows to one task.
 

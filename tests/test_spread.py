@@ -36,6 +36,16 @@ def test_hot_rows_stay_where_they_are(spark, monkeypatch):
     assert "strategy=broadcast" not in spread.spread_join(a, b, ["k"])._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("hot", [1, 4, 10**6])
+def test_spread_pairs_is_a_join(spark, monkeypatch, hot):
+    monkeypatch.setattr(spread, "HOT_ROWS", hot)
+    rng = random.Random(3)
+    x = spark.createDataFrame([(rng.choice([1, 1, 2, 3, None]), i) for i in range(20)], "k long, i long")
+    y = spark.createDataFrame([(rng.choice([1, 1, 1, 2, 4, None]), i) for i in range(50)], "k long, j long")
+    got = sorted(map(tuple, spread.spread_pairs(x, y, ["k"]).select("k", "i", "j").collect()))
+    assert got == sorted(map(tuple, x.join(y, "k").select("k", "i", "j").collect()))
+
+
 def test_running_total(spark):
     rng = random.Random(2)
     rows = [(i, rng.randrange(9)) for i in range(200)]
