@@ -46,7 +46,7 @@ class Features:
         self.tokens = tokens = Tokens(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")), _GAPS)
         self.starts, self.ends, self.first = tokens.starts, tokens.ends, tokens.first
         data = np.concatenate([tokens.data, np.zeros(4, np.uint8)]).astype(np.uint32)
-        self.end_of = np.zeros(len(tokens.data), np.int64)  # of the word around a byte; 0 between words
+        self.end_of = np.zeros(len(tokens.data), np.int32)  # of the word around a byte; 0 between words
         lengths = self.ends - self.starts
         at = np.repeat(self.starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
         self.end_of[at] = np.repeat(self.ends, lengths)
@@ -199,11 +199,10 @@ def fit(texts: list[str], labels: list[str], steps: int = 400, batch: int = 48,
     weights = np.zeros((BUCKETS + 1, count), np.float32)
     if count < 2:
         return Model(languages, weights, np.zeros((count, count)), np.zeros(count))
-    features = Features(pa.array(texts, pa.large_string()))
-    word, bucket = features.of_words()
-    bounds = np.searchsorted(word, np.arange(len(features.starts) + 1))
+    texts = [t.lower() for t in texts]
+    tokens = Tokens(pa.array(texts, pa.large_string()), _GAPS)
     own = np.array([languages.index(x) for x in labels])
-    sizes = np.diff(features.first)
+    sizes = np.diff(tokens.first)
     pools = [np.flatnonzero((own == k) & (sizes > 0)) for k in range(count)]
     pools = [p for p in pools if len(p)]
     transitions, start = np.zeros((count, count)), np.zeros(count)
@@ -211,26 +210,26 @@ def fit(texts: list[str], labels: list[str], steps: int = 400, batch: int = 48,
         return Model(languages, weights, transitions, start)
     squares, moved = np.full(weights.shape, 1e-2, np.float32), np.full(transitions.shape, 1e-2)
 
-    def stretch(pool: int, most: int) -> tuple[np.ndarray, int]:
+    def stretch(pool: int, most: int) -> tuple[bytes, int, int]:
         doc = rng.choice(pools[pool])
-        lo = features.first[doc] + rng.integers(max(1, sizes[doc] - most + 1))
-        return np.arange(lo, min(lo + most, features.first[doc + 1])), int(own[doc])
+        lo = tokens.first[doc] + rng.integers(max(1, sizes[doc] - most + 1))
+        n = int(min(most, tokens.first[doc + 1] - lo))
+        return tokens.data[tokens.starts[lo] : tokens.ends[lo + n - 1]].tobytes(), n, int(own[doc])
 
     for _ in range(steps):
-        ids, gold, lengths = [], [], []
+        drawn, gold, lengths = [], [], []
         for i in range(batch):
             parts = [stretch(p, int(rng.integers(4, 25))) for p in rng.choice(len(pools), 1 + i % 2, replace=False)]
-            ids += [p for p, _ in parts]
-            gold += [np.full(len(p), k) for p, k in parts]
-            lengths.append(sum(len(p) for p, _ in parts))
-        ids, gold, lengths = np.concatenate(ids), np.concatenate(gold), np.array(lengths)
-        spans = bounds[ids + 1] - bounds[ids]
-        rows = np.repeat(np.arange(len(ids)), spans)
-        used = bucket[np.repeat(bounds[ids] - np.concatenate([[0], np.cumsum(spans)[:-1]]), spans) + np.arange(spans.sum())]
-        scores = np.add.reduceat(weights[used], np.concatenate([[0], np.cumsum(spans)[:-1]]), axis=0)
+            drawn += [text for text, _, _ in parts]
+            gold += [np.full(n, k) for _, n, k in parts]
+            lengths.append(sum(n for _, n, _ in parts))
+        # only the words that a step draws have features, so that memory doesn't grow with the sample
+        rows, used = Features(pa.array(drawn, pa.large_binary()).cast(pa.large_string())).of_words()
+        gold, lengths = np.concatenate(gold), np.array(lengths)
+        scores = np.add.reduceat(weights[used], np.searchsorted(rows, np.arange(len(gold))), axis=0)
         posterior, expected = forward_backward(scores, lengths, transitions, start)
         slope = posterior
-        slope[np.arange(len(ids)), gold] -= 1
+        slope[np.arange(len(gold)), gold] -= 1
         keys, where = np.unique(used, return_inverse=True)
         push = np.zeros((len(keys), count), np.float32)
         np.add.at(push, where, slope[rows].astype(np.float32))
@@ -238,7 +237,7 @@ def fit(texts: list[str], labels: list[str], steps: int = 400, batch: int = 48,
         squares[keys] += push**2
         weights[keys] -= rate * push / np.sqrt(squares[keys])
         seen = np.zeros_like(transitions)
-        inside = np.ones(len(ids), bool)
+        inside = np.ones(len(gold), bool)
         inside[np.cumsum(lengths) - 1] = False
         np.add.at(seen, (gold[:-1][inside[:-1]], gold[1:][inside[:-1]]), 1)
         turn = (expected - seen) / batch + 1e-3 * transitions
