@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Texts are handled in pieces of about so many bytes of UTF-8 within a Python task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once for a row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def ranked(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     """Add a gapless rank from 0 over all rows in the given order, without bringing the rows to one task.
 
@@ -92,7 +97,7 @@ class Tokens:
         lo = 0
         while lo < len(out):
             at = self.starts[lo]
-            hi = max(lo + 1, int(np.searchsorted(self.ends, at + (1 << 20), "right")))
+            hi = max(lo + 1, int(np.searchsorted(self.ends, at + _STEP, "right")))
             part = table[self.data[at : self.ends[hi - 1]]]
             power, inverse = _powers(len(part) + 1)
             sums = np.zeros(len(part) + 1, np.uint64)
@@ -103,13 +108,15 @@ class Tokens:
         return mix(out)
 
 
+#: Sums of powers run over so many numbers at a time.
+_STEP = 1 << 17
 _POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number, and of its inverse, modulo 2 ** 64."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, _STEP + 4096)
         inverse = np.uint64(pow(int(_ODD), -1, 1 << 64))
         _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, x)])) for x in (_ODD, inverse)]
     return _POWERS[0][:n], _POWERS[1][:n]
@@ -131,9 +138,8 @@ def window_hashes(words: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
         return np.zeros(0, np.uint64)
     salted = words if not seed else mix(words + np.uint64(seed))
     out = np.empty(n, np.uint64)
-    step = 1 << 20
-    for lo in range(0, n, step):
-        part = salted[lo : min(n, lo + step) + length - 1]
+    for lo in range(0, n, _STEP):
+        part = salted[lo : min(n, lo + _STEP) + length - 1]
         power, inverse = _powers(len(part) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(part * power[:-1], out=sums[1:])

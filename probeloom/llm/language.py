@@ -24,9 +24,9 @@ UNKNOWN = "und"
 #: Documents whose language has a smaller share of the words are rejected by the filter.
 LEAST_SCORE = 0.5
 #: Texts are labelled in pieces of about so many bytes; the features of a piece take some hundred bytes for each.
-PREDICT_BYTES = 1 << 20
-#: A long text's words are chained in blocks of so many.
-BLOCK = 256
+PREDICT_BYTES = 1 << 19
+#: A text's words are chained in blocks of so many.
+BLOCK = 64
 
 #: Bytes that aren't part of a word: all but lower-case ASCII letters and bytes of other scripts' characters.
 _GAPS = np.ones(256, bool)
@@ -152,44 +152,54 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.nd
 
 
 class Chain:
-    """A text's words in blocks of BLOCK, so that a long text takes as many steps as a block has words.
+    """Words of texts in blocks of BLOCK, so that a batch takes as many steps as a block has words, not as its longest text.
 
     A block's transfer matrix leads from the forward message before it to the one at its end, and backwards; chained,
-    the matrices give each block the messages from both sides, and then all blocks advance together.
+    the matrices give each block the messages from both sides, and then all blocks advance together. piece: the only
+    text is a piece of a longer one; opens: it is the first.
     """
 
-    def __init__(self, scores: np.ndarray, model: Model, opens: bool):
+    def __init__(self, scores: np.ndarray, lengths: np.ndarray, model: Model, piece: bool = False, opens: bool = True):
         self.scores, self.model, self.opens = scores, model, opens
         self.step = np.exp(model.transitions)
-        self.lengths = np.full(-(-len(scores) // BLOCK), BLOCK)
-        self.lengths[-1:] = len(scores) - BLOCK * (len(self.lengths) - 1)
-        local = np.exp(scores - scores.max(1, keepdims=True))
-        self.matrices = np.repeat(np.eye(scores.shape[1])[None], len(self.lengths), axis=0)
-        for t in range(int(self.lengths.max(initial=0))):
-            n = len(self.lengths) - (t >= self.lengths[-1])  # only the last block may be shorter
-            into = self.matrices[:n] @ self.step
-            if opens and t == 0:  # the text's first word has no word before it
-                into[0] = np.exp(model.start)[None]
-            self.matrices[:n] = into * local[np.arange(n) * BLOCK + t][:, None, :]
-            self.matrices[:n] /= self.matrices[:n].sum((1, 2), keepdims=True)
+        self.counts = -(-lengths // BLOCK)
+        self.base = np.cumsum(self.counts) - self.counts
+        owner = np.repeat(np.arange(len(lengths)), self.counts)
+        place = np.arange(len(owner)) - self.base[owner]
+        self.lengths = np.minimum(BLOCK, lengths[owner] - place * BLOCK)
+        self.first = (place == 0) & opens
+        self.matrices = np.repeat(np.eye(scores.shape[1])[None], len(owner), axis=0)
+        chained = np.flatnonzero((self.counts[owner] > 1) | piece)
+        order = chained[np.argsort(-self.lengths[chained], kind="stable")]
+        begins = (np.cumsum(self.lengths) - self.lengths)[order]
+        local = np.exp(scores - scores.max(1, keepdims=True)) if len(order) else scores
+        going = np.searchsorted(-self.lengths[order], -np.arange(BLOCK), "left")
+        m = self.matrices[order]
+        for t in range(int(self.lengths[order].max(initial=0))):
+            n = going[t]
+            into = m[:n] @ self.step
+            if t == 0:  # a text's first word has no word before it
+                into[self.first[order]] = np.exp(model.start)
+            m[:n] = into * local[begins[:n] + t][:, None, :]
+            m[:n] /= m[:n].sum((1, 2), keepdims=True)
+        self.matrices[order] = m
+
+    def along(self, message: np.ndarray, backwards: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The message into each block from one side, given that into each text; and by text the one that leaves it."""
+        into, at = np.empty((len(self.lengths), len(self.step))), np.repeat(message[None], len(self.counts), axis=0)
+        for j in range(int(self.counts.max(initial=0))):
+            going = np.flatnonzero(self.counts > j)
+            block = self.base[going] + (self.counts[going] - 1 - j if backwards else j)
+            into[block] = at[going]
+            out = np.einsum("tlm,tm->tl" if backwards else "tlm,tl->tm", self.matrices[block], at[going])
+            at[going] = out / out.sum(1, keepdims=True)
+        return into, at
 
     def posterior(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
-        """Of each word's label, given the messages before the first and into the last word."""
-        enter = chained(self.matrices, before)[:-1] @ self.step
-        if self.opens:
-            enter[:1] = np.exp(self.model.start)
-        leave = chained(self.matrices.transpose(0, 2, 1)[::-1], after)[::-1][1:]
-        return forward_backward(self.scores, self.lengths, self.model.transitions, np.log(enter), leave, count_moves=False)[0]
-
-
-def chained(matrices: np.ndarray, message: np.ndarray) -> np.ndarray:
-    """A message before each matrix and, last, after all of them."""
-    out = [message]
-    for m in matrices:
-        message = message @ m
-        message = message / message.sum()
-        out.append(message)
-    return np.array(out)
+        """Of each word's label, given the messages before the first and into the last word of texts."""
+        enter = self.along(before)[0] @ self.step
+        enter[self.first] = np.exp(self.model.start)
+        return forward_backward(self.scores, self.lengths, self.model.transitions, np.log(enter), self.along(after, True)[0], count_moves=False)[0]
 
 
 def fit(texts: list[str], labels: list[str], steps: int = 400, batch: int = 48, rate: float = 0.2, seed: int = 5) -> Model:
@@ -308,16 +318,20 @@ def _label_long(text: str, model: Model) -> tuple[np.ndarray, list[dict]]:
         for lo, hi in _pieces(data):
             features = Features(pa.array([data[lo:hi]], pa.large_binary()).cast(pa.large_string()))
             if len(features.starts):
-                yield features, Chain(features.emissions(model.weights), model, opens)
+                yield features, Chain(features.emissions(model.weights), np.array([len(features.starts)]), model, piece=True, opens=opens)
                 opens = False
 
     after = [flat]  # messages into the last word of each piece, from the last piece to the first
     for matrices in reversed([chain.matrices for _, chain in chains()]):  # a few numbers for each block of words
-        after.append(chained(matrices.transpose(0, 2, 1)[::-1], after[-1])[-1])
-    total, runs, before = np.zeros(len(model.languages)), [], flat
+        message = after[-1]
+        for m in matrices[::-1]:
+            message = m @ message
+            message = message / message.sum()
+        after.append(message)
+    total, runs, before = np.zeros(len(flat)), [], flat
     for (features, chain), message in zip(chains(), after[-2::-1], strict=True):
         posterior = chain.posterior(before, message)
-        before = chained(chain.matrices, before)[-1]
+        before = chain.along(before)[1][0]
         total += (posterior * (features.ends - features.starts)[:, None]).sum(0)
         for run in _runs(posterior.argmax(1), model.languages):
             if runs and runs[-1]["lang"] == run["lang"]:
@@ -346,7 +360,8 @@ def label(texts: pa.Array, model: Model) -> list[tuple[str, float, list[dict]]]:
             out[i] = verdict(total, runs)
     features = Features(pc.if_else(pa.array(long), "", pc.fill_null(texts, "")))
     sizes = np.diff(features.first)
-    posterior, _ = forward_backward(features.emissions(model.weights), sizes, model.transitions, model.start, count_moves=False)
+    flat = np.full(len(names), 1.0 / len(names))
+    posterior = Chain(features.emissions(model.weights), sizes, model).posterior(flat, np.ones(len(names)))
     letters = posterior * (features.ends - features.starts)[:, None]
     best = posterior.argmax(1) if len(posterior) else np.zeros(0, int)
     for i in np.flatnonzero(has_letter & (sizes > 0)):
