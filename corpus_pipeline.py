@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from probeloom.llm import decontaminate, language, minhash, mixing, sharding
 from probeloom.llm.common import read
-from probeloom.scratch import materialize
+from probeloom.scratch import delete_path, scratch_path, temporary_tables
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +48,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each on the written result of the one before."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over documents, each on the written result of the one before; what a stage leaves behind is deleted after it."""
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        target = scratch_path(spark, name)
+        with temporary_tables(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(target)
+        docs = spark.read.schema(kept.schema).parquet(target)
+        if last:
+            delete_path(spark, last)
+        last = target
     return STAGES[-1][1](spark, docs, sf_dir)
