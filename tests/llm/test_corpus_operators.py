@@ -808,3 +808,38 @@ def test_near_duplicates_just_below_the_threshold(spark):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(docs_of(spark, rows)).collect()}
     assert got == brute_components(rows)
     assert len({c for _, c in got.values()}) > 10
+
+
+# --- extra columns, screens ---------------------------------------------------------------------------------------
+
+CLASHES = "key t t2 h h1 h2 bucket pos copies n rank k rep component text_hash kept n_shingles fingerprint gone segments score lang_pred found copy ranges host path votes _size _rank shard slot".split()
+
+
+@pytest.mark.parametrize("name,op", [
+    ("near", lambda d: minhash.near_duplicates(d)),
+    ("leaks", lambda d: decontaminate.leaks(d, d.sparkSession.createDataFrame([(1, "one two")], "item_id long, text string"))),
+    ("lines", lambda d: line_dedup.apply_line_bitmaps(d, line_dedup.line_keep_bitmaps(d))),
+    ("prints", lambda d: fingerprints.edited_fingerprints(d)),
+    ("language", lambda d: language.identify(d, language.train(d)).drop("segments")),
+    ("substrings", lambda d: substring.substring_dedup(d)),
+])
+def test_extra_columns_dont_matter(spark, name, op):
+    plain = edges(spark)
+    clash = plain.withColumns({c: F.lit("clash") for c in CLASHES})
+    rows = lambda d: sorted(map(str, op(d).collect()))
+    assert rows(clash) == rows(plain)
+
+
+def test_the_screen_loses_no_link():
+    """Of pairs at or just over the threshold none is estimated below the screen."""
+    rng = np.random.default_rng(8)
+    lost = 0
+    for _ in range(600):
+        union = int(rng.integers(8, 900))
+        common = -(-75 * union // 100)
+        elements = rng.integers(0, 1 << 64, union, np.uint64)
+        cut = common + int(rng.integers(0, union - common + 1))
+        a, b = elements[:cut], np.concatenate([elements[:common], elements[cut:]])
+        sa, sb = (minhash.registers(x)[None].astype(int) for x in (a, b))
+        lost += minhash.joint_similarity(sa, sb, np.array([float(len(a))]), np.array([float(len(b))]))[0] < minhash.SCREEN
+    assert lost == 0

@@ -73,3 +73,38 @@ def test_shard_stage(stages):
 
 def test_run(spark, stages):
     assert corpus_pipeline.run(spark, SF).count() == stages["shard_documents"][1].count()
+
+
+def written(spark, folder, rows, items):
+    """A folder with small documents and benchmark tables; documents have extra columns with names that stages use themselves."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, shard string, lang_pred string, text_hash int"
+    docs = [(d, t, lang, source, len(t or ""), "clash", None, 7) for d, t, lang, source in rows]
+    spark.createDataFrame(docs, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+def test_edge_rows_go_through_all_stages(spark, tmp_path):
+    sentence = lambda k, ws: " ".join(ws[(i * k + k) % len(ws)] for i in range(30))
+    en, fr = "the cat sat on a mat with all of them and then it went home again for tea".split(), "le chat est sur la table avec nous et puis il va encore dans sa maison".split()
+    rows = [(k, sentence(k, en), "en", "a") for k in range(1, 12)] + [(k, sentence(k - 19, fr), "fr", None) for k in range(20, 31)]
+    leak = sentence(13, en) + " zebra quagga okapi"
+    rows += [(None, sentence(16, en) + " one more", "en", "a"), (None, "123 456", "en", "a"), (None, None, None, None), (3, "-- 12 --", "en", "a"), (40, "", None, "b"), (41, leak, "en", "b"), (None, leak, "en", "b")]
+    rows.append(rows[0])
+    folder = written(spark, str(tmp_path / "t"), rows, [(1, leak), (None, None)])
+    docs, sizes = read(spark, folder, "documents"), []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder).cache()
+        sizes.append((name, docs.count()))
+    kept = docs.collect()
+    columns = read(spark, folder, "documents").columns
+    assert docs.columns == [c for c in columns if c != "shard"] + ["shard", "slot"]
+    texts = {t for _, t, *_ in rows}
+    assert {r["text"] for r in kept} <= texts - {"123 456", None, "-- 12 --", "", leak}
+    assert sizes[0] == ("language_id", 26) and len({(r["shard"], r["slot"]) for r in kept}) == len(kept)
+    assert corpus_pipeline.run(spark, folder).count() == len(kept)
+
+
+def test_empty_tables(spark, tmp_path):
+    folder = written(spark, str(tmp_path / "t"), [], [])
+    assert corpus_pipeline.run(spark, folder).count() == 0
