@@ -638,7 +638,7 @@ def plain_fingerprint(text):
     for k in range(128) if bins else ():
         number = k.to_bytes(4, "little")
         step, first = signed(chained([b"step", number])) % 64 * 2 + 1, signed(chained([b"start", number])) % 128
-        donor = k if k in bins else next(d for t in range(128) if (d := (first + step * t) % 128) in bins)
+        donor = k if k in bins else min(bins, key=lambda b: (b + first) * step % 128)
         digits.append(f"{bins[donor] & 15:x}")
     return "".join(digits)
 
