@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
-from .common import WORD, ranked, read
+from .common import WORD, let, ranked, read
 
 SHINGLE = 5
 BIN_BITS = 7
@@ -15,15 +15,22 @@ BINS = 1 << BIN_BITS
 BITS = 4
 
 
-def _let(value: Column, use) -> Column:
-    """use(value), with value computed once for a row."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _bin(x: Column) -> Column:
     return F.shiftrightunsigned(x, 64 - BIN_BITS).cast("int")
 
 
+def _donor(bin_: Column, bins: Column) -> Column:
+    """Where in bins the full bin stands that comes first in an empty bin's order of its own: an affine permutation modulo a power of two."""
+    step = (F.pmod(F.xxhash64(F.lit("step"), bin_), F.lit(BINS // 2)) * 2 + 1).cast("int")
+    start = F.pmod(F.xxhash64(F.lit("start"), bin_), F.lit(BINS)).cast("int")
+
+    def first(own):
+        place = F.transform(bins, lambda b, i: F.pmod((b + own["start"]) * own["step"], F.lit(BINS)) * BINS + i)
+        return F.array_min(place) % BINS + 1
+
+    return let(F.struct(step.alias("step"), start.alias("start")), first)
+
+
 def shingle_hashes(text: Column) -> Column:
     """One hash for each 5-word shingle; the whole sequence is one if it is shorter; none without words."""
 
@@ -32,7 +39,7 @@ def shingle_hashes(text: Column) -> Column:
         many = F.transform(F.sequence(F.lit(1), n - (SHINGLE - 1)), lambda i: F.xxhash64(F.slice(words, i, SHINGLE)))
         return F.when(n >= SHINGLE, many).when(n > 0, F.array(F.xxhash64(words))).otherwise(F.array().cast("array<bigint>"))
 
-    return _let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), runs)
+    return let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), runs)
 
 
 def fingerprint(text: Column) -> Column:
@@ -46,21 +53,16 @@ def fingerprint(text: Column) -> Column:
         return F.filter(ordered, lambda x, i: (i == 0) | (_bin(x) != _bin(F.element_at(ordered, F.greatest(i, F.lit(1))))))
 
     def dense(found):
+        """All bins' values: its own, or for an empty bin the one of its donor."""
         values, bins = found["values"], found["bins"]
-
-        def pick(k):
-            at = F.array_position(bins, k)
-            # an affine permutation modulo a power of two; step and start depend on the bin
-            step, first = F.pmod(F.xxhash64(F.lit("step"), k), F.lit(BINS // 2)) * 2 + 1, F.pmod(F.xxhash64(F.lit("start"), k), F.lit(BINS))
-            order = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda t: F.pmod(first + step * t, F.lit(BINS)).cast("int"))
-            donor = F.array_position(bins, F.element_at(F.array_intersect(order, bins), 1))
-            return F.element_at(values, F.when(at > 0, at).otherwise(donor).cast("int"))
-
-        digit = lambda v: F.substring(F.lit("0123456789abcdef"), v.bitwiseAND(F.lit(15)).cast("int") + 1, F.lit(1))
-        return F.when(F.size(bins) > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda k: digit(pick(k))), "")).otherwise(F.lit(""))
-
-    least = _let(F.sort_array(shingle_hashes(text)), minima)
-    return _let(_let(least, lambda v: F.struct(v.alias("values"), F.transform(v, _bin).alias("bins"))), dense)
+        holes = F.array_except(F.sequence(F.lit(0), F.lit(BINS - 1)), bins)
+        donors = F.transform(holes, lambda k: F.element_at(values, _donor(k, bins)))
+        pairs = F.concat(F.arrays_zip(bins.alias("bin"), values.alias("value")), F.arrays_zip(holes.alias("bin"), donors.alias("value")))
+        digits = F.transform(F.sort_array(pairs), lambda x: F.substring(F.lit("0123456789abcdef"), x["value"].bitwiseAND(F.lit(15)).cast("int") + 1, F.lit(1)))
+        return F.when(F.size(bins) > 0, F.array_join(digits, "")).otherwise(F.lit(""))
+
+    least = let(F.sort_array(shingle_hashes(text)), minima)
+    return let(let(least, lambda v: F.struct(v.alias("values"), F.transform(v, _bin).alias("bins"))), dense)
 
 
 def likeness(a: Column, b: Column) -> Column:
