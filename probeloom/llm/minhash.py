@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from ..scratch import materialize
-from ..spread import spread_join
+from ..spread import spread_join, spread_pairs
 from .common import Tokens, mix, read, slices, window_hashes
 
 SHINGLE = 5
@@ -194,9 +194,9 @@ def _rare_pairs(open_: DataFrame, docs: DataFrame) -> DataFrame:
     key = lambda c: docs.select(F.col("doc_id").alias(c), F.col("text").alias("text" if c == "rep" else "pivot_text"))
     texts = open_.join(key("rep"), "rep").join(key("pivot"), "pivot").select("rep", "component", "n_shingles", "pivot", "pivot_component", "text", "pivot_text")
     rows = materialize(texts.mapInArrow(_coordinates, _COORDINATES), "coordinates")
-    held = rows.groupBy("apart", "space", "shingle").agg(F.count("*").alias("held")).where("held > 1")
+    held = rows.groupBy("apart", "space", "shingle").agg(F.count("*").alias("held"), F.count("*").alias("n")).where("held > 1")
     own = Window.partitionBy("apart", "space", "rep")
-    common = rows.join(held, ["apart", "space", "shingle"]).withColumns({"_at": F.row_number().over(own.orderBy("held", "shingle")), "_common": F.count("*").over(own)})
+    common = spread_join(rows, held, ["apart", "space", "shingle"]).withColumns({"_at": F.row_number().over(own.orderBy("held", "shingle")), "_common": F.count("*").over(own)})
     # elements that no other text holds come first
     placed = materialize(common.withColumn("at", F.col("_at") + F.col("size") - F.col("_common")).drop("_at", "_common", "held"), "placed")
 
@@ -208,7 +208,7 @@ def _rare_pairs(open_: DataFrame, docs: DataFrame) -> DataFrame:
     rare = rare.join(largest, "shingle")
     x, y = (rare.select("shingle", "largest", F.col("rep").alias(c), F.col("component").alias(f"c{c}"), F.col("family").alias(f"f{c}"), F.col("n_shingles").alias(f"n{c}")) for c in "xy")
     meets = (F.col("fx") != F.col("fy")) & (F.col("cx") != F.col("cy")) & ((F.col("fy") == F.col("largest")) | (F.col("x") < F.col("y"))) & (100 * F.least("nx", "ny") >= PERCENT * F.greatest("nx", "ny"))
-    across = x.where("fx <> largest").join(y.drop("largest"), "shingle").where(meets).select("x", "y")
+    across = spread_pairs(x.where("fx <> largest"), y.drop("largest"), ["shingle"]).where(meets).select("x", "y")
 
     # one family: texts that aren't linked to the pivot meet the rarer half of each other difference
     inside = placed.where("apart")
@@ -218,7 +218,7 @@ def _rare_pairs(open_: DataFrame, docs: DataFrame) -> DataFrame:
     half = inside.where(F.col("at") <= F.col("size") - F.greatest(least, F.lit(1)) + 1).select("space", "shingle", *side("y"))
     needed = F.greatest(F.floor((7 * (F.col("sx") + F.col("sy")) - F.col("nx") - F.col("ny") + 13) / 14), F.lit(1))
     meets = (F.col("cx") != F.col("cy")) & (F.col("ax") <= F.col("sx") - needed + 1) & (F.col("ay") <= F.col("sy") - needed + 1)
-    within = loose.join(half, ["space", "shingle"]).where(meets).select("x", "y")
+    within = spread_pairs(loose, half, ["space", "shingle"]).where(meets).select("x", "y")
     return across.unionByName(within).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
