@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, html_text, language, line_dedup, minhash, mixing, secrets, sharding, substring
+from . import decontaminate, fingerprints, html_text, language, line_dedup, minhash, mixing, pieces, secrets, sharding, substring
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_document_fingerprints": fingerprints.op8_document_fingerprints,
     "op9_language_id": language.op9_language_id,
     "op10_substring_dedup": substring.op10_substring_dedup,
+    "op11_sentencepiece": pieces.op11_sentencepiece,
 }
 
 ORACLE = {
