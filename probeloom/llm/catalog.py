@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, html_text, language, line_dedup, minhash, mixing, pieces, secrets, sharding, substring
+from . import clustering, codes, decontaminate, fingerprints, html_text, language, line_dedup, minhash, mixing, pieces, secrets, sharding, substring
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_language_id": language.op9_language_id,
     "op10_substring_dedup": substring.op10_substring_dedup,
     "op11_sentencepiece": pieces.op11_sentencepiece,
+    "op12_centroid_clustering": clustering.op12_centroid_clustering,
+    "op13_vector_codes": codes.op13_vector_codes,
 }
 
 ORACLE = {
@@ -23,4 +25,6 @@ ORACLE = {
     "op4_line_dedup": line_dedup.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
     "op10_substring_dedup": substring.ORACLE,
+    "op12_centroid_clustering": clustering.ORACLE,
+    "op13_vector_codes": codes.ORACLE,
 }
