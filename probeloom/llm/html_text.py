@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,14 +42,20 @@ _JUNK_WORDS = re.compile(
     r"(?:^|(?<=[\s_-]))(?<!\bhas[_-])(?<!\bhave[_-])(?<!\bno[_-])(?<!\bnot[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?<!\bin[_-])(?:(?P<header>headers?)"
     r"|ads?|adverts?|advertisements?|adsense|adslot|banners?|sponsor(?:ed|s)?|promo(?:tion|s)?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlays?"
     r"|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|widgets?|footers?|masthead|topbar|toolbar|share|sharing|social|follow|related|recommend(?:ed|ations?)?|teasers?"
-    r"|newsletters?|subscri(?:be|ption)|signup|login|search|pag(?:er|ination)|comments?|commentlist|respond|replies|disqus|discussion|copyright|legal|byline|meta"
+    r"|newsletters?|subscri(?:be|ption)|signup|login|search|pag(?:er|ination)|comments?|commentlist|respond|replies|disqus|(?P<discussion>discussion)|copyright|legal|byline|meta"
     r"|(?<!\S)(?:side|rail|foot|more|tags|reply|skip|hidden|is-hidden|print)(?!\S))(?=$|[\s_-])",
     re.I,
 )
+#: Words that a paragraph of an article may well have.
+_MILD = frozenset("notice notices alert alerts promo promos promotion banner banners teaser teasers widget widgets related recommended recommendation recommendations legal more print follow social overlay consent discussion header headers search".split())
 #: Links that only lead past the menus.
 _SKIPS = re.compile(r"(?<!\S)skip(?:[_-]?(?:link|nav|to)\S*)?(?!\S)", re.I)
 #: Whole classes and ids of what readers wrote: it may be longer than the article.
-_REPLIES = re.compile(r"(?<!\S)(?:comments?|comments?[_-]?(?:list|area|section|thread)|disqus(?:[_-]thread)?|respond|replies|discussion)(?!\S)", re.I)
+_REPLIES = re.compile(
+    r"(?<!\S)(?:(?!(?:has|have|no|not|with|without|in|show|hide|open|allow)[_-])\w+[_-])?comments?(?:[_-]?(?:list|area|section|thread|wrap|wrapper|container|box|block|feed|body|item|entry|content|\d+))?(?!\S)"
+    r"|(?<!\S)(?:commentlist|disqus(?:[_-]thread)?|respond|replies|reply)(?!\S)",
+    re.I,
+)
 #: Whole classes and ids that leave no doubt: such an element stays only for an article, main or h1 inside.
 _SURE = re.compile(
     r"(?<!\S)(?:ads?|adverts?|advertisements?|adsense|ads?[_-]?(?:slot|box|container|wrapper|banner|unit)|banners?|sponsor(?:ed|s)?|promo(?:tion|s)?|(?:cookies?|consent|gdpr)(?:[_-]\S+)?|popups?|modals?"
@@ -58,7 +64,7 @@ _SURE = re.compile(
 )
 #: A header by such a name is the article's own, and its headings stay.
 _OF_ARTICLE = re.compile(r"(?:^|[\s_-])(?:entry|post|article|story|content)[_-]", re.I)
-#: What is junk by other words stays if all that goes by its word holds more than this share of the page's text outside links.
+#: What is junk by its tag or by other words stays if all that goes by it holds more than this share of the page's text outside links.
 _MOST, _MOST_WITH_ARTICLE = 0.5, 0.2
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -70,34 +76,28 @@ def _below(path: str, segment: str) -> str:
     return f"{path}/{segment[:512]}"
 
 
-class _Named:
-    """An element that may go by a word in its class or id; core: an article, main or h1 is inside."""
+class _Doubtful:
+    """An element that may go by its tag, role or state, or by a word in its class or id; all are judged when the page is read.
 
-    __slots__ = ("core", "goes", "key", "main", "mine", "outer", "replies", "sure")
+    past: stands for what follows the beginning of an article inside such an element. If the element is never closed,
+    it ended there.
+    """
 
-    def __init__(self, outer: _Named | None, named: str, within_article: bool):
-        word = _JUNK_WORDS.search(named)
-        self.outer, self.key = outer, word[0].lower()
-        self.replies, self.sure = bool(_REPLIES.search(named)), bool(_SURE.search(named))
-        #: an article's header, which keeps its headings
-        self.mine = bool(word["header"]) and (within_article or bool(_OF_ARTICLE.search(named)))
-        self.core = self.main = self.goes = False
+    __slots__ = ("after", "before", "closed", "first", "goes", "key", "kind", "mild", "mine", "open_in", "open_past", "outer", "replied", "replies", "sure")
 
-    def decide(self, share: float) -> None:
-        """share: of the page's text outside links, in the elements that go by the same word."""
-        self.sure = not self.main if self.replies else self.sure and not self.core
-        self.goes = self.sure or share <= (_MOST_WITH_ARTICLE if self.core else _MOST)
+    def __init__(self, outer: _Doubtful | None, key: str, kind: str):
+        self.outer, self.key, self.kind = outer, key, kind  # kind: tag, word or past
+        self.replies = self.sure = self.mine = self.mild = self.replied = self.goes = self.closed = False
+        self.first = True  # no other of its key around it
+        #: text outside links; an article, main or h1; main or h1: until an article begins inside, and from there on
+        self.before, self.after = [0, False, False], [0, False, False]
 
-    def holds(self) -> Iterator[_Named]:
-        """This element and those around it."""
-        x: _Named | None = self
-        while x:
-            yield x
-            x = x.outer
+    def holds(self) -> list[int]:
+        return [x + y if self.closed else x for x, y in zip(self.before, self.after, strict=True)]
 
 
 class _Page:
-    """Blocks of text of a page in order, and its containers' paths; one pass over the tags."""
+    """Blocks of text of a page in order, and its containers' paths; one pass over the tags, then one over the doubtful elements."""
 
     def __init__(self, source: str):
         self.paths: list[str] = [""]  # of containers; the first stands for the page
@@ -105,22 +105,25 @@ class _Page:
         self.parents: list[int] = [-1]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters inside links
         self._flagged: dict[int, int] = {}  # by container: characters left out as junk
-        self._named: list[_Named] = []  # elements that may go by their names
-        self._marks: list[tuple[_Named | None, bool]] = []  # by block: the innermost of them around it, heading
-        self._within: _Named | None = None
-        self._heading = False
+        self._doubtful: list[_Doubtful] = []
+        self._marks: list[tuple[_Doubtful | None, bool, bool]] = []  # by block: the innermost of them around it, heading or paragraph, in an article
+        self._within: _Doubtful | None = None
+        self._lead = False
         self._text: list[str] = []
         self._linked = 0
-        stack: list[tuple[str, int, int, int, _Named | None]] = []  # tag, container, depth of junk, header kind, named
-        container, junk, header, link = 0, 0, 0, 0
-        at = 0
+        self._container = self._junk = 0  # junk: depth of inline elements that go
+        self._stack: list[tuple[str, int, int, _Doubtful | None, _Doubtful | None]] = []  # tag, container, junk and doubtful before it, its own
+        self._places: dict[str, list[int]] = {}  # by tag: where it is open on the stack
+        self._walls: list[int] = []  # where blocks other than paragraphs are open
+        self._keys: dict[str, int] = {}  # of open doubtful elements
+        link = at = 0
         unclosed: set[str] = set()
         while m := _TOKEN.search(source, at):
             if m.start() > at:
-                if not junk or (header and self._heading and junk == header):
+                if not self._junk:
                     self._add(source[at : m.start()], link)
                 else:
-                    self._flag(container, len(source[at : m.start()].strip()))
+                    self._flag(self._container, len(source[at : m.start()].strip()))
             at = m.end()
             tag = m["tag"]
             if tag is None:
@@ -132,28 +135,22 @@ class _Page:
             if m["end"]:
                 if tag == "a":
                     link = max(0, link - 1)
+                open_at = self._places.get(tag)
                 if tag in _INLINE:
                     # closes its own start if that was kept, but no block around it
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] == tag:
-                            if any(x[0] == "p" for x in stack[i + 1 :]):
-                                self._flush(container)
-                            _, container, junk, header, self._within = stack[i]
-                            del stack[i:]
-                            break
-                        if stack[i][0] != "p" and stack[i][0] not in _INLINE:
-                            break
+                    if open_at and open_at[-1] > (self._walls[-1] if self._walls else -1):
+                        if (p := self._places.get("p")) and p[-1] > open_at[-1]:
+                            self._flush()
+                        self._close(open_at[-1])
                     continue
                 if tag == "head" or tag in _RAW:
                     continue
-                self._flush(container)
-                if tag in _HEADINGS:
-                    self._heading = False
-                if any(x[0] == tag for x in stack):
-                    while stack:
-                        top, container, junk, header, self._within = stack.pop()
-                        if top == tag:
-                            break
+                self._flush()
+                self._lead = False
+                if open_at:
+                    if own := self._stack[open_at[-1]][4]:
+                        own.closed = True
+                    self._close(open_at[-1])
                     link = 0
                 continue
             attrs = m["attrs"]
@@ -173,46 +170,82 @@ class _Page:
                 continue
             if tag in _INLINE:
                 # one that goes is kept on the stack until its end, and so are others of its name inside it
-                found = bool(attrs) and (self._is_junk(tag, attrs) or (self._skips(attrs) if tag == "a" else bool(self._is_named(tag, attrs))))
-                if (found or any(x[0] == tag for x in stack)) and not _SELF_CLOSED.search(attrs):
-                    stack.append((tag, container, junk, header, self._within))
-                    junk += found
+                found = bool(attrs) and bool(self._is_junk(tag, attrs) or (self._skips(attrs) if tag == "a" else self._is_named(tag, attrs)))
+                if (found or self._places.get(tag)) and not _SELF_CLOSED.search(attrs):
+                    self._open(tag, self._within)
+                    self._junk += found
                 continue
-            self._flush(container)
+            self._flush()
+            self._lead = False
             if tag in _VOID:
                 continue
             if tag in ("p", *_HEADINGS, "li"):  # these end a paragraph that was left open
-                i = len(stack) - 1
-                while i >= 0 and stack[i][0] in _INLINE:
-                    i -= 1
-                if tag != "li" and i >= 0 and stack[i][0] == "p":
-                    _, container, junk, header, self._within = stack[i]
-                    del stack[i:]
+                if tag != "li" and (p := self._places.get("p")) and p[-1] > (self._walls[-1] if self._walls else -1):
+                    self._close(p[-1])
                 link = 0
-                self._heading = tag in _HEADINGS
-            stack.append((tag, container, junk, header, self._within))
-            if tag == "header":
-                # a page's header goes; of an article's header the headings stay
-                inside = any(x[0] in ("article", "main") for x in stack[:-1])
-                junk += 1
-                header = junk if inside else 0
-            elif self._is_junk(tag, attrs):
-                junk += 1
-            elif not junk and (named := self._is_named(tag, attrs)):
-                self._within = _Named(self._within, named, any(x[0] in ("article", "main") for x in stack[:-1]))
-                self._named.append(self._within)
-            if tag in ("article", "main", "h1") and not junk and self._within:
-                for x in self._within.holds():
-                    x.core, x.main = True, x.main or tag != "article"
-            if tag in _CONTAINERS:
-                self.parents.append(container)
-                self.tags.append(tag)
-                self.paths.append(_below(self.paths[container], f"{tag}{self._classes(attrs)}"))
-                container = len(self.paths) - 1
-        if at < len(source) and not junk:
+                self._lead = tag != "li"
+            self._begin(tag, attrs)
+        if at < len(source) and not self._junk:
             self._add(source[at:], link)
-        self._flush(container)
-        self._drop_named()
+        self._flush()
+        self._drop_doubtful()
+
+    def _open(self, tag: str, before: _Doubtful | None, own: _Doubtful | None = None) -> None:
+        """before: what is around once the element has ended."""
+        self._places.setdefault(tag, []).append(len(self._stack))
+        if tag != "p" and tag not in _INLINE:
+            self._walls.append(len(self._stack))
+        if own:
+            own.first = not self._keys.get(own.key)
+            self._keys[own.key] = self._keys.get(own.key, 0) + 1
+            self._doubtful.append(own)
+            self._within = own
+        self._stack.append((tag, self._container, self._junk, before, own))
+
+    def _close(self, place: int) -> None:
+        """The element at a place of the stack ends, and all that is still open in it."""
+        while len(self._stack) > place:
+            tag, self._container, self._junk, self._within, own = self._stack.pop()
+            self._places[tag].pop()
+            if self._walls and self._walls[-1] == len(self._stack):
+                self._walls.pop()
+            if own:
+                self._keys[own.key] -= 1
+
+    def _begin(self, tag: str, attrs: str) -> None:
+        """A block element opens."""
+        inside = bool(self._places.get("article") or self._places.get("main"))
+        own = None
+        if tag == "header":
+            own = _Doubtful(self._within, tag, "tag")
+            own.mine = inside
+        elif why := self._is_junk(tag, attrs):
+            own = _Doubtful(self._within, why, "tag")
+        elif named := self._is_named(tag, attrs):
+            word = _JUNK_WORDS.search(named) or _REPLIES.search(named)
+            key = word[0].lower()
+            if not (inside and tag == "p" and key in _MILD):
+                own = _Doubtful(self._within, key, "word")
+                own.replies, own.sure = bool(_REPLIES.search(named)), bool(_SURE.search(named))
+                header = word.re is _JUNK_WORDS and word["header"]
+                own.mine = bool(header) and (inside or bool(_OF_ARTICLE.search(named)))
+                own.mild = inside and key == "discussion"
+        before = self._within
+        if tag in ("article", "main", "h1") and self._within and not own:
+            if tag != "h1":
+                before = _Doubtful(self._within, "", "past")
+                self._doubtful.append(before)
+                self._within = before
+            self._within.before[1] = True
+            self._within.before[2] |= tag != "article"
+        self._open(tag, before, own)
+        if own and own.replies and own.outer:
+            own.outer.replied = True
+        if tag in _CONTAINERS:
+            self.parents.append(self._container)
+            self.tags.append(tag)
+            self.paths.append(_below(self.paths[self._container], f"{tag}{self._classes(attrs)}"))
+            self._container = len(self.paths) - 1
 
     def _add(self, text: str, link: int) -> None:
         self._text.append(text)
@@ -222,56 +255,109 @@ class _Page:
     def _flag(self, container: int, n: int) -> None:
         self._flagged[container] = self._flagged.get(container, 0) + n
 
-    def _flush(self, container: int) -> None:
+    def _flush(self) -> None:
         if self._text:
             text = " ".join(html.unescape("".join(self._text)).split())
             if text:
-                self.blocks.append((container, text, min(self._linked, len(text))))
-                self._marks.append((self._within, self._heading))
+                self.blocks.append((self._container, text, min(self._linked, len(text))))
+                self._marks.append((self._within, self._lead, bool(self._places.get("article") or self._places.get("main"))))
             self._text = []
         self._linked = 0
 
-    def _drop_named(self) -> None:
-        """Of the elements that may go by their names, drop those that can't hold the article."""
-        if not self._named:
+    def _drop_doubtful(self) -> None:
+        """Of the doubtful elements drop those that can't hold the article: sizes go up the tree once, decisions down once.
+
+        An element by its tag, role or state stays only if no article or main with text is outside all of these, and if
+        it has most of the page's text, or an article and a good part of it.
+        """
+        if not self._doubtful:
             return
-        around = [list(x.holds()) if x else [] for x, _ in self._marks]
         unlinked = [len(text) - linked for _, text, linked in self.blocks]
+        for (x, _, _), n in zip(self._marks, unlinked, strict=True):
+            if x:
+                x.before[0] += n
+        for x in reversed(self._doubtful):
+            if up := x.outer:
+                for i in range(3):
+                    if x.kind == "past":
+                        up.after[i] += x.before[i] + x.after[i]
+                    else:
+                        up.before[i] += x.before[i]
+                        up.after[i] += x.after[i]
+                up.replied |= x.replied
+        self._down(lambda x: x.replies or (x.kind == "tag" and not x.mine))
+        elsewhere = any(n and article and (x is None or x.open_in[0]) for (x, _, article), n in zip(self._marks, unlinked, strict=True))
         like: dict[str, int] = {}
-        for xs, n in zip(around, unlinked, strict=True):
-            for key in {x.key for x in xs}:
-                like[key] = like.get(key, 0) + n
-        for x in self._named:
-            x.decide(like.get(x.key, 0) / max(sum(unlinked), 1))
-        stays = [not any(x.goes and not (x.mine and heading) for x in xs) for xs, (_, heading) in zip(around, self._marks, strict=True)]
+        for x in self._doubtful:
+            if x.first and x.kind != "past":
+                like[x.key] = like.get(x.key, 0) + x.holds()[0]
+        page = max(sum(unlinked), 1)
+        for x in self._doubtful:
+            if x.kind == "past":
+                continue
+            _, core, main = x.holds()
+            small = like.get(x.key, 0) <= page * (_MOST_WITH_ARTICLE if core else _MOST)
+            if x.kind == "tag":
+                x.goes = x.sure = x.mine or elsewhere or small
+            elif x.mild:
+                x.goes = x.replied
+            else:
+                x.sure = not main if x.replies else x.sure and not core
+                x.goes = x.sure or small
+
+        def left(goes: Callable[[_Doubtful], bool]) -> list[bool]:
+            self._down(goes)
+            return [x is None or x.open_in[lead] for x, lead, _ in self._marks]
+
+        stays = left(lambda x: x.goes)
         if not any(s and n for s, n in zip(stays, unlinked, strict=True)):  # the page would be empty
-            stays = [not any(x.sure for x in xs) for xs in around]
+            stays = left(lambda x: x.sure)
         for (container, text, _), s in zip(self.blocks, stays, strict=True):
             if not s:
                 self._flag(container, len(text))
         self.blocks = [b for b, s in zip(self.blocks, stays, strict=True) if s]
 
+    def _down(self, goes: Callable[[_Doubtful], bool]) -> None:
+        """open_in: whether text, and headings or paragraphs, directly inside an element stay; of an article's own header the latter do.
+
+        open_past: the same if only elements that are closed count, for what follows the beginning of an article.
+        """
+        for x in self._doubtful:
+            inside, past = (x.outer.open_in, x.outer.open_past) if x.outer else ((True, True), (True, True))
+            if x.kind == "past":
+                x.open_in = x.open_past = past
+            elif goes(x):
+                x.open_in = (False, inside[1] and x.mine)
+                x.open_past = (False, past[1] and x.mine) if x.closed else past
+            else:
+                x.open_in, x.open_past = inside, past
+
     @staticmethod
     def _attributes(attrs: str) -> dict[str, str]:
         return {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)} if attrs.strip() else {}
 
-    def _is_junk(self, tag: str, attrs: str) -> bool:
-        """Whether an element goes by its tag, state or role."""
+    def _is_junk(self, tag: str, attrs: str) -> str:
+        """By what an element goes: its tag, role or state, or nothing."""
         if tag in _JUNK_TAGS:
-            return True
+            return tag
         found = self._attributes(attrs)
         if not found or tag in ("html", "body", "article", "main"):
-            return False
+            return ""
         styled = found.get("style", "").replace(" ", "").lower()
-        return "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in _JUNK_ROLES or "display:none" in styled
+        if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in styled:
+            return "hidden"
+        role = found.get("role", "").lower()
+        return f"role {role}" if role in _JUNK_ROLES else ""
 
     def _is_named(self, tag: str, attrs: str) -> str:
-        """The class and id of an element if a word in them says that it isn't part of an article."""
+        """The class and id of an element if a word in them says that it isn't part of an article; of articles themselves, that readers wrote them."""
         found = self._attributes(attrs)
-        if not found or tag in ("html", "body", "article", "main", *_HEADINGS):
+        if not found or tag in ("html", "body", "main", *_HEADINGS):
             return ""
         named = f"{found.get('class', '')} {found.get('id', '')}".strip()
-        return named if named and _JUNK_WORDS.search(named) else ""
+        if tag == "article":
+            return named if named and _REPLIES.search(named) else ""
+        return named if named and (_JUNK_WORDS.search(named) or _REPLIES.search(named)) else ""
 
     def _skips(self, attrs: str) -> bool:
         return bool(_SKIPS.search(self._attributes(attrs).get("class", "")))

@@ -247,6 +247,69 @@ def test_html_article_in_parts_is_whole():
     assert text_of(f"<body><div class='post'><p>{long}</p></div>{links}</body>") == long
 
 
+ARTICLE = "<h1>Head of it</h1><p>First paragraph of the page, with some words.</p><p>Second paragraph of the page, with more words.</p>"
+ARTICLE_TEXT = "Head of it\n\nFirst paragraph of the page, with some words.\n\nSecond paragraph of the page, with more words."
+
+
+@pytest.mark.parametrize("core", ["article", "main", "div"])
+@pytest.mark.parametrize(
+    "around",
+    ["<form action='x'>{}</form>", "<div role='form'>{}</div>", "<div role=form><form>{}</form></div>", "<fieldset>{}</fieldset>", "<div hidden>{}</div>", "<div style='display: none'>{}</div>", "<div aria-hidden='true'>{}</div>", "<form><div hidden>{}</div></form>", "<form>{}", "<header>{}</header>"],
+)
+def test_html_wrappers_by_junk_tags_keep_the_article(around, core):
+    rest = "<nav><ul><li><a href='/'>Home</a></li></ul></nav>", "<form><p>Mail us</p><input></form><footer>All rights</footer>"
+    assert text_of(f"<body>{around.format(f'{rest[0]}<{core}>{ARTICLE}</{core}>{rest[1]}')}</body>") == ARTICLE_TEXT
+
+
+@pytest.mark.parametrize("left_open", ["<nav><a href='/'>Home</a> Menu of the site", "<form><p>Search this site", "<map name='m'>Map", "<form><nav>Menu", "<div role='search'>Find", "<aside><p>Side"])
+def test_html_elements_left_open_end_at_the_article(left_open):
+    for core in ("article", "main"):
+        want = ARTICLE_TEXT + ("" if core == "article" else "\n\nA last line.")
+        last = "" if core == "article" else "<p>A last line.</p>"
+        assert text_of(f"<body>{left_open}<{core}>{ARTICLE}{last}</{core}><footer>f</footer></body>") == want
+    # closed after all: the article's side box, which goes
+    assert text_of(f"<body><article>{ARTICLE}</article><aside><article><p>Teaser</p></article></aside></body>") == ARTICLE_TEXT
+
+
+def test_html_junk_tags_go_beside_an_article():
+    long = "<p>Legal words of the owner of this site, at some length.</p>" * 20
+    for junk in ("footer", "aside", "form", "nav", "header", "div hidden"):
+        assert text_of(f"<body><article>{ARTICLE}</article><{junk}>{long}</{junk.split()[0]}></body>") == ARTICLE_TEXT, junk
+
+
+def test_html_article_parts_by_doubtful_names_stay():
+    research = "<article><h1>Study</h1>" + "".join(f"<section id='{x}'><h2>{x}</h2><p>What the {x} says of it.</p></section>" for x in ("methods", "results", "discussion")) + "</article>"
+    assert text_of(research).endswith("discussion\n\nWhat the discussion says of it.")
+    talk = "<section id='discussion'><h2>Discussion</h2><div class='comment'><p>I, a reader, disagree.</p></div></section>"
+    assert text_of(f"<article>{ARTICLE}{talk}</article>") == ARTICLE_TEXT
+    for name in ("notice", "promo", "alert", "related", "more"):
+        assert text_of(f"<article><p>One.</p><p class='{name}'>Two of it.</p><p>Three.</p></article>") == "One.\n\nTwo of it.\n\nThree."
+    assert text_of(f"<article><header><h1>Head</h1><p>The lead of it.</p><span>by A</span><p class='byline'>by A</p></header><p>{'Body of it. ' * 9}</p></article>").startswith("Head\n\nThe lead of it.\n\nBody of it.")
+
+
+def test_html_readers_articles_go():
+    for name in ("reader-comments", "comments", "user_comments", "comments-section", "comment-list"):
+        replies = f"<section class='{name}'>" + "<article><h3>Reader</h3><p>I, a reader, have a long comment to make about all of this.</p></article>" * 9 + "</section>"
+        assert text_of(f"<body><article>{ARTICLE}</article>{replies}</body>") == ARTICLE_TEXT, name
+        assert text_of(f"<body><article>{ARTICLE}{replies}</article></body>") == ARTICLE_TEXT, name
+    nested = "<article class='comment-body'><p>I, a reader, have a long comment to make about all of this.</p></article>" * 9
+    assert text_of(f"<body><article>{ARTICLE}{nested}</article></body>") == ARTICLE_TEXT
+    assert text_of(f"<body><article class='comment'>{ARTICLE}</article></body>") == ARTICLE_TEXT  # an opinion piece
+
+
+@pytest.mark.parametrize("source", ["<div class='ad'>" * 100_000 + "x", "<div>" * 50_000 + "<b>" * 50_000 + "x" + "</b>" * 50_000, "<b><b><div>" + "<i hidden>" * 50_000 + "</b>" * 50_000, "<nav>" * 100_000 + "<article>x", "<p><form>" * 60_000 + "x" + "</p>" * 60_000, "<div class='ad'><article>" * 50_000 + "x"])
+def test_html_nesting_takes_linear_time_and_memory(source):
+    import tracemalloc
+
+    began = time.process_time()
+    html_text._Page(source).text(None)
+    assert time.process_time() - began < 15
+    tracemalloc.start()
+    html_text._Page(source[: len(source) // 2])
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
 def test_html_odd_quotes_and_skip_links():
     assert text_of('<p class="x" ">one</p><p id="q">two</p>') == "one\n\ntwo"
     assert text_of("<article><p title=\"a>b\" data-x='>'>one</p><p title=it's>two</p></article>") == "one\n\ntwo"
