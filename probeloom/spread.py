@@ -33,13 +33,14 @@ def spread_join(rows: DataFrame, small: DataFrame, on: Sequence[str], count: str
     return here.unionByName(rest)
 
 
-def spread_pairs(x: DataFrame, y: DataFrame, on: Sequence[str]) -> DataFrame:
+def spread_pairs(x: DataFrame, y: DataFrame, on: Sequence[str], keys: DataFrame | None = None) -> DataFrame:
     """x joined to y where many rows of y may share a key: those of a hot key are dealt to several tasks, to which x's rows of it are copied.
 
-    The columns besides the keys have different names. Hot keys are few, as in spread_join().
+    The columns besides the keys have different names. Hot keys are few, as in spread_join(). keys: a cheaper table with
+    the keys of y's rows, to count.
     """
     on = list(on)
-    counts = materialize(y.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS), "key-counts")
+    counts = materialize((y if keys is None else keys).groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS), "key-counts")
     whole = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.count("*").alias("keys")).first()
     if not whole["keys"]:
         return x.join(y, on)
