@@ -29,6 +29,14 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def free_prefix(df: DataFrame) -> str:
+    """Underscores with which no column of df begins, for columns that are added for a while."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with value computed once for a row."""
     return F.element_at(F.transform(F.array(value), use), 1)

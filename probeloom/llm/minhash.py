@@ -151,16 +151,18 @@ _COORDINATES = "apart boolean, space long, rep long, component long, near boolea
 
 
 def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of pairs (a, b), those whose full sets are similar enough."""
+    """Of pairs (a, b), those whose full sets are similar enough. Many pairs may share an id: that of a central text."""
+    pairs = materialize(pairs, "pairs")
     size = reps.select("rep", "n_shingles", "sketch", "key")
     left = size.select(F.col("rep").alias("a"), F.col("n_shingles").alias("na"), F.col("sketch").alias("sa"), F.col("key").alias("ka"))
     right = size.select(F.col("rep").alias("b"), F.col("n_shingles").alias("nb"), F.col("sketch").alias("sb"), F.col("key").alias("kb"))
     fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
-    near = pairs.join(left, "a").join(right, "b").where(fits).mapInArrow(_screen, "a long, b long, ka binary, kb binary").select("a", "b")
+    near = spread_pairs(right, spread_pairs(left, pairs, ["a"]), ["b"], pairs).where(fits).mapInArrow(_screen, "a long, b long, ka binary, kb binary").select("a", "b")
     near = materialize(near, "near-pairs")
     texts = docs.select("doc_id", "text")
-    both = near.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-    return both.mapInArrow(_verify, "a long, b long")
+    first = spread_pairs(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), near, ["a"])
+    both = spread_pairs(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), first, ["b"], near)
+    return both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long")
 
 
 def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -192,7 +194,7 @@ def _rare_pairs(open_: DataFrame, docs: DataFrame) -> DataFrame:
     shares are no part of the differences, so a group of copies doesn't meet in them.
     """
     key = lambda c: docs.select(F.col("doc_id").alias(c), F.col("text").alias("text" if c == "rep" else "pivot_text"))
-    texts = open_.join(key("rep"), "rep").join(key("pivot"), "pivot").select("rep", "component", "n_shingles", "pivot", "pivot_component", "text", "pivot_text")
+    texts = spread_pairs(key("pivot"), open_.join(key("rep"), "rep"), ["pivot"], open_).select("rep", "component", "n_shingles", "pivot", "pivot_component", "text", "pivot_text")
     rows = materialize(texts.mapInArrow(_coordinates, _COORDINATES), "coordinates")
     held = rows.groupBy("apart", "space", "shingle").agg(F.count("*").alias("held"), F.count("*").alias("n")).where("held > 1")
     own = Window.partitionBy("apart", "space", "rep")
@@ -204,8 +206,8 @@ def _rare_pairs(open_: DataFrame, docs: DataFrame) -> DataFrame:
     prefix = F.col("size") - F.floor((PERCENT * F.col("size") + 99) / 100) + 1
     rare = placed.where(~F.col("apart") & (F.col("at") <= prefix)).select("shingle", "rep", "component", F.struct("near", "family").alias("family"), "n_shingles")
     parts = rare.groupBy("shingle", "family").agg(F.count("*").alias("n"))
-    largest = parts.groupBy("shingle").agg(F.max(F.struct("n", "family")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("shingle", F.col("top.family").alias("largest"))
-    rare = rare.join(largest, "shingle")
+    largest = parts.groupBy("shingle").agg(F.max(F.struct("n", "family")).alias("top"), F.count("*").alias("parts"), F.sum("n").alias("n")).where("parts > 1").select("shingle", F.col("top.family").alias("largest"), "n")
+    rare = spread_join(rare, largest, ["shingle"])
     x, y = (rare.select("shingle", "largest", F.col("rep").alias(c), F.col("component").alias(f"c{c}"), F.col("family").alias(f"f{c}"), F.col("n_shingles").alias(f"n{c}")) for c in "xy")
     meets = (F.col("fx") != F.col("fy")) & (F.col("cx") != F.col("cy")) & ((F.col("fy") == F.col("largest")) | (F.col("x") < F.col("y"))) & (100 * F.least("nx", "ny") >= PERCENT * F.greatest("nx", "ny"))
     across = spread_pairs(x.where("fx <> largest"), y.drop("largest"), ["shingle"]).where(meets).select("x", "y")
@@ -274,7 +276,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Rows with a null doc_id stay; rows that repeat a doc_id share its fate. All columns pass through.
     """
     fate = materialize(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "duplicates")
-    return docs.join(fate, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(fate, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
-from .common import WORD, ranked, read
+from .common import WORD, free_prefix, ranked, read
 
 #: No source is repeated more often than this on average, so no document is taken more often than this.
 MAX_REPEAT = 3
@@ -49,27 +49,29 @@ def unit_hash(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
-def mix_rates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, seed: str = SEED) -> DataFrame:
+def mix_rates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, seed: str = SEED, prefix: str = "_") -> DataFrame:
     """Each row of docs with _size, _source_size, _target and _copies, the number of times that the mix takes it.
 
     A document comes floor(rate) times for its source's rate = target / size, and once more if its hash is below the
     fraction. Null and empty texts have size 0; rows that repeat a doc_id share its draw; a null doc_id draws as an
-    empty string. Other columns pass through.
+    empty string. Other columns pass through; docs has none whose name begins with prefix, the new columns' first part.
     """
-    sized = docs.withColumn("_size", word_count(F.col(text)))
-    targets = source_targets(sized.select(F.col(source).alias("source"), F.col("_size").alias("size")), weights)
-    targets = targets.select(F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"))
-    rate = F.coalesce(F.try_divide(F.col("_target"), F.col("_source_size").cast("double")), F.lit(0.0))
+    size, source_size, target, copies, name, per = (f"{prefix}{x}" for x in ("size", "source_size", "target", "copies", "source", "rate"))
+    sized = docs.withColumn(size, word_count(F.col(text)))
+    targets = source_targets(sized.select(F.col(source).alias("source"), F.col(size).alias("size")), weights)
+    targets = targets.select(F.col("source").alias(name), F.col("source_size").alias(source_size), F.col("target").alias(target))
+    rate = F.coalesce(F.try_divide(F.col(target), F.col(source_size).cast("double")), F.lit(0.0))
     # a handful of rows against all documents: Spark broadcasts the sources where their measured size allows it
-    rows = sized.join(targets, sized[source].eqNullSafe(targets["_source"]), "left").drop("_source").withColumn("_rate", rate)
-    extra = (unit_hash(F.col(doc_id), seed) < F.col("_rate") - F.floor("_rate")).cast("long")
-    return rows.withColumn("_copies", F.floor("_rate") + extra).drop("_rate")
+    rows = sized.join(targets, sized[source].eqNullSafe(targets[name]), "left").drop(name).withColumn(per, rate)
+    extra = (unit_hash(F.col(doc_id), seed) < F.col(per) - F.floor(per)).cast("long")
+    return rows.withColumn(copies, F.floor(per) + extra).drop(per)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: rows of docs, each as often as mix_rates() says."""
-    rated = mix_rates(docs, **options)
-    return rated.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select(*docs.columns)
+    """The mixed corpus: rows of docs with all their columns, each as often as mix_rates() says."""
+    prefix = free_prefix(docs)
+    rated = mix_rates(docs, prefix=prefix, **options)
+    return rated.withColumn(f"{prefix}copy", F.explode(F.array_repeat(F.lit(0), F.col(f"{prefix}copies").cast("int")))).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections import deque
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import free_prefix, read
 
 N_SHARDS = 24
 VIRTUAL_NODES = 64
@@ -68,15 +68,16 @@ def shard(docs: DataFrame, keys: list[Column], n_shards: int = N_SHARDS, virtual
     empty table gives no rows. Clashing columns named shard or slot are replaced.
     """
     cells, nodes = ring_nodes(docs.sparkSession, n_shards, virtual_nodes)
-    placed = docs.withColumn("_hash", F.xxhash64(F.lit("key"), *keys)).withColumn("_cell", F.pmod("_hash", F.lit(cells)).cast("int"))
-    counts = {r["_cell"]: r["n"] for r in placed.groupBy("_cell").agg(F.count("*").alias("n")).collect()}
+    spark, prefix = docs.sparkSession, free_prefix(docs)
+    at, cell, rank, to, lo, hi, first = (f"{prefix}{x}" for x in ("hash", "cell", "rank", "to", "lo", "hi", "slot"))
+    placed = docs.withColumn(at, F.xxhash64(F.lit("key"), *keys)).withColumn(cell, F.pmod(at, F.lit(cells)).cast("int"))
+    counts = {r[cell]: r["n"] for r in placed.groupBy(cell).agg(F.count("*").alias("n")).collect()}
     flows = fill_ring(counts, nodes, n_shards)
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(flows, "_to int, _lo long, _hi long, shard int, _slot long")
-    ranked = placed.withColumn("_rank", F.row_number().over(Window.partitionBy("_cell").orderBy("_hash", *keys)) - F.lit(1)).drop("shard", "slot")
+    plan = spark.createDataFrame(flows, f"{to} int, {lo} long, {hi} long, shard int, {first} long")
+    ranked = placed.withColumn(rank, F.row_number().over(Window.partitionBy(cell).orderBy(at, *keys)) - F.lit(1)).drop("shard", "slot")
     # the plan has at most one row for each cell and one for each node: the ring bounds its size
-    rows = ranked.join(F.broadcast(plan), (F.col("_cell") == F.col("_to")) & (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi")))
-    return rows.withColumn("slot", F.col("_slot") + F.col("_rank") - F.col("_lo")).drop("_hash", "_cell", "_rank", "_to", "_lo", "_hi", "_slot")
+    rows = ranked.join(F.broadcast(plan), (F.col(cell) == F.col(to)) & (F.col(rank) >= F.col(lo)) & (F.col(rank) < F.col(hi)))
+    return rows.withColumn("slot", F.col(first) + F.col(rank) - F.col(lo)).drop(at, cell, rank, to, lo, hi, first)
 
 
 def op6_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

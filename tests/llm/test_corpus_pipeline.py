@@ -77,8 +77,9 @@ def test_run(spark, stages):
 
 def written(spark, folder, rows, items):
     """A folder with small documents and benchmark tables; documents have extra columns with names that stages use themselves."""
-    schema = "doc_id long, text string, lang string, source string, n_chars long, shard string, lang_pred string, text_hash int"
-    docs = [(d, t, lang, source, len(t or ""), "clash", None, 7) for d, t, lang, source in rows]
+    clash = ["_source", "_target", "_copy", "_copies", "_size", "_rate", "_hash", "_rank", "_cell", "_slot", "_to", "_lo", "_bad_id", "_bad_hash", "__x", "kept", "component_id", "item_id", "rep"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, shard string, lang_pred string, text_hash int, " + ", ".join(f"`{c}` string" for c in clash)
+    docs = [(d, t, lang, source, len(t or ""), "clash", None, 7, *clash) for d, t, lang, source in rows]
     spark.createDataFrame(docs, schema).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return folder
@@ -99,6 +100,7 @@ def test_edge_rows_go_through_all_stages(spark, tmp_path):
     kept = docs.collect()
     columns = read(spark, folder, "documents").columns
     assert docs.columns == [c for c in columns if c != "shard"] + ["shard", "slot"]
+    assert all(r[c] == c for r in kept for c in columns if c.startswith("_") or c in ("kept", "component_id", "item_id", "rep"))
     texts = {t for _, t, *_ in rows}
     assert {r["text"] for r in kept} <= texts - {"123 456", None, "-- 12 --", "", leak}
     assert sizes[0] == ("language_id", 26) and len({(r["shard"], r["slot"]) for r in kept}) == len(kept)
