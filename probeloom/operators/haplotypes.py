@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..quantiles import with_quantiles
+from ..scratch import materialize
+
 
 def filter_to_panel_and_sheet(calls: DataFrame, arms: DataFrame, sheet: DataFrame) -> DataFrame:
     """Calls of probes in arms (mip) and samples in sheet (sample_id, new_id, library)."""
@@ -94,9 +97,9 @@ def unique_umi_matrix(mapped: DataFrame, samples: DataFrame, probes: DataFrame)
 def estimate_copy_counts(matrix: DataFrame, average: float = 2.0, quantiles: tuple[float, float] = (0.4, 0.6), keys: Sequence[str] = ("mip", "copy"), value: str = "umi") -> DataFrame:
     """copy_count = average * share of the sample / mean of two quantiles of the probe's shares, zeros included."""
     share = F.try_divide(F.col(value).cast("double"), F.sum(value).over(Window.partitionBy("sample_id")))
-    q = F.percentile("share", list(quantiles)).over(Window.partitionBy(*keys))
-    rows = matrix.withColumn("share", share).withColumn("_q", q)
-    return rows.withColumn("copy_count", F.try_divide(average * F.col("share"), (F.col("_q")[0] + F.col("_q")[1]) / 2)).drop("_q")
+    rows = with_quantiles(materialize(matrix.withColumn("share", share), "shares"), keys, "share", quantiles, "_q")
+    level = (F.col("_q")[0] + F.col("_q")[1]) / 2
+    return rows.withColumn("copy_count", F.try_divide(average * F.col("share"), level)).select(*matrix.columns, "share", "copy_count")
 
 
 def copy_share(estimates: DataFrame) -> DataFrame:
@@ -259,10 +262,10 @@ def probe_table(normalized: DataFrame, copies: DataFrame) -> DataFrame:
 
 def median_filters(table: DataFrame, min_probe: float, min_sample: float, value: str = "umi") -> DataFrame:
     """Drop probes, then samples, with too small a median; normalized = 2 * value / the probe's median."""
-    median = lambda *keys: F.percentile(value, 0.5).over(Window.partitionBy(*keys))
-    rows = table.withColumn("probe_median", median("mip", "copy")).where(F.col("probe_median") >= min_probe)
-    rows = rows.withColumn("_m", median("sample_id")).where(F.col("_m") >= min_sample).drop("_m")
-    return rows.withColumn("normalized", F.try_divide(2.0 * F.col(value), F.col("probe_median")))
+    rows = with_quantiles(materialize(table, "probes"), ["mip", "copy"], value, [0.5], "_q").withColumn("probe_median", F.col("_q")[0]).where(F.col("probe_median") >= min_probe)
+    median = F.percentile(value, 0.5).over(Window.partitionBy("sample_id"))  # of as many values as there are probes
+    rows = rows.withColumn("_m", median).where(F.col("_m") >= min_sample)
+    return rows.withColumn("normalized", F.try_divide(2.0 * F.col(value), F.col("probe_median"))).select(*table.columns, "probe_median", "normalized")
 
 
 def record_filter(table: DataFrame, field: str, compare: str, value) -> DataFrame:

@@ -13,6 +13,7 @@ from probeloom import plans
 from probeloom.operators import copy_number as C
 from probeloom.operators import genotypes as G
 from probeloom.operators import intervals as I
+from probeloom.operators import segmentation as S
 from probeloom.plans import copy_number_queries as CQ
 
 SF = "/root/testdata/sf0.001"
@@ -209,15 +210,111 @@ def test_cluster_samples_query(spark, clusters):
     assert {(r["unit"], r["sample_id"]): r["cluster"] for r in plans.QUERIES["cluster_samples"](spark, SF).collect()} == clusters
 
 
+def best_arc(part, least):
+    """All arcs by their definition: difference of means over its standard error with noise 1."""
+    n, found = len(part), []
+    for i in range(n):
+        for j in range(i + least, n + 1):
+            if n - (j - i) >= least:
+                inside, outside = part[i:j], np.concatenate([part[:i], part[j:]])
+                found.append((abs(inside.mean() - outside.mean()) / np.sqrt(1 / len(inside) + 1 / len(outside)), -(j - i), -i))
+    z, size, at = max(found)
+    return z, -at, -at - size
+
+
+def circular(levels, seed, alpha, permutations, least):
+    """Break points by plain recursion, with the operator's draws."""
+
+    def cut(lo, hi):
+        part = levels[lo:hi]
+        n = hi - lo
+        if n < 2 * least:
+            return []
+        z, i, j = best_arc(part, least)
+        draws = [x for rows in S.arranged(part - part.mean(), seed, lo, permutations) for x in rows]
+        if z < 1e-9 or sum(best_arc(x, least)[0] >= z * (1 - 1e-12) for x in draws) > alpha * permutations:
+            return []
+        at = [lo, *[lo + x for x in (i, j) if least <= x <= n - least], hi]
+        if len(at) == 2:
+            return []
+        return at[1:-1] + [c for a, b in zip(at, at[1:]) for c in cut(a, b)]
+
+    return sorted(cut(0, len(levels)))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_circular_cuts_equal_all_arcs(seed):
+    rng = np.random.default_rng(seed)
+    for steps in ([0], [0, 2], [0, 3, 0], [1, 0, 0.4, 3]):
+        levels = np.concatenate([rng.normal(m, 0.4, rng.integers(2, 12)) for m in steps])
+        z, i, j = S.greatest_arc(levels, 2) if len(levels) >= 4 else (0, 0, 0)
+        if len(levels) >= 4:
+            want = best_arc(levels, 2)
+            assert np.isclose(z, want[0]) and {i % len(levels), j % len(levels)} - {0} == {want[1] % len(levels), want[2] % len(levels)} - {0}
+        assert S.circular_cuts(levels, seed, 0.05, 60, 2) == circular(levels, seed, 0.05, 60, 2)
+
+
+def test_circular_cuts_find_a_short_gain_and_little_in_noise():
+    rng = np.random.default_rng(9)
+    levels = np.concatenate([rng.normal(1, 0.1, 60), rng.normal(1.6, 0.1, 5), rng.normal(1, 0.1, 60)])
+    assert S.circular_cuts(levels, 1) == [60, 65]
+    assert sum(bool(S.circular_cuts(rng.normal(0, 1, 40), k)) for k in range(60)) <= 4
+    assert S.circular_cuts(np.ones(50), 1) == [] and S.circular_cuts(np.array([1.0]), 1) == [] and S.circular_cuts(np.zeros(0), 1) == []
+
+
+def test_smoothing_and_undoing():
+    levels = np.array([1, 1.1, 0.9, 9.0, 1.0, 1.1, 0.9, 1.0])
+    smooth = S.smooth_series(levels)
+    assert smooth[3] < 2 and (np.delete(smooth, 3) == np.delete(levels, 3)).all()
+    step = np.array([1.0, 1.1, 0.9, 1.0, 5.0, 5.1, 4.9, 5.0])
+    assert (S.smooth_series(step) == step).all()
+    assert S.undone([2, 2, 2], [2.0, 2.2, 8.0], 0.5) == [0, 2]  # means 1, 1.1, 4
+    assert S.undone([2, 2, 2], [2.0, 2.2, 8.0], 9.0) == [0] and S.undone([2, 2], [2.0, 8.0], 0.0) == [0, 1]
+
+
+def test_segment_breakpoints_of_long_series(spark):
+    """Stretches find what lies anywhere in a long series; a short one goes as in one piece."""
+    rng = np.random.default_rng(3)
+    long = np.concatenate([rng.normal(1 + (k % 2), 0.2, n) for k, n in enumerate([95, 40, 300, 7, 210, 150])])
+    short = np.concatenate([rng.normal(0, 0.2, 12), rng.normal(2, 0.2, 9)])
+    rows = [("long", 0, i, float(x)) for i, x in enumerate(long)] + [("short", 1, i, float(x)) for i, x in enumerate(short)] + [("one", 0, 0, 1.0)]
+    profiles = spark.createDataFrame(rows, "unit string, cluster int, ordinal int, level double")
+    got = C.segment_breakpoints(profiles, "unit", undo_small=2.0, undo_large=2.0, stretch=120).orderBy("unit", "segment").collect()
+    assert [r["stop"] for r in got if r["unit"] == "long"] == [95, 135, 435, 442, 652, 802]
+    assert [(r["first"], r["stop"]) for r in got if r["unit"] == "short"] == [(0, 12), (12, 21)]
+    assert [(r["first"], r["stop"], r["copies"]) for r in got if r["unit"] == "one"] == [(0, 1, 2.0)]
+    again = C.segment_breakpoints(profiles.repartition(7), "unit", undo_small=2.0, undo_large=2.0, stretch=120).orderBy("unit", "segment").collect()
+    assert again == got
+    assert C.segment_breakpoints(profiles.limit(0), "unit").count() == 0
+
+
 def test_segment_and_clean_breakpoints_queries(spark, counts, clusters):
+    """The query against a plain version; the same with splits in two."""
     rows = counts.assign(cluster=[clusters.get(x) for x in zip(counts["unit"], counts["sample_id"])]).dropna()
-    want = []
+    series = {}
     for (unit, cluster), own in rows.groupby(["unit", "cluster"]):
         probes = own.groupby(["begin", "mip", "copy"])["copy_count"].median().sort_index()
-        levels = np.log2(probes.to_numpy() + 1e-20)
-        for i, (lo, hi) in enumerate(chain([*segmented(levels, 1.0), len(levels)])):
-            want.append((unit, int(cluster), i, lo, hi, float(2 ** levels[lo:hi].mean())))
-    got = sorted(tuple(r) for r in plans.QUERIES["segment_breakpoints"](spark, SF).select("unit", "cluster", "segment", "first", "stop", "copies").collect())
-    assert [r[:5] for r in got] == [r[:5] for r in sorted(want)]
-    assert np.allclose([r[5] for r in got], [r[5] for r in sorted(want)])
-    assert sorted(tuple(r) for r in plans.QUERIES["clean_breakpoints"](spark, SF).select("unit", "segment", "first", "stop").collect()) == cleaned(want)
+        series[unit, int(cluster)] = np.log2(probes.to_numpy() + 1e-20)
+
+    def plain(cuts):
+        return sorted((unit, c, i, lo, hi, float(2 ** levels[lo:hi].mean())) for (unit, c), levels in series.items() for i, (lo, hi) in enumerate(chain([*cuts(levels, unit, c), len(levels)])))
+
+    def by_arcs(levels, unit, c):
+        seed = int.from_bytes(hashlib.blake2b(f"{unit}:{c}:0".encode(), digest_size=8).digest(), "big")
+        cuts = [0, *circular(S.smooth_series(levels), seed, 0.01, 1000, 2), len(levels)]
+        while len(cuts) > 2:
+            means = [levels[a:b].mean() for a, b in zip(cuts, cuts[1:])]
+            step, i = min((abs(y - x), k) for k, (x, y) in enumerate(zip(means, means[1:])))
+            if step >= S.noise_of(levels):
+                break
+            del cuts[i + 1]
+        return cuts[1:-1]
+
+    columns = ("unit", "cluster", "segment", "first", "stop", "copies")
+    profiles = C.cluster_profiles(CQ._counts(spark, SF).withColumnRenamed("chrom", "unit"), CQ._clusters(spark, SF), "unit")
+    two = C.segment_breakpoints(profiles, "unit", undo_small=1.0, method="binary")
+    for found, want in ((plans.QUERIES["segment_breakpoints"](spark, SF), plain(by_arcs)), (two, plain(lambda levels, *_: segmented(levels, 1.0)))):
+        got = sorted(tuple(r) for r in found.select(*columns).collect())
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        assert np.allclose([r[5] for r in got], [r[5] for r in want])
+    assert sorted(tuple(r) for r in plans.QUERIES["clean_breakpoints"](spark, SF).select("unit", "segment", "first", "stop").collect()) == cleaned(plain(by_arcs))
