@@ -14,12 +14,12 @@ from .intervals import merge_intervals, overlap_join
 def primer_hit_filter(hits: DataFrame, keep: int, drop: int) -> DataFrame:
     """Alignment hits of primers with fewer than drop hits, the first keep - 1 of each, with their end and strand.
 
-    hits: primer, ord, flag, chrom, pos, cigar.
+    hits: primer, ord, flag, chrom, pos, cigar. Hits are counted first, so that those of repeats go before any sorting.
     """
-    own = Window.partitionBy("primer")
-    rows = hits.withColumns({"_n": F.count("*").over(own), "_i": F.row_number().over(own.orderBy("ord"))}).where((F.col("_n") < drop) & (F.col("_i") < keep))
+    few = hits.groupBy("primer").agg(F.count("*").alias("_n")).where(F.col("_n") < drop).select("primer")
+    rows = hits.join(few, "primer", "left_semi").withColumn("_i", F.row_number().over(Window.partitionBy("primer").orderBy("ord"))).where(F.col("_i") < keep)
     strand = F.when(F.col("flag").bitwiseAND(16) == 16, "-").otherwise("+")
-    return rows.withColumns({"stop": F.col("pos") + reference_length(F.col("cigar")) - 1, "strand": strand}).drop("_n", "_i")
+    return rows.withColumns({"stop": F.col("pos") + reference_length(F.col("cigar")) - 1, "strand": strand}).drop("_i")
 
 
 def offtarget_tm_filter(primers: DataFrame, hits: DataFrame, low: float, high: float, most_high: int, most_low: int) -> DataFrame:
@@ -76,12 +76,12 @@ def pair_primers(extension: DataFrame, ligation: DataFrame, insertions: DataFram
 def near_duplicate_filter(probes: DataFrame, bin_size: int) -> DataFrame:
     """Of probes on one strand whose both ends are within bin_size, the ones that no better probe repeats; ties by name."""
     ends = probes.select("probe", "chrom", "strand", F.col("start").alias("_s"), F.col("stop").alias("_e"), "score")
-    other = ends.select(*[F.col(c).alias(f"o_{c}") for c in ends.columns])
+    other = ends.select("chrom", "strand", *[F.col(c).alias(f"o_{c}") for c in ("probe", "_s", "_e", "score")])
     left = ends.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_s") / bin_size) - 1, F.floor(F.col("_s") / bin_size) + 1)))
     right = other.withColumn("_bin", F.floor(F.col("o__s") / bin_size))
-    close = (F.col("chrom") == F.col("o_chrom")) & (F.col("strand") == F.col("o_strand")) & (F.abs(F.col("_s") - F.col("o__s")) <= bin_size) & (F.abs(F.col("_e") - F.col("o__e")) <= bin_size)
+    close = (F.abs(F.col("_s") - F.col("o__s")) <= bin_size) & (F.abs(F.col("_e") - F.col("o__e")) <= bin_size)
     better = (F.col("o_score") > F.col("score")) | ((F.col("o_score") == F.col("score")) & (F.col("o_probe") < F.col("probe")))
-    beaten = left.join(right, "_bin").where(close & better).select("probe").distinct()
+    beaten = left.join(right, ["chrom", "strand", "_bin"]).where(close & better).select("probe").distinct()
     return probes.join(beaten, "probe", "left_anti")
 
 

@@ -183,8 +183,15 @@ def noncoding_name(table: DataFrame) -> DataFrame:
 
 
 def plink_tables(genotypes: DataFrame, sites: DataFrame, phenotype: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """ped, map, geno and gene lists: text rows over the samples with a phenotype, sites in the order of chrom and pos."""
-    rows = genotypes.join(phenotype, "sample_id").join(sites, "variant")
+    """ped, map, geno and gene lists: text rows over the samples with a phenotype and a genotype, sites in the order of chrom and pos.
+
+    Every line has every site: a sample without a row or with a null genotype at one has '0 0' there, and '.'. Of rows
+    that repeat a sample and variant the greatest genotype counts.
+    """
+    called = genotypes.groupBy("sample_id", "variant").agg(F.max("genotype").alias("genotype"))
+    people = phenotype.select("sample_id", "affected").join(called.select("sample_id").distinct(), "sample_id", "left_semi").distinct()
+    # the files are samples x sites, whatever is known: both are dimension tables
+    rows = people.crossJoin(sites.select("variant", "chrom", "pos", "ref", "alt").distinct()).join(called, ["sample_id", "variant"], "left")
     pair = F.when(F.col("genotype") == 0, F.concat_ws(" ", "ref", "ref")).when(F.col("genotype") == 1, F.concat_ws(" ", "ref", "alt")).when(F.col("genotype") == 2, F.concat_ws(" ", "alt", "alt")).otherwise("0 0")
     in_order = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("chrom", "pos", "variant", c.alias("v")))), lambda x: x["v"])
     by_sample = rows.groupBy("sample_id", "affected").agg(F.array_join(in_order(pair), " ").alias("bases"), F.array_join(in_order(F.coalesce(F.col("genotype").cast("string"), F.lit("."))), "\t").alias("calls"))

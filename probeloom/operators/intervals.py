@@ -22,32 +22,59 @@ def _merge_within(df: DataFrame, keys: Sequence[str], spacer: int, order: Sequen
 def merge_intervals(df: DataFrame, spacer: int = 0, *, keys: Sequence[str] = ("chrom",), bin_size: int = 1_000_000) -> DataFrame:
     """Intervals joined while the gap to what came before is at most spacer; n counts the rows in each.
 
-    First inside bins of the genome, then over what is left of each bin: a chromosome's rows never meet in one task,
-    only its merged pieces do.
+    First inside bins of the genome, into pieces. Then one row for each bin, how far it reaches and where its last piece
+    starts, is carried along the chromosome: that tells each piece whether it joins an earlier island, and which. So
+    neither a chromosome's rows nor its pieces meet in one task.
     """
-    binned = df.select(*keys, "start", "stop", F.lit(1).cast("long").alias("n"), F.floor(F.col("start") / bin_size).alias("_bin"))
-    out = binned
-    for group in ([*keys, "_bin"], list(keys)):
-        out = _merge_within(out, group, spacer).groupBy(*group, "_island").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n")).drop("_island")
-    return out.select(*keys, "start", "stop", "n")
-
-
-def _binned(df: DataFrame, bin_size: int, pad: int = 0) -> DataFrame:
-    return df.withColumn("_bin", F.explode(F.sequence(F.floor((F.col("start") - pad) / bin_size), F.floor((F.col("stop") + pad) / bin_size))))
-
-
-def overlap_join(a: DataFrame, b: DataFrame, padding: int = 0, bin_size: int = 10_000, on: Sequence[str] = ("chrom",)) -> DataFrame:
+    keys = list(keys)
+    binned = df.select(*keys, "start", "stop", F.floor(F.col("start") / bin_size).alias("_bin"))
+    inside = _merge_within(binned, [*keys, "_bin"], spacer).groupBy(*keys, "_bin", "_island")
+    pieces = materialize(inside.agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n")).drop("_island"), "pieces")
+    bins = pieces.groupBy(*keys, "_bin").agg(F.max("stop").alias("_reach"), F.max("start").alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    carried = bins.withColumn("_carry", F.max("_reach").over(before))
+    fresh = F.col("_carry").isNull() | (F.col("_last") - F.col("_carry") > spacer)  # the last piece of a bin joins nothing earlier
+    carried = carried.withColumn("_open", F.last(F.when(fresh, F.col("_last")), ignorenulls=True).over(before)).drop("_reach", "_last")
+    own = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (*keys, "_bin")]
+    placed = pieces.alias("p").join(carried.alias("c"), own).select("p.*", "_carry", "_open")
+    island = F.when(F.col("_carry").isNull() | (F.col("start") - F.col("_carry") > spacer), F.col("start")).otherwise(F.col("_open"))
+    return placed.groupBy(*keys, island.alias("_island")).agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("n").alias("n")).select(*keys, "start", "stop", "n")
+
+
+def _leveled(lo: Column, hi: Column, bin_size: int) -> Column:
+    """The least level whose bins, bin_size * 8 ** level wide, are at least as long as the interval."""
+    length = F.greatest(hi - lo + 1, F.lit(1))
+    return F.greatest(F.ceil(F.log(8.0, length / float(bin_size)) - 1e-9), F.lit(0)).cast("int")
+
+
+def overlap_join(a: DataFrame, b: DataFrame, padding: int = 0, bin_size: int = 256, on: Sequence[str] = ("chrom",)) -> DataFrame:
     """Pairs of overlapping intervals; b's columns other than the keys get the prefix b_.
 
-    Both sides are cut into bins and joined on them; a pair counts in the bin where the later one starts. bin_size
-    should be near the usual length.
+    Intervals are dealt to bins of the width of their own length class, so each lies in two or three; bin_size is the
+    least width, and classes go up by eight. A pair meets at the level of the longer of the two: each side's intervals
+    stand in their own bins, and once more at the levels of longer ones of the other side, and a pair counts in the bin
+    where the later one starts. A chromosome-long interval is in a few bins of its own, and short ones don't meet in the
+    wide bins. Bins that are dense all the same, since their intervals do overlap, are split by Spark's skew handling.
     """
     keys = list(on)
+    left = a.withColumn("_level", _leveled(F.col("start"), F.col("stop"), bin_size))
     right = b.select(*keys, *[F.col(c).alias(f"b_{c}") for c in b.columns if c not in keys])
-    right = right.withColumns({"_lo": F.col("b_start") - padding, "_hi": F.col("b_stop") + padding})
-    right = right.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_lo") / bin_size), F.floor(F.col("_hi") / bin_size))))
-    meets = (F.col("start") <= F.col("_hi")) & (F.col("_lo") <= F.col("stop")) & (F.col("_bin") == F.floor(F.greatest("start", "_lo") / bin_size))
-    return _binned(a, bin_size).join(right, [*keys, "_bin"]).where(meets).drop("_bin", "_lo", "_hi")
+    right = right.withColumns({"_lo": F.col("b_start") - padding, "_hi": F.col("b_stop") + padding}).withColumn("_b_level", _leveled(F.col("_lo"), F.col("_hi"), bin_size))
+    used = left.select(F.lit("a").alias("side"), F.col("_level").alias("level")).unionByName(right.select(F.lit("b").alias("side"), F.col("_b_level").alias("level"))).distinct().collect()  # a dozen of length classes
+    of_a, of_b = (sorted(r["level"] for r in used if r["side"] == side and r["level"] is not None) for side in "ab")
+
+    def dealt(df: DataFrame, own: str, lo: Column, hi: Column, others: list[int], may_equal: bool) -> DataFrame:
+        """_at: level, bin and which side's own level it is."""
+        higher = F.filter(F.array(*map(F.lit, others)).cast("array<int>"), lambda x: (x >= F.col(own)) if may_equal else (x > F.col(own)))
+        places = F.concat(F.array(F.struct(F.col(own).alias("level"), F.lit(may_equal).alias("of_b"))), F.transform(higher, lambda x: F.struct(x.alias("level"), F.lit(not may_equal).alias("of_b"))))
+        width = F.lit(bin_size) * F.pow(F.lit(8.0), F.col("_place.level")).cast("long")
+        out = df.withColumn("_place", F.explode(places)).withColumn("_bin", F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width))))
+        return out.withColumns({"_at": F.col("_place.level"), "_of_b": F.col("_place.of_b"), "_width": width}).drop("_place", own)
+
+    x = dealt(left, "_level", F.col("start"), F.col("stop"), of_b, False)
+    y = dealt(right, "_b_level", F.col("_lo"), F.col("_hi"), of_a, True).drop("_width")
+    meets = (F.col("start") <= F.col("_hi")) & (F.col("_lo") <= F.col("stop")) & (F.col("_bin") == F.floor(F.greatest("start", "_lo") / F.col("_width")))
+    return x.join(y, [*keys, "_at", "_of_b", "_bin"]).where(meets).drop("_bin", "_lo", "_hi", "_at", "_of_b", "_width")
 
 
 def intersect_intervals(a: DataFrame, b: DataFrame, **options) -> DataFrame:

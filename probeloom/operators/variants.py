@@ -130,7 +130,7 @@ def _label(rows: DataFrame, targets: DataFrame, keys: Sequence[str], fallback: C
 
 
 def label_targets_aa(rows: DataFrame, targets: DataFrame, min_qual: float = 1, min_target_qual: float = 0) -> DataFrame:
-    """Name changes by (gene, change); untargeted ones of low quality or without a change go; poor targets get alt 0."""
+    """Name changes by (gene, change); untargeted ones of low quality, without a change or of unknown effect go; poor targets get alt 0."""
     return _label(rows, targets, ("gene", "change"), F.concat_ws("-", "gene", "change"), min_qual, min_target_qual)
 
 

@@ -278,7 +278,7 @@ def locus_variants(spark, sf):
 
 
 _SUBT = "SELECT 'reg' || start % 5 AS region, chrom, start, stop, capture_type FROM targets"
-_SUBE = "SELECT 'reg' || start % 5 AS region, chrom, start, stop FROM intervals WHERE start % 11 = 0"
+_SUBE = "SELECT 'reg' || start % 5 AS region, chrom, start, stop FROM intervals"
 
 
 @query("subregions", f"""WITH t AS ({_SUBT}), e AS ({_SUBE}), a AS (SELECT region, capture_type, chrom, start, stop FROM t WHERE capture_type <> 'exons'
