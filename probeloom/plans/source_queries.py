@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..scratch import scratch_path
 from ..sources import readers as R
 from ..sources import writers as W
+from ..sources.block_gzip import write_block_gzip
 from .registry import query, rows
 
 
@@ -78,11 +79,14 @@ def read_vcf(spark, sf):
     return back.select("chrom", "pos", "qual", F.col("info")["DP"].alias("dp_info"), F.col("info")["OT"].alias("ot"), "sample", F.col("call")["GT"].alias("gt"), F.col("call")["DP"].alias("dp"))
 
 
-@query("write_vcf_filtered", f"SELECT (SELECT count(*) FROM ({_SITES}) WHERE s % 2 = 0) + 2 AS lines")
+_VCF_LINE = "concat_ws(chr(9), chrom, pos, '.', 'A', 'G', q, 'PASS', 'DP=' || q || ';OT', 'GT:DP', '0/1:' || n, './.')"
+
+
+@query("write_vcf_filtered", f"SELECT {_VCF_LINE} AS line FROM ({_SITES}) WHERE s % 2 = 0 UNION ALL SELECT unnest(['##fileformat=VCFv4.2', concat_ws(chr(9), '#CHROM', 'POS', 'ID', 'REF', 'ALT', 'QUAL', 'FILTER', 'INFO', 'FORMAT', 'S1', 'S2')])")
 def write_vcf_filtered(spark, sf):
     path = scratch_path(spark, "filtered")
     W.write_lines(W.filter_vcf_lines(_vcf(spark, sf), ["LowQual"]), path, "value")
-    return spark.read.text(path).agg(F.count("*").alias("lines"))
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 @query("write_target_vcf", f"SELECT chrom, pos, chrom || chr(9) || pos || chr(9) || '.' || chr(9) || 'A' || chr(9) || 'T' || chr(9) || '.' || chr(9) || '.' || chr(9) || '.' AS line FROM ({_SITES})")
@@ -143,6 +147,23 @@ def read_fastq(spark, sf):
     return R.read_fastq(spark, _text(_seqs(spark, sf).select(record.alias("value")), "fastq")).select("id", "seq", "qual")
 
 
+@query("read_fastq_blocks", f"SELECT 'd' || doc_id AS id, seq, repeat('I', length(seq)) AS qual FROM ({_SEQS_SQL})")
+def read_fastq_blocks(spark, sf):
+    """Block-gzipped files, each read in pieces whose borders lie inside records."""
+    record = W.fastq_record(F.col("id"), F.col("seq"), F.repeat(F.lit("I"), F.length("seq")))
+    path = scratch_path(spark, "fastq-blocks")
+    write_block_gzip(_seqs(spark, sf).select(record.alias("value")), path)
+    return R.read_fastq(spark, path, block_gzip=True).select("id", "seq", "qual")
+
+
+@query("read_vcf_blocks", f"WITH v AS ({_SITES}) SELECT chrom, pos, q::DOUBLE AS qual, 'S' || k AS sample, CASE k WHEN 1 THEN '0/1' ELSE './.' END AS gt FROM v, (SELECT unnest([1, 2]) AS k)")
+def read_vcf_blocks(spark, sf):
+    path = scratch_path(spark, "vcf-blocks")
+    write_block_gzip(_vcf(spark, sf), path)
+    back = R.read_vcf(spark, path, ["S1", "S2"], block_gzip=True)
+    return back.select("chrom", "pos", "qual", "sample", F.col("call")["GT"].alias("gt"))
+
+
 @query("write_fastq_per_sample", f"SELECT 'S' || doc_id % 5 AS sample_id, 'd' || doc_id AS id, seq, repeat('I', length(seq)) AS qual FROM ({_SEQS_SQL})")
 def write_fastq_per_sample(spark, sf):
     path = scratch_path(spark, "fastq")

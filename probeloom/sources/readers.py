@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
+from ..spread import spread_join
+from .block_gzip import read_block_gzip
 
 #: Parts of a PLINK data set, one folder each.
 PLINK_KINDS = ("ped", "map", "geno", "hlist")
@@ -90,7 +92,10 @@ def parse_vcf(lines: DataFrame, samples: Sequence[str] | None = None) -> DataFra
     return base.select("file", "chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", F.col("_c.s").alias("sample"), F.map_from_entries(pairs).alias("call"))
 
 
-def read_vcf(spark: SparkSession, path: str, samples: Sequence[str] | None = None) -> DataFrame:
+def read_vcf(spark: SparkSession, path: str, samples: Sequence[str] | None = None, block_gzip: bool = False) -> DataFrame:
+    """parse_vcf() of plain or gzipped files. block_gzip: the files are block-gzipped, and many tasks read one."""
+    if block_gzip:
+        return parse_vcf(read_block_gzip(spark, path).select(F.col("path").alias("file"), "value"), samples)
     return parse_vcf(spark.read.text(path).withColumn("file", F.input_file_name()), samples)
 
 
@@ -142,18 +147,31 @@ def read_fasta(spark: SparkSession, path: str, full_name: bool = False) -> DataF
     return rows.withColumn("repeated", F.count("*").over(Window.partitionBy("id")) > 1)
 
 
-def read_fastq(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """path, id, seq and qual of plain or gzipped files; a record that the file's end cuts off is left out.
+def _numbered_lines(lines: DataFrame) -> DataFrame:
+    """path, line (from 0 in its file) and value of lines with path, block and at, whose order is that of block and at.
 
-    Lines are numbered where they are read, and the first numbers of a file's blocks follow from the counts of lines
-    before (one small row for each block), so no file has to fit in memory.
+    The lines are written once, as what a second scan is cut into isn't sure; counts by block, one small row each, give
+    the first numbers of a file's blocks.
     """
-    lines = spark.read.text(paths).select("value", F.input_file_name().alias("path"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("at"))
+    lines = materialize(lines, "lines")
     blocks = lines.groupBy("path", "block").agg(F.min("at").alias("from"), F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = lines.join(blocks.select("path", "block", (before - F.col("from")).alias("shift")), ["path", "block"]).withColumn("line", F.col("at") + F.col("shift"))
+    shifts = blocks.select("path", "block", (before - F.col("from")).alias("shift"), "n")
+    return spread_join(lines, shifts, ["path", "block"]).select("path", (F.col("at") + F.col("shift")).alias("line"), "value")
+
+
+def read_fastq(spark: SparkSession, paths: str | Sequence[str], block_gzip: bool = False) -> DataFrame:
+    """path, id, seq and qual of plain or gzipped files; a record that the file's end cuts off is left out.
+
+    No file has to fit in memory. block_gzip: the files are block-gzipped, and many tasks read one; plain gzip is read
+    by one task a file.
+    """
+    if block_gzip:
+        lines = read_block_gzip(spark, paths).select("value", "path", F.col("part").cast("long").alias("block"), F.col("line").alias("at"))
+    else:
+        lines = spark.read.text(paths).select("value", F.input_file_name().alias("path"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("at"))
     part = lambda k: F.max(F.when(F.col("line") % 4 == k, F.col("value")))
-    records = numbered.groupBy("path", F.floor(F.col("line") / 4).alias("record")).agg(part(0).alias("head"), part(1).alias("seq"), part(3).alias("qual"))
+    records = _numbered_lines(lines).groupBy("path", F.floor(F.col("line") / 4).alias("record")).agg(part(0).alias("head"), part(1).alias("seq"), part(3).alias("qual"))
     return records.where("qual is not null").select("path", F.expr("substring(head, 2)").alias("id"), "seq", "qual")
 
 
