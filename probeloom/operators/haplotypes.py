@@ -184,16 +184,24 @@ def repool_decision(
     return rows.withColumns({"library_to_completion": F.coalesce("_more", "_cap"), "uneven_coverage": uneven}).drop("_most", "_goal", "_more", "_cap", "_level")
 
 
-def downsample_umis(reads: DataFrame, n: int, group: Sequence[str], key: Column, weight: Column | None = None, seed: int = 0) -> DataFrame:
+def downsample_umis(reads: DataFrame, n: int, group: Sequence[str], key: Column, weight: Column | None = None, seed: int = 0, part_rows: int = 1_000_000) -> DataFrame:
     """n records of each group without replacement, the same ones for the same seed.
 
     Uniform, or with probability proportional to weight: the records with the least -ln(u) / weight are a sequential
-    weighted draw. u is made of the first 52 bits of the MD5 of seed and key, so it is the same everywhere.
+    weighted draw. u is made of the first 52 bits of the MD5 of seed and key, so it is the same everywhere. A group of
+    more than part_rows records is dealt to parts; the n least of each part meet, so no task sorts a whole group.
     """
     bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), 1, 13), 16, 10).cast("long")
     u = (bits + 1) / F.lit(float((1 << 52) + 1))
     order = u if weight is None else -F.ln(u) / weight
-    return reads.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(order, key))).where(F.col("_n") <= n).drop("_n")
+    first = lambda df, *by: df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("_order", "_key"))).where(F.col("_n") <= n).drop("_n")
+    rows = reads.withColumns({"_order": order, "_key": key})
+    sizes = materialize(reads.groupBy(*group).agg(F.count("*").alias("_size")).where(F.col("_size") > part_rows), "large-groups")  # of T records at most T / part_rows groups
+    if not sizes.isEmpty():
+        parts = F.coalesce(F.ceil(F.col("_size") / part_rows), F.lit(1))
+        dealt = rows.join(F.broadcast(sizes), list(group), "left").withColumn("_part", F.pmod(F.xxhash64("_key"), parts))
+        rows = first(dealt, *group, "_part").drop("_size", "_part")
+    return first(rows, *group).select(*reads.columns)
 
 
 def expand_umi_reads(calls: DataFrame) -> DataFrame:

@@ -2,33 +2,98 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialize
+from ..spread import spread_join
+
 MISSENSE = "missense_variant"
 
 
-def split_multiallelic(calls: DataFrame, per_allele: Sequence[str] = ("ao", "qa")) -> DataFrame:
+def _common(a: Column, b: Column, most: Column) -> Column:
+    """How many first characters two texts share, most at most."""
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), F.lit(0), lambda n, i: F.when((n == i - 1) & (i <= most) & (F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))), i).otherwise(n))
+
+
+def _trimmed(rows: DataFrame) -> DataFrame:
+    """Bases that ref and alt share at their ends go, at the end first; at least one base stays."""
+    least = F.least(F.length("ref"), F.length("alt")) - 1
+    rows = rows.withColumn("_end", _common(F.reverse("ref"), F.reverse("alt"), least))
+    rows = rows.withColumns({c: F.substring(c, F.lit(1), F.length(c) - F.col("_end")) for c in ("ref", "alt")})
+    rows = rows.withColumn("_start", _common(F.col("ref"), F.col("alt"), least))
+    rows = rows.withColumn("pos", F.col("pos") + F.col("_start"))
+    return rows.withColumns({c: F.substring(c, F.col("_start") + 1, F.length(c)) for c in ("ref", "alt")}).drop("_end", "_start")
+
+
+def split_multiallelic(calls: DataFrame, per_allele: Sequence[str] = ("ao", "qa"), contigs: DataFrame | None = None, chunk_size: int = 1000) -> DataFrame:
     """One row for each alternate allele, with its element of the comma lists; gt counts copies of that allele.
 
-    Bases that ref and alt share at their ends are trimmed, at the end first; at least one base stays.
+    Bases that ref and alt share at their ends are trimmed, at the end first; at least one base stays. contigs: the
+    genome in pieces (chrom, chunk, seq), along which insertions and deletions are moved to the left.
     """
     rows = calls.select("*", F.posexplode(F.split("alt", ",")).alias("allele", "_alt")).drop("alt").withColumnRenamed("_alt", "alt")
     rows = rows.withColumns({c: F.get(F.split(c, ","), F.col("allele")).cast("double") for c in per_allele})
     alleles = F.split("gt", "[/|]")
     count = F.size(F.filter(alleles, lambda a: a == (F.col("allele") + 1).cast("string")))
-    rows = rows.withColumn("genotype", F.when(F.array_contains(alleles, "."), F.lit(None)).otherwise(count))
-    least = F.least(F.length("ref"), F.length("alt"))
-    same_end = F.aggregate(F.sequence(F.lit(1), least), F.lit(0), lambda n, i: F.when((n == i - 1) & (i < least) & (F.expr("right(ref, 1)").isNotNull()) & (F.substring(F.reverse("ref"), i, F.lit(1)) == F.substring(F.reverse("alt"), i, F.lit(1))), i).otherwise(n))
-    rows = rows.withColumn("_end", same_end)
-    rows = rows.withColumns({c: F.substring(c, F.lit(1), F.length(c) - F.col("_end")) for c in ("ref", "alt")})
+    rows = rows.withColumn("genotype", F.when(F.array_contains(alleles, "."), F.lit(None)).otherwise(count)).drop("allele")
+    if contigs is None:
+        return _trimmed(rows)
+    place = ["chrom", "pos", "ref", "alt"]
+    rows = materialize(rows, "alleles")
+    sites = materialize(rows.groupBy(*place).agg(F.count("*").alias("n")), "sites")
+    moved = left_align(sites.select(*place), contigs, chunk_size).join(sites, place).select(*place, "n", F.col("new_pos").alias("_pos"), F.col("new_ref").alias("_ref"), F.col("new_alt").alias("_alt"))
+    known = spread_join(rows, moved, place)  # a site has a row for each sample
+    return known.withColumns({"pos": F.col("_pos"), "ref": F.col("_ref"), "alt": F.col("_alt")}).select(*rows.columns)
+
+
+def left_align(sites: DataFrame, contigs: DataFrame, chunk_size: int, window: int = 100) -> DataFrame:
+    """chrom, pos, ref, alt of each different site, and new_pos, new_ref, new_alt: trimmed, insertions and deletions as far left as they can be.
+
+    contigs: chrom, chunk (from 0) and seq of chunk_size bases, at least window; ref is taken to agree with them. In
+    rounds, each insertion or deletion sees the window bases before it and moves by as many as its own text and they
+    repeat; only those that reached the window's beginning go on. A base before it stays, so at a contig's start it
+    stops at the second. Symbolic alleles, and places outside the contigs, are only trimmed or left as they are.
+    """
+    place = ["chrom", "pos", "ref", "alt"]
+    plain = F.col("ref").rlike("^[ACGTNacgtn]+$") & F.col("alt").rlike("^[ACGTNacgtn]+$")
+    rows = sites.select(*place).distinct()
+    # shared ends are taken off whole: if nothing of one allele is left, it is an insertion or deletion of what is left of the other
     least = F.least(F.length("ref"), F.length("alt"))
-    same_start = F.aggregate(F.sequence(F.lit(1), least), F.lit(0), lambda n, i: F.when((n == i - 1) & (i < least) & (F.substring("ref", i, F.lit(1)) == F.substring("alt", i, F.lit(1))), i).otherwise(n))
-    rows = rows.withColumn("_start", same_start)
-    rows = rows.withColumn("pos", F.col("pos") + F.col("_start"))
-    return rows.withColumns({c: F.substring(c, F.col("_start") + 1, F.length(c)) for c in ("ref", "alt")}).drop("_end", "_start", "allele")
+    cut = rows.where(plain & (F.col("ref") != F.col("alt"))).withColumn("_e", _common(F.reverse("ref"), F.reverse("alt"), least))
+    cut = cut.withColumns({f"_{c}": F.substring(c, F.lit(1), F.length(c) - F.col("_e")) for c in ("ref", "alt")})
+    cut = cut.withColumn("_b", _common(F.col("_ref"), F.col("_alt"), F.least(F.length("_ref"), F.length("_alt"))))
+    cut = cut.withColumns({f"_{c}": F.substring(f"_{c}", F.col("_b") + 1, F.length(f"_{c}")) for c in ("ref", "alt")})
+    one = (F.length("_ref") == 0) | (F.length("_alt") == 0)
+    # _at: the base before; _text: what is inserted or deleted
+    moving = materialize(cut.where(one).select(*place, (F.col("pos") + F.col("_b") - 1).cast("long").alias("_at"), F.concat("_ref", "_alt").alias("_text"), (F.length("_ref") > 0).alias("_deleted")), "indels")
+    done = None
+    pieces = contigs.select("chrom", F.col("chunk").cast("long").alias("_chunk"), F.col("seq").alias("_seq"))
+    before = pieces.select("chrom", (F.col("_chunk") + 1).alias("_chunk"), F.col("_seq").alias("_earlier"))
+    while not moving.isEmpty():
+        seen = moving.where("_at >= 1").withColumn("_chunk", F.floor((F.col("_at") - 1) / chunk_size)).join(pieces, ["chrom", "_chunk"]).join(before, ["chrom", "_chunk"], "left")
+        upto = F.concat(F.coalesce("_earlier", F.lit("")), F.substring("_seq", F.lit(1), (F.col("_at") - F.col("_chunk") * chunk_size).cast("int")))
+        seen = seen.withColumn("_near", F.substring(upto, F.greatest(F.length(upto) - window + 1, F.lit(1)), F.lit(window)))
+        both = F.reverse(F.concat("_near", "_text"))
+        seen = seen.withColumn("_both", F.upper(both)).withColumn("_by", _common(F.col("_both"), F.expr("substring(_both, length(_text) + 1)"), F.length("_near") - 1))
+        on = (F.col("_by") == F.length("_near") - 1) & (F.col("_at") > F.length("_near"))
+        text = F.reverse(F.substring("_both", F.col("_by") + 1, F.length("_text")))
+        step = seen.select(*place, (F.col("_at") - F.col("_by")).alias("_at"), F.when(F.col("_by") == 0, F.col("_text")).otherwise(text).alias("_text"), "_deleted", F.substring(F.reverse(F.concat("_near", "_text")), F.col("_by") + F.length("_text") + 1, F.lit(1)).alias("_base"), (on & (F.col("_by") > 0)).alias("_on"))
+        step = materialize(step, "indels")
+        finished = step.where("not _on").drop("_on")
+        done = finished if done is None else done.unionByName(finished)
+        moving = step.where("_on").drop("_on", "_base")
+    trimmed = _trimmed(rows.withColumnsRenamed({"pos": "_pos", "ref": "_ref", "alt": "_alt"}).withColumns({"pos": F.col("_pos"), "ref": F.col("_ref"), "alt": F.col("_alt")}))
+    other = trimmed.select("chrom", F.col("_pos").alias("pos"), F.col("_ref").alias("ref"), F.col("_alt").alias("alt"), F.col("pos").alias("_tp"), F.col("ref").alias("_tr"), F.col("alt").alias("_ta"))
+    if done is None:
+        return other.select(*place, F.col("_tp").alias("new_pos"), F.col("_tr").alias("new_ref"), F.col("_ta").alias("new_alt"))
+    longer = F.concat("_base", "_text")
+    found = done.select(*place, "_at", F.when(F.col("_deleted"), longer).otherwise(F.col("_base")).alias("_nr"), F.when(F.col("_deleted"), F.col("_base")).otherwise(longer).alias("_na"))
+    both = other.join(found, place, "left")
+    return both.select(*place, F.coalesce("_at", "_tp").alias("new_pos"), F.coalesce("_nr", "_tr").alias("new_ref"), F.coalesce("_na", "_ta").alias("new_alt"))
 
 
 def drop_reference_blocks(sites: DataFrame) -> DataFrame:
@@ -197,14 +262,77 @@ def swap_reference_resistant(table: DataFrame, rules: DataFrame) -> DataFrame:
     return out.drop("new_name", "new_change", "_swap")
 
 
-def decompose_blocks(rows: DataFrame) -> DataFrame:
-    """Substitutions of several bases of one length become single ones where bases differ."""
+def aligned_changes(ref: str, alt: str) -> list[tuple[int, str, str]]:
+    """Changes that make alt of ref by the cheapest global alignment: (offset, ref, alt), left to right.
+
+    A differing pair of bases costs 1, a gap 2 and 1 for each base (so that gaps stay together). Of equal costs a pair goes before a
+    base of ref alone, and that before one of alt alone, from the end on. Single bases differ; insertions and deletions
+    have the base before them, or after them at the beginning.
+    """
+    n, m, far = len(ref), len(alt), 1 << 30
+    # by what the last column holds: a pair, a base of ref alone, one of alt alone
+    cost = [[[far] * 3 for _ in range(m + 1)] for _ in range(n + 1)]
+    cost[0][0][0] = 0
+    for i in range(n + 1):
+        for j in range(m + 1):
+            if i and j:
+                cost[i][j][0] = min(cost[i - 1][j - 1]) + (ref[i - 1] != alt[j - 1])
+            if i:
+                cost[i][j][1] = min(cost[i - 1][j][k] + (1 if k == 1 else 3) for k in range(3))
+            if j:
+                cost[i][j][2] = min(cost[i][j - 1][k] + (1 if k == 2 else 3) for k in range(3))
+    i, j, columns = n, m, []
+    kind = min(range(3), key=lambda k: (cost[n][m][k], k))
+    while i or j:
+        columns.append(kind)
+        here = cost[i][j][kind]
+        step = (ref[i - 1] != alt[j - 1]) if kind == 0 else None
+        i, j = i - (kind != 2), j - (kind != 1)
+        kind = min((k for k in range(3) if cost[i][j][k] + (step if step is not None else 1 if k == columns[-1] else 3) == here), default=0)
+    changes, i, j = [], 0, 0
+    columns.reverse()
+    at = 0
+    while at < len(columns):
+        kind, run = columns[at], 1
+        if kind:
+            while at + run < len(columns) and columns[at + run] == kind:
+                run += 1
+            gone, new = (ref[i : i + run], "") if kind == 1 else ("", alt[j : j + run])
+            if i:
+                changes.append((i - 1, ref[i - 1] + gone, ref[i - 1] + new))
+            else:
+                after = ref[len(gone) : len(gone) + 1]
+                changes.append((0, gone + after, new + after))
+        elif ref[i] != alt[j]:
+            changes.append((i, ref[i], alt[j]))
+        i, j, at = i + run * (kind != 2), j + run * (kind != 1), at + run
+    return changes
+
+
+def _aligned(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for refs, alts in pairs:
+        yield pd.Series([[{"off": o, "ref": r, "alt": a} for o, r, a in aligned_changes(ref, alt)] for ref, alt in zip(refs, alts, strict=True)])
+
+
+def decompose_blocks(rows: DataFrame, align: bool = False) -> DataFrame:
+    """Substitutions of several bases of one length become single ones where bases differ.
+
+    align: alleles of different lengths, both of more than one base, become the changes of their global alignment, one
+    row each; every different pair of alleles is aligned once. Symbolic alleles stay.
+    """
     block = (F.length("ref") == F.length("alt")) & (F.length("ref") > 1)
     places = F.filter(F.sequence(F.lit(1), F.length("ref")), lambda i: F.substring("ref", i, F.lit(1)) != F.substring("alt", i, F.lit(1)))
     items = F.transform(places, lambda i: F.struct((F.col("pos") + i - 1).cast("bigint").alias("pos"), F.substring("ref", i, F.lit(1)).alias("ref"), F.substring("alt", i, F.lit(1)).alias("alt")))
     own = F.array(F.struct(F.col("pos").cast("bigint").alias("pos"), "ref", "alt"))
     others = [c for c in rows.columns if c not in ("pos", "ref", "alt")]
-    return rows.select(*others, F.explode(F.when(block, items).otherwise(own)).alias("_b")).select(*others, "_b.*")
+    if not align:
+        return rows.select(*others, F.explode(F.when(block, items).otherwise(own)).alias("_b")).select(*others, "_b.*")
+    uneven = (F.length("ref") != F.length("alt")) & (F.least(F.length("ref"), F.length("alt")) > 1) & F.col("ref").rlike("^[A-Za-z]+$") & F.col("alt").rlike("^[A-Za-z]+$")
+    found = F.pandas_udf(_aligned, "array<struct<off: int, ref: string, alt: string>>")
+    pairs = rows.where(uneven).groupBy("ref", "alt").agg(F.count("*").alias("_n")).withColumn("_changes", found("ref", "alt"))
+    known = spread_join(rows, pairs, ["ref", "alt"], "_n", "left")
+    shifted = F.transform("_changes", lambda c: F.struct((F.col("pos") + c["off"]).cast("bigint").alias("pos"), c["ref"].alias("ref"), c["alt"].alias("alt")))
+    return known.select(*others, F.explode(F.when(block, items).otherwise(F.coalesce(shifted, own))).alias("_b")).select(*others, "_b.*")
 
 
 def unaggregated_tables(rows: DataFrame, min_qual: float) -> DataFrame:

@@ -22,6 +22,25 @@ def split_multiallelic(spark, sf):
     return V.split_multiallelic(rows(spark, sf, "site_calls")).select("chrom", "pos", "ref", "alt", "sample_id", "ao", "qa", "genotype")
 
 
+# a genome of pieces of 100 bases that repeat a word of four, and a site in the middle of each: an insertion or deletion of a word, or a substitution
+_WORD = "translate(lpad(cast({c} AS string), 4, '0'), '0123456789', 'ACGTTGCAAC')"
+_INDELS = f"""SELECT chrom, start + 50 AS pos, substr(w, 2, CASE WHEN k = 0 THEN 5 ELSE 1 END) AS ref, CASE k WHEN 0 THEN substr(w, 2, 1) WHEN 1 THEN substr(w, 2, 5) ELSE 'N' END AS alt
+FROM (SELECT chrom, start, repeat({_WORD.format(c='cast(floor(start / 100) AS bigint) % 10000')}, 4) AS w, cast(start / 100 AS bigint) % 3 AS k FROM targets)"""
+_BASE = f"substr({_WORD.format(c='((p - 1) // 100) % 10000')}, ((p - 1) % 100 % 4 + 1)::INT, 1)"
+
+
+@query("left_align", f"""WITH RECURSIVE s AS ({_INDELS}), m AS (
+SELECT chrom, pos, ref, alt, pos AS p, substr(ref || alt, CASE WHEN length(ref) > 1 THEN 2 ELSE 3 END, 4) AS x FROM s WHERE length(ref) <> length(alt)
+UNION ALL SELECT chrom, pos, ref, alt, p - 1, {_BASE} || substr(x, 1, 3) FROM m WHERE p > 1 AND {_BASE} = substr(x, 4, 1)),
+e AS (SELECT chrom, pos, ref, alt, arg_min(ROW(p, x, {_BASE}), p) AS r FROM m GROUP BY chrom, pos, ref, alt)
+SELECT chrom, pos, ref, alt, r[1]::BIGINT AS new_pos, CASE WHEN length(ref) > 1 THEN r[3] || r[2] ELSE r[3] END AS new_ref, CASE WHEN length(ref) > 1 THEN r[3] ELSE r[3] || r[2] END AS new_alt FROM e
+UNION ALL SELECT DISTINCT chrom, pos, ref, alt, pos, ref, alt FROM s WHERE length(ref) = length(alt)""")
+def left_align(spark, sf):
+    places = rows(spark, sf, "SELECT chrom, cast(max(floor(start / 100)) AS bigint) + 2 AS n FROM targets GROUP BY chrom")
+    contigs = places.select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), "n")).alias("chunk")).withColumn("seq", F.repeat(F.expr(_WORD.format(c="chunk % 10000")), 25))
+    return V.left_align(rows(spark, sf, _INDELS), contigs, 100, window=30)
+
+
 @query("drop_reference_blocks", "SELECT chrom, pos, sample_id FROM site_calls WHERE alt <> 'A'")
 def drop_reference_blocks(spark, sf):
     sites = rows(spark, sf, "site_calls").withColumn("alt", F.when(F.col("alt") == "A", "<*>").otherwise(F.col("alt")))
@@ -179,6 +198,13 @@ def decompose_blocks(spark, sf):
     return V.decompose_blocks(_sites(spark, sf)).select("chrom", "pos", "ref", "alt", "ac")
 
 
+@query("decompose_blocks_aligned", None)
+def decompose_blocks_aligned(spark, sf):
+    """Every allele of two haplotypes' sequences at a probe, of unequal lengths too."""
+    sites = rows(spark, sf, "SELECT DISTINCT mip AS chrom, cast(l AS bigint) AS pos, s AS ref, substr(s, 1, k) || 'G' || substr(s, k + 3) AS alt FROM (SELECT mip, haplotype_sequence AS s, length(haplotype_sequence) AS l, 1 + umi_count % 9 AS k FROM calls)")
+    return V.decompose_blocks(sites, align=True).select("chrom", "pos", "ref", "alt")
+
+
 @query("aggregate_nt", f"""
 WITH s AS (SELECT *, unnest(string_split(alt, ',')) AS a, generate_subscripts(string_split(alt, ','), 1) AS i FROM site_calls),
 x AS (SELECT chrom, pos, ref, a AS alt, sample_id, string_split(ao, ',')[i]::DOUBLE AS ao, ro, dp, CASE WHEN gt LIKE '%.%' THEN NULL ELSE len(list_filter(string_split(gt, '/'), lambda g: g = i::VARCHAR)) END AS genotype FROM s),
