@@ -180,19 +180,12 @@ def write_long(spark, sf):
     return spark.read.parquet(path).select("variant", "gene", "sample_id", "alt")
 
 
-def _variants(depths):
-    """The columns of a wide file are values of the table, and its header holds all of them."""
-    return sorted(tuple(r) for r in depths.select("variant", "gene").distinct().collect())
-
-
 def _wide_back(spark, sf, value):
     """All variants of a value as a wide file, read back and turned long."""
     path, depths = scratch_path(spark, "wide"), rows(spark, sf, "depths")
-    names = [v for v, _ in _variants(depths)]
-    W.write_wide_matrix(depths, path, "sample_id", "variant", names, value)
-    back = spark.read.option("header", True).csv(path)
-    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("variant"), F.col(f"`{n}`").cast("bigint").alias(value)) for n in names]))
-    return back.select("sample_id", cells.alias("c")).select("sample_id", "c.variant", f"c.{value}").where(F.col(value).isNotNull())
+    W.write_wide_matrix(depths, path, "sample_id", "variant", value)
+    back = R.read_wide_matrix(spark, path, ["sample_id"]).where("value is not null")
+    return back.toDF("sample_id", "variant", value).withColumn(value, F.col(value).cast("bigint"))
 
 
 @query("write_wide_matrix", "SELECT sample_id, variant, ref FROM depths")
@@ -207,12 +200,9 @@ def write_wide_matrix_whole(spark, sf):
 
 def _matrix(spark, sf, value):
     """All variants of a value as a matrix with header rows, read back."""
-    depths = rows(spark, sf, "depths")
-    found = _variants(depths)
-    wide = W.wide_matrix(depths, "sample_id", "variant", [v for v, _ in found], value)
-    lines = wide.select(F.concat_ws(",", "sample_id", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in wide.columns[1:]]).alias("value"))
-    heads = spark.createDataFrame([(",".join(["Gene", *[g for _, g in found]]),), (",".join(["Mutation Name", *[v for v, _ in found]]),)], "value string")
-    return R.read_wide_matrix(spark, _text(heads.unionByName(lines), "matrix"), ["Gene", "Mutation Name"]).where("value is not null")
+    path, depths = scratch_path(spark, "matrix"), rows(spark, sf, "depths").withColumnsRenamed({"gene": "Gene", "variant": "Mutation Name"})
+    W.write_header_matrix(depths, path, "sample_id", ["Gene", "Mutation Name"], value)
+    return R.read_wide_matrix(spark, path, ["Gene", "Mutation Name"]).where("value is not null")
 
 
 @query("read_wide_matrix", "SELECT sample_id, gene AS \"Gene\", variant AS \"Mutation Name\", coverage::DOUBLE AS value FROM depths")

@@ -9,6 +9,7 @@ from ..operators import variants as V
 from ..scratch import scratch_path
 from ..sources import readers as R
 from ..sources import writers as W
+from ..sources.region_index import read_region, write_indexed
 from .registry import query, rows
 
 _VARIANTS = "SELECT DISTINCT variant FROM depths"
@@ -83,6 +84,16 @@ def write_ucsc_table(spark, sf):
     return V.ucsc_table(_sites(spark, sf))
 
 
+@query("ucsc_region", f"""WITH v AS ({_SITES}) SELECT chrom, pos - 1 AS "chromStart", pos AS "chromEnd", chrom || ':' || pos AS name, ref || '/' || alt AS observed, ref || ',' || alt || ',' AS alleles, (an - ac) || ',' || ac || ',' AS "alleleNs"
+FROM v WHERE chrom = 'chr5' AND pos BETWEEN 1501 AND 4500""")
+def ucsc_region(spark, sf):
+    """The whole table written sorted and indexed, and one region of it read back."""
+    table, path = V.ucsc_table(_sites(spark, sf)), scratch_path(spark, "ucsc")
+    write_indexed(table, path, "chrom", "chromStart", "chromEnd")
+    back = read_region(spark, path, dict(table.dtypes), "chrom", "chromStart", "chromEnd", ("chr5", 1500, 4500))
+    return back.select("chrom", "chromStart", "chromEnd", "name", "observed", "alleles", "alleleNs")
+
+
 @query("filter_vcf", "SELECT chrom, pos, sample_id, filter FROM site_calls WHERE NOT filter LIKE '%LowQual%'")
 def filter_vcf(spark, sf):
     return V.filter_vcf(rows(spark, sf, "site_calls"), ["LowQual", "Other"]).select("chrom", "pos", "sample_id", "filter")

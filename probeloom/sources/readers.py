@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
@@ -190,16 +190,26 @@ def read_pmo(spark: SparkSession, path: str, kind: str, schema: str) -> DataFram
     return parts.select("panel_id", "run_id", F.from_json("json", schema).alias("j")).select("panel_id", "run_id", "j.*")
 
 
+def _quoted_cells(line: Column) -> Column:
+    """Cells of a comma-separated line, some of them in quotes."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    return F.transform(cells, lambda c: F.when(c.startswith('"'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+
+
 def read_wide_matrix(spark: SparkSession, path: str, levels: Sequence[str]) -> DataFrame:
     """Long form of a matrix with header rows: sample_id, one column per level, and value (null if empty).
 
-    Header lines are told by their first cell, the level's name. The cells' positions join them to the data lines.
+    Header lines are told by their first cell, the level's name. The cells' positions join them to the data lines. A
+    single level named sample_id, as a plain table has it, is returned as column name.
     """
-    lines = spark.read.text(path).select(F.split("value", ",", -1).alias("f"))
+    cells = F.when(F.contains("value", F.lit('"')), _quoted_cells(F.col("value"))).otherwise(F.split("value", ",", -1))
+    lines = spark.read.text(path).select(cells.alias("f"))
+    first = "name" if list(levels) == ["sample_id"] else None
     named = lines.where(F.col("f")[0].isin(list(levels))).select(F.col("f")[0].alias("level"), F.posexplode("f").alias("at", "name")).where("at > 0")
     heads = named.groupBy("at").pivot("level", list(levels)).agg(F.first("name"))
+    heads = heads.withColumnRenamed("sample_id", first) if first else heads
     cells = lines.where(~F.col("f")[0].isin(list(levels))).select(F.col("f")[0].alias("sample_id"), F.posexplode("f").alias("at", "cell")).where("at > 0")
-    return cells.join(heads, "at").select("sample_id", *levels, F.col("cell").try_cast("double").alias("value"))
+    return cells.join(heads, "at").select("sample_id", *([first] if first else levels), F.col("cell").try_cast("double").alias("value"))
 
 
 def read_demux_stats(spark: SparkSession, path: str) -> DataFrame:

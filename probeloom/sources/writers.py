@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..spread import spread_join
+from ..scratch import materialize
+from ..spread import ranked, spread_join
 from .readers import PLINK_KINDS
 
 
@@ -21,8 +22,48 @@ def wide_matrix(df: DataFrame, row: str, column: str, values: Sequence[str], val
     return df.groupBy(row).pivot(column, list(values)).agg(F.first(value))
 
 
-def write_wide_matrix(df: DataFrame, path: str, row: str, column: str, values: Sequence[str], value: str) -> None:
-    wide_matrix(df, row, column, values, value).write.options(header=True).csv(path)
+def _cell(c: Column) -> Column:
+    """A cell of a comma-separated file: quoted where it has to be."""
+    text = c.cast("string")
+    return F.when(text.rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+
+def matrix_lines(df: DataFrame, row: str, levels: Sequence[str], value: str, names: Sequence[str] | None = None) -> DataFrame:
+    """Comma-separated lines of a matrix, column line: first a header line for each level, then one line for each row's name, without a pivot.
+
+    df: row, the levels and value. The columns of the matrix are the different tuples of levels, in order; each gets a
+    place, and a row's line is made of its values by place, with commas for those that it lacks. Of repeated cells the
+    greatest value counts. names: what the header lines begin with, the levels' names unless given. A line has to fit in
+    memory, nothing else does.
+    """
+    levels = list(levels)
+    columns = ranked(df.select(*levels).distinct(), *levels)
+    columns = materialize(columns.withColumn("_at", F.col("rank") + 1).drop("rank"), "columns")
+    width = columns.count()
+    heads = columns.select("_at", F.explode(F.array(*[F.struct(F.lit(i).alias("level"), F.coalesce(_cell(F.col(c)), F.lit("")).alias("cell")) for i, c in enumerate(levels)])).alias("h"))
+    begins = F.element_at(F.array(*map(F.lit, names or levels)), F.col("level") + 1)
+    in_order = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("_at", c.alias("v")))), lambda x: x["v"])
+    header = heads.select("_at", "h.*").groupBy("level").agg(in_order(F.col("cell")).alias("cells")).select(F.lit(0).alias("kind"), F.col("level").cast("string").alias("order"), F.concat_ws(",", _cell(begins), F.array_join("cells", ",")).alias("line"))
+    cells = df.where(F.col(value).isNotNull()).groupBy(row, *levels).agg(F.max(value).alias("_v"))
+    own = [cells[c].eqNullSafe(columns[c]) for c in levels]
+    placed = cells.join(columns, own).select(row, "_at", _cell(F.col("_v")).alias("_v"))
+    named = placed.unionByName(df.select(row).distinct(), allowMissingColumns=True)  # a row without values has its line
+    filled = F.sort_array(F.collect_list(F.when(F.col("_at").isNotNull(), F.struct("_at", "_v"))))
+    rows = named.groupBy(row).agg(filled.alias("c"))
+    gap = F.transform("c", lambda x, i: F.concat(F.repeat(F.lit(","), (x["_at"] - F.coalesce(F.get(F.col("c"), i - 1)["_at"], F.lit(0))).cast("int")), x["_v"]))
+    end = F.repeat(F.lit(","), (F.lit(width) - F.coalesce(F.get(F.col("c"), F.size("c") - 1)["_at"], F.lit(0))).cast("int"))
+    body = rows.select(F.lit(1).alias("kind"), F.col(row).cast("string").alias("order"), F.concat(F.coalesce(_cell(F.col(row)), F.lit("")), F.array_join(gap, ""), end).alias("line"))
+    return header.unionByName(body).orderBy("kind", "order").select("line")
+
+
+def write_wide_matrix(df: DataFrame, path: str, row: str, column: str, value: str) -> None:
+    """A comma-separated table with one column for each value of column: its names, then rows. The first part file has the header."""
+    write_lines(matrix_lines(df, row, [column], value, [row]), path)
+
+
+def write_header_matrix(df: DataFrame, path: str, row: str, levels: Sequence[str], value: str) -> None:
+    """A matrix under header lines of several levels, as read_wide_matrix() reads it."""
+    write_lines(matrix_lines(df, row, levels, value), path)
 
 
 def fastq_record(name: Column, seq: Column, qual: Column) -> Column:
