@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,30 +84,108 @@ def presence_matrix(table: DataFrame, value: str, minimum: float, sample_present
     return impute(kept, "mode", "present")
 
 
-def _wide_pca(vectors: DataFrame, k: int) -> DataFrame:
-    """Of centred rows (sample_id, features): a sample's components are its products with the right singular vectors."""
-    rows = vectors.select("features").rdd.map(lambda r: Vectors.fromML(r["features"]))
-    found = RowMatrix(rows).computeSVD(k)
-    basis = found.V.toArray().T.tolist()
-    whole = vectors.select(F.aggregate(vector_to_array("features"), F.lit(0.0), lambda acc, x: acc + x * x).alias("s")).agg(F.sum("s")).first()[0]
-    share = [float(s * s / whole) if whole else 0.0 for s in found.s.toArray()]
-    axes = F.broadcast(vectors.sparkSession.createDataFrame([(basis,)], "_axes array<array<double>>"))  # k vectors of as many numbers as there are variants
-    dot = lambda axis: F.aggregate(F.zip_with(vector_to_array("features"), axis, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-    return vectors.crossJoin(axes).select("sample_id", F.transform("_axes", dot).alias("components"), F.array(*map(F.lit, share)).alias("explained"))
+def _rows(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column.flatten()) else np.zeros((len(column), 0))
+
+
+def _listed(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
+
+
+def _products(rows: DataFrame, known: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows (y, w): the sums of y's columns times w's, and of w's times w's. A few numbers for each column leave a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((known + width, width))
+        for batch in batches:
+            y, w = _rows(batch.column("y")), _rows(batch.column("w"))
+            if len(w):
+                total += np.concatenate([y.reshape(len(w), known), w], axis=1).T @ w
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["at", "v"])
+
+    sums = rows.select("y", "w").mapInArrow(run, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()  # (known + width) * width rows
+    total = np.zeros((known + width) * width)
+    for r in sums:
+        total[r["at"]] = r["v"]
+    total = total.reshape(known + width, width)
+    return total[:known], total[known:]
+
+
+def _combined(rows: DataFrame, away: np.ndarray, mixed: np.ndarray, append: bool) -> DataFrame:
+    """Rows (sample_id, y, w) with (w - y @ away) @ mixed for w, or appended to y."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                w = _rows(batch.column("w"))
+                y = _rows(batch.column("y")).reshape(len(w), len(away))
+                new = (w - y @ away) @ mixed
+                y, w = (np.concatenate([y, new], axis=1), new) if append else (y, new)
+                yield pa.RecordBatch.from_arrays([batch.column("sample_id"), _listed(y), _listed(w)], names=["sample_id", "y", "w"])
+
+    return materialize(rows.select("sample_id", "y", "w").mapInArrow(run, rows.select("sample_id", "y", "w").schema), "basis")
+
+
+def _wide_pca(centred: DataFrame, k: int, extra: int = 6, steps: int = 40) -> DataFrame:
+    """Principal components of a long centred table (sample_id, variant, _c), by blocks of products with it.
+
+    Random starts, the same ones on every run, are multiplied by the table and its transpose in turn; what comes out is
+    made orthonormal to all before, in small matrices, and the best components within all of it are taken. It ends when
+    they stay the same, or nothing new comes out. The table only meets thin blocks of k + extra numbers for a sample or
+    a variant; no sample's row is put together.
+    """
+    width = k + extra
+    summed = lambda name: [F.sum(F.col("_c") * F.col(name)[i]) for i in range(width)]
+    start = [F.sum(F.col("_c") * (F.xxhash64("variant", F.lit(i)) / float(1 << 63))) for i in range(width)]
+    whole = centred.agg(F.sum(F.col("_c") * F.col("_c"))).first()[0] or 0.0
+    block = centred.groupBy("sample_id").agg(F.array(*start).alias("w"))
+    rows = materialize(block.select("sample_id", F.array().cast("array<double>").alias("y"), "w"), "basis")
+    known, products, values, vectors = 0, np.zeros((0, 0)), np.zeros(0), np.zeros((0, 0))
+    for step in range(steps + 1):
+        first, _ = _products(rows, known, width)
+        if step:  # the last block's products with the table and its transpose, in terms of all blocks
+            new = known - len(products)
+            products = np.pad(products, (0, new))
+            products[:, -new:], products[-new:, :] = first[:, :new], first[:, :new].T
+            before = values[:k]
+            values, vectors = np.linalg.eigh((products + products.T) / 2)
+            values, vectors = values[::-1], vectors[:, ::-1]
+            if len(before) == len(values[:k]) and np.allclose(before, values[:k], rtol=1e-13, atol=0):
+                break
+        rows = _combined(rows, first, np.eye(width), False)
+        again, gram = _products(rows, known, width)
+        sizes, axes = np.linalg.eigh(gram - again.T @ again)
+        fresh = sizes > 1e-12 * max(float(np.trace(gram)) if step == 0 else whole, 1e-300)
+        if not fresh.any() or step == steps:
+            break
+        rows = _combined(rows, again, axes[:, fresh] / np.sqrt(sizes[fresh]), True)
+        size = int(fresh.sum())
+        known += size
+        # what is appended is multiplied by the transposed table, then by the table; columns beyond it are zero
+        last = rows.select("sample_id", F.concat("w", F.array_repeat(F.lit(0.0), width - size)).alias("q"))
+        by_variant = centred.join(last, "sample_id").groupBy("variant").agg(F.array(*summed("q")).alias("z"))
+        block = centred.join(by_variant, "variant").groupBy("sample_id").agg(F.array(*summed("z")).alias("w"))
+        rows = materialize(rows.select("sample_id", "y").join(block, "sample_id"), "basis")
+    top = min(k, len(values))
+    weights = np.zeros((known, k))
+    weights[: len(vectors), :top] = vectors[:, :top] * np.sqrt(np.maximum(values[:top], 0))
+    share = [float(max(values[i], 0) / whole) if i < top and whole else 0.0 for i in range(k)]
+    parts = F.array(*[F.aggregate(F.zip_with("y", F.array(*map(F.lit, weights[:, i].tolist())).cast("array<double>"), lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x) for i in range(k)])
+    return rows.select("sample_id", parts.alias("components"), F.array(*map(F.lit, share)).alias("explained"))
 
 
 def pca(table: DataFrame, k: int, value: str = "imputed") -> DataFrame:
     """sample_id, components (array) and explained (array): principal components of the centred samples x variants matrix.
 
-    Every sample must have every variant. Up to MAX_PCA_COLUMNS variants by the covariance matrix on one machine; for
-    wider matrices by their singular values, where only vectors meet on one machine. Signs are arbitrary.
+    Every sample must have every variant. Up to MAX_PCA_COLUMNS variants by the covariance matrix on one machine; wider
+    matrices by products of the long table with thin blocks. Signs are arbitrary.
     """
     width = table.select("variant").distinct().count()
     centred = table.withColumn("_c", F.col(value) - F.avg(value).over(Window.partitionBy("variant")))
+    if width > MAX_PCA_COLUMNS:
+        return _wide_pca(materialize(centred.select("sample_id", "variant", "_c"), "centred"), k)
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("variant", "_c"))), lambda x: x["_c"])
     vectors = centred.groupBy("sample_id").agg(ordered.alias("v")).select("sample_id", array_to_vector("v").alias("features"))
-    if width > MAX_PCA_COLUMNS:
-        return _wide_pca(materialize(vectors, "centred"), k)
     model = PCA(k=k, inputCol="features", outputCol="components").fit(vectors)
     share = [float(x) for x in model.explainedVariance.toArray()]
     return model.transform(vectors).select("sample_id", vector_to_array("components").alias("components"), F.array(*map(F.lit, share)).alias("explained"))

@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from probeloom import plans
@@ -89,6 +90,22 @@ def test_pca_matches_numpy(spark, monkeypatch, wide, columns):
     assert np.allclose(np.abs([r["components"] for r in got]), want, atol=1e-6) and np.allclose(got[0]["explained"], share)
 
 
+def test_wide_pca_of_little_or_nothing(spark):
+    """Fewer samples than components, equal samples, one sample, none."""
+    for rows in ([[1.0, 2.0, 4.0], [2.0, 2.0, 1.0]], [[1.0, 1.0]] * 3, [[5.0, 6.0]]):
+        x = np.array(rows)
+        df = spark.createDataFrame([(f"s{i}", f"v{j}", float(x[i, j])) for i in range(len(x)) for j in range(x.shape[1])], "sample_id string, variant string, _c double")
+        centred = df.withColumn("_c", F.col("_c") - F.avg("_c").over(Window.partitionBy("variant")))
+        got = G._wide_pca(centred, 3).orderBy("sample_id").collect()
+        c = x - x.mean(0)
+        want = np.zeros((len(x), 3))
+        u, s, _ = np.linalg.svd(c, full_matrices=False)
+        want[:, : len(s)] = np.abs(u * s)[:, :3]
+        assert np.allclose(np.abs([r["components"] for r in got]), want, atol=1e-9)
+        assert np.isclose(sum(got[0]["explained"]), 1.0 if np.abs(c).max() > 0 else 0.0)
+    assert G._wide_pca(df.limit(0), 2).count() == 0
+
+
 # --- copy numbers -------------------------------------------------------------------------------------------------
 
 
