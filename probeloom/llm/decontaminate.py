@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
+from ..spread import spread_pairs
 from .common import Tokens, read, slices, window_hashes
 
 #: One word in so many may be inserted, deleted or replaced.
@@ -22,8 +23,6 @@ WORDS_PER_EDIT = 5
 AUTOMATON_BYTES = 4 << 20
 #: Pieces of a large table are marked in a bitmap of so many bits (16 MB, however many the pieces), which spares documents' other runs the shuffle.
 BITMAP_BITS = 1 << 27
-#: Hits of one piece are spread over so many tasks.
-SALTS = 16
 
 _WORD = re.compile(r"[^\W_]+")
 _RUN = 41
@@ -207,13 +206,13 @@ def _leaks_by_joins(docs: DataFrame, items: DataFrame) -> DataFrame:
     named = materialize(items.withColumn("item", F.monotonically_increasing_id()), "items")
     pieces = materialize(named.select("item", "text").mapInArrow(_pieces, _ddl(_PIECES)), "pieces")
     shared = docs.sparkSession.sparkContext.broadcast(_bitmap(pieces))
-    hits = docs.mapInArrow(lambda b: _piece_hits(b, shared), _ddl(_PIECE_HITS)).withColumn("salt", F.pmod(F.hash("doc_id", "text_hash", "pos"), F.lit(SALTS)))
-    spread = pieces.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    places = hits.join(spread, ["piece", "salt"]).select("doc_id", "text_hash", F.struct("item", (F.col("pos") - F.col("lo")).alias("at"), "n").alias("place"))
+    hits = materialize(docs.mapInArrow(lambda b: _piece_hits(b, shared), _ddl(_PIECE_HITS)), "piece-hits")
+    places = spread_pairs(pieces, hits, ["piece"]).select("doc_id", "text_hash", F.struct("item", (F.col("pos") - F.col("lo")).alias("at"), "n").alias("place"))
     by_doc = places.groupBy("doc_id", "text_hash").agg(F.collect_set("place").alias("places")).withColumnsRenamed({"doc_id": "_d", "text_hash": "_t"})
     same = docs["doc_id"].eqNullSafe(by_doc["_d"]) & (docs["text_hash"] == by_doc["_t"])
     windows = docs.join(by_doc, same).select("doc_id", "text_hash", "text", "places").mapInArrow(_windows, _ddl(_WINDOWS))
-    verified = windows.join(named.select("item", "text"), "item").select(*_WINDOWS, "text").mapInArrow(_verified, _ddl(_HITS))
+    windows = materialize(windows, "windows")
+    verified = spread_pairs(named.select("item", "text"), windows, ["item"]).select(*_WINDOWS, "text").mapInArrow(_verified, _ddl(_HITS))
     best = verified.groupBy("doc_id", "text_hash", F.col("item_id").alias("item")).agg(F.min(F.struct("distance", "end_word")).alias("b"), F.first("budget").alias("budget"))
     best = best.join(named.select("item", "item_id"), "item").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), "item_id", "b.distance", "budget", "b.end_word")
     ids = docs.select("doc_id", "text_hash")  # a row that repeats is reported each time

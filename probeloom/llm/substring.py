@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import materialize
@@ -93,14 +93,15 @@ def _extended(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Rec
 def _keep(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         counts, removed, kept = [], [], []
-        for text, copy, ranges in zip(batch.column("text").to_pylist(), batch.column("copy").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
+        for text, copy, starts in zip(batch.column("text").to_pylist(), batch.column("copy").to_pylist(), batch.column("starts"), strict=True):
             words = (text or "").encode().split()
             gone = np.zeros(len(words) + 1, np.int64)
             if copy and len(words) >= window:
                 gone[0] += 1
-            for r in ranges or ():
-                gone[r["lo"]] += 1
-                gone[r["hi"]] -= 1
+            if starts.is_valid:  # neighbouring windows make one range
+                at = starts.values.to_numpy()
+                gone[at] += 1
+                gone[at + window] -= 1
             covered = np.cumsum(gone[:-1]) > 0
             counts.append(len(words))
             removed.append(int(covered.sum()))
@@ -140,21 +141,18 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     halves = anchors.select("doc_id", "t", F.explode(both).alias("x")).select("x.h", "doc_id", "t", "x.pos").where("h is not null").distinct()
     halves = _repeated(materialize(halves, "doubled"), "level-2")
     marks = copies.select("doc_id", "t", F.lit(True).alias("copy"))
-    ranges_type = "array<struct<lo:int,hi:int>>"
     if halves.isEmpty():
-        marks = marks.withColumn("ranges", F.lit(None).cast(ranges_type))
+        marks = marks.withColumn("starts", F.lit(None).cast("array<int>"))
     else:
         found = halves.groupBy("doc_id", "t").agg(F.collect_set("pos").alias("found")).join(copies, ["doc_id", "t"], "left_anti")
         wide = named.join(found, ["doc_id", "t"]).mapInArrow(lambda b: _extended(b, window), "h1 long, h2 int, doc_id long, t long, start int")
         wide = materialize(wide, "level-3")
         owners = wide.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first < last").select("h1", "h2", "first", "n")
-        gone = spread_join(wide, owners, ["h1", "h2"]).where("doc_id > first").select("doc_id", "t", "start").distinct()
-        # starts in a row have the same distance to their rank: one range of words
-        rank = F.row_number().over(Window.partitionBy("doc_id", "t").orderBy("start"))
-        runs = gone.withColumn("run", F.col("start") - rank).groupBy("doc_id", "t", "run").agg(F.min("start").alias("lo"), (F.max("start") + window).alias("hi"))
-        ranges = runs.groupBy("doc_id", "t").agg(F.collect_list(F.struct("lo", "hi")).cast(ranges_type).alias("ranges"))
-        marks = ranges.select("doc_id", "t", F.lit(None).cast("boolean").alias("copy"), "ranges").unionByName(marks, allowMissingColumns=True)
-    joined = rows.join(marks, ["doc_id", "t"], "left").select("doc_id", "text", "copy", "ranges")
+        gone = spread_join(wide, owners, ["h1", "h2"]).where("doc_id > first")
+        # by document, as arrays: one shuffle, in which a window is four bytes
+        starts = gone.groupBy("doc_id", "t").agg(F.collect_set("start").alias("starts"))
+        marks = starts.select("doc_id", "t", F.lit(None).cast("boolean").alias("copy"), "starts").unionByName(marks, allowMissingColumns=True)
+    joined = rows.join(marks, ["doc_id", "t"], "left").select("doc_id", "text", "copy", "starts")
     return joined.mapInArrow(lambda b: _keep(b, window), "doc_id long, n_words long, n_removed long, kept string")
 
 
