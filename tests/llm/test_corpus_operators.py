@@ -9,6 +9,7 @@ import subprocess
 import sys
 import time
 import zlib
+from html.parser import HTMLParser
 from pathlib import Path
 
 import numpy as np
@@ -362,6 +363,48 @@ def test_html_generated_pages_give_their_articles(spark):
     assert got == want
 
 
+class PlainPage(HTMLParser):
+    """The article of a page of the given tables' template, by an event parser: text between block tags inside article."""
+
+    def __init__(self, source):
+        super().__init__(convert_charrefs=True)
+        self.blocks, self.held, self.inside, self.raw = [], [], 0, 0
+        self.feed(source)
+        self.close()
+        self.cut()
+
+    def cut(self):
+        text = " ".join("".join(self.held).split())
+        self.blocks += [text] if text else []
+        self.held = []
+
+    def handle_starttag(self, tag, attrs):
+        self.raw += tag in ("script", "style", "title")
+        if tag == "br":
+            self.held.append(" ")
+        elif tag not in ("b", "i", "a", "span", "em", "strong"):
+            self.cut()
+        self.inside += tag == "article"
+
+    def handle_endtag(self, tag):
+        self.raw -= tag in ("script", "style", "title")
+        if tag not in ("b", "i", "a", "span", "em", "strong"):
+            self.cut()
+        self.inside -= tag == "article"
+
+    def handle_data(self, data):
+        if self.inside and not self.raw:
+            self.held.append(data)
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.1"])
+def test_html_query_equals_an_event_parser(spark, sf):
+    want = {r["page_id"]: "\n\n".join(PlainPage(r["html"] or "").blocks) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = html_text.op2_html_extraction(spark, sf).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want and len(got) == len(want)
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+
+
 def test_html_very_long_page(spark):
     paras = "".join(f"<p>Paragraph {i} of a page that is very long.</p>" for i in range(40_000))
     (r,) = html_text.extract_main_text(spark.createDataFrame([(1, "a", f"<body><nav>Home</nav><article>{paras}</article></body>")], "page_id long, url string, html string")).collect()
@@ -756,6 +799,46 @@ def test_language_held_out_and_code_switching(spark):
     assert {s["lang"] for s in mixed["segments"] if s["words"] > 20} == {"en", "fr"} and len(mixed["segments"]) < 12
 
 
+def plain_language(text, model, known):
+    """Word by word with the fitted weights: forward and backward in logarithms, then the share of the letters."""
+    if text is None or not re.search(r"[^\W\d_]", text):
+        return "und", 0.0
+    ws = re.findall(r"[a-z\u0080-\U0010ffff]+", text.lower())
+    if not ws:
+        return "und", 0.0
+    for w in ws:
+        if w not in known:
+            known[w] = language.Features(pa.array([w])).emissions(model.weights)[0].astype(float)
+    e, n, labels = [known[w] for w in ws], len(ws), range(len(model.languages))
+    total = lambda xs: max(xs) + math.log(sum(math.exp(x - max(xs)) for x in xs))
+    ahead, back = [[model.start[k] + e[0][k] for k in labels]], [[0.0 for _ in labels]]
+    for t in range(1, n):
+        ahead.append([total([ahead[-1][j] + model.transitions[j, k] for j in labels]) + e[t][k] for k in labels])
+        back.append([total([model.transitions[k, j] + e[n - t][j] + back[-1][j] for j in labels]) for k in labels])
+    back.reverse()
+    letters = [0.0 for _ in labels]
+    for t, w in enumerate(ws):
+        both = [a + b for a, b in zip(ahead[t], back[t])]
+        whole = total(both)
+        for k in labels:
+            letters[k] += math.exp(both[k] - whole) * len(w.encode())
+    k = max(labels, key=lambda k: letters[k])
+    return model.languages[k], letters[k] / sum(letters)
+
+
+def test_language_query_equals_plain_decoding(spark):
+    docs = common.read(spark, SF, "documents").select("doc_id", "text", "lang")
+    model, known = language.train(docs), {}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = {r["doc_id"]: r for r in language.op9_language_id(spark, SF).collect()}
+    assert got.keys() == texts.keys()
+    for i, r in got.items():
+        assert r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1)
+        if len(texts[i] or "") < 20_000:
+            name, score = plain_language(texts[i], model, known)
+            assert r["lang_pred"] == name and r["score"] == pytest.approx(score, abs=1e-4), i
+
+
 def test_long_texts_are_labelled_as_one_chain(monkeypatch):
     """Pieces and blocks give what one pass over the whole text gives."""
     rng = random.Random(3)
