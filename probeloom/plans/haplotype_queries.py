@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import haplotypes as H
+from ..scratch import materialize
 from .registry import query, rows
 
 _GRID = "(SELECT DISTINCT sample_id FROM calls) AS s CROSS JOIN (SELECT DISTINCT mip, copy FROM probe_copies) AS p"
@@ -166,7 +167,11 @@ p AS (SELECT *, coalesce(sum(copy_share) OVER w, 0) AS whole, count(*) OVER w AS
 SELECT sample_id, gene, mip, haplotype_id, copy, round(umi_count * CASE WHEN whole > 0 THEN coalesce(copy_share, 0) / whole ELSE 1.0::DOUBLE / k END, 5) AS umi_count,
   round(read_count * CASE WHEN whole > 0 THEN coalesce(copy_share, 0) / whole ELSE 1.0::DOUBLE / k END, 5) AS read_count FROM p""")
 def redistribute_multimapped(spark, sf):
-    out = H.redistribute_multimapped(rows(spark, sf, "mapped"), _shares(spark, sf))
+    # what is read more than once is written once: the mapped haplotypes and the probes' copies
+    mapped, copies = materialize(rows(spark, sf, "mapped"), "mapped"), materialize(rows(spark, sf, "probe_copies"), "probe-copies")
+    dense = H.dense_umi_table(mapped, mapped.select("sample_id"), copies)
+    shares = H.copy_share(H.estimate_copy_counts(dense).join(copies.select("gene", "mip").distinct(), "mip"))
+    out = H.redistribute_multimapped(mapped, shares)
     return out.select("sample_id", "gene", "mip", "haplotype_id", "copy", F.round("umi_count", 5).alias("umi_count"), F.round("read_count", 5).alias("read_count"))
 
 
