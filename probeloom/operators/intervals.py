@@ -127,16 +127,42 @@ def _share(low: float, high: float) -> Column:
     return F.when(ratio <= low, "cut").when(ratio >= high, "shared")
 
 
+def _trim_neighbours(df: DataFrame, low: float, high: float, bin_size: int) -> DataFrame:
+    """Rounds of changes between neighbours of a bin (of start) in order of start and stop, until there are none.
+
+    A pair changes if its hash is less than that of the changing pairs on both sides. A round costs one sorted pass,
+    however deep intervals are piled.
+    """
+    w = Window.partitionBy("chrom", "_bin").orderBy("start", "stop")
+    while True:
+        rows = df.withColumn("_bin", F.floor(F.col("start") / bin_size)).withColumns({"b_start": F.lead("start").over(w), "b_stop": F.lead("stop").over(w)})
+        rows = rows.withColumn("_change", F.when(F.col("b_start") <= F.col("stop"), _share(low, high)))
+        rows = rows.withColumn("_rank", F.when(F.col("_change").isNotNull(), F.md5(F.concat_ws(":", "chrom", "start", "stop", "b_start", "b_stop"))))
+        before, after = F.lag("_rank").over(w), F.lead("_rank").over(w)
+        now = F.col("_rank").isNotNull() & F.coalesce(F.col("_rank") < before, F.lit(True)) & F.coalesce(F.col("_rank") < after, F.lit(True))
+        rows = rows.withColumn("_now", now)
+        rows = materialize(rows.withColumn("_gone", F.col("_now") | F.coalesce(F.lag("_now").over(w), F.lit(False))), "neighbours")
+        if rows.where("_now").isEmpty():
+            return df
+        span = lambda a, b: F.struct(a.cast("long").alias("start"), b.cast("long").alias("stop"))
+        lo, hi = F.greatest("start", "b_start"), F.least("stop", "b_stop")
+        kept = F.when(F.col("_change") == "shared", F.array(span(lo, hi))).otherwise(F.array(span(F.col("start"), lo - 1), span(hi + 1, F.greatest("stop", "b_stop"))))
+        parts = F.concat(F.when(F.col("_gone"), F.expr("array()").cast("array<struct<start: bigint, stop: bigint>>")).otherwise(F.array(span(F.col("start"), F.col("stop")))), F.when(F.col("_now"), kept).otherwise(F.expr("array()").cast("array<struct<start: bigint, stop: bigint>>")))
+        df = materialize(rows.select("chrom", F.explode(F.filter(parts, lambda x: x["start"] <= x["stop"])).alias("x")).select("chrom", "x.*").distinct(), "trimmed")
+
+
 def trim_overlaps(df: DataFrame, low: float = 0.1, high: float = 0.9, bin_size: int = 10_000) -> DataFrame:
     """Repeats go; pairs that share little are cut apart, pairs that share nearly all keep what they share.
 
     The ratio is (shared stop - start) to the smaller length. Pairs in between stay and are marked unclear. Works in
-    rounds: every interval takes part in one change of a round at most, that of the pair whose hash is the least of all
-    changing pairs of both intervals. Groups of connected intervals without a change are settled and leave the rounds.
+    rounds. First neighbours change, which thins out deep piles; then any pairs: every interval takes part in one change
+    of a round at most, that of the pair whose hash is the least of all changing pairs of both intervals. Groups of
+    connected intervals without a change are settled and leave the rounds.
     """
     pair = ["start", "stop", "b_start", "b_stop"]
     ends = lambda a, b: F.struct(F.col(a).alias("start"), F.col(b).alias("stop"))
-    open_, settled = islands(df.select("chrom", "start", "stop").distinct()), []
+    thinned = _trim_neighbours(df.select("chrom", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop")).distinct(), low, high, bin_size)
+    open_, settled = islands(thinned), []
     while True:
         open_ = materialize(open_, "intervals")
         twice = overlap_join(open_, open_, on=("chrom", "island"), bin_size=bin_size).where(F.struct("start", "stop") < F.struct("b_start", "b_stop"))

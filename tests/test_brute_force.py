@@ -23,28 +23,36 @@ SF = "/root/testdata/sf0.001"
 # --- overlapping intervals ----------------------------------------------------------------------------------------
 
 
-def trimmed(rows, low, high):
-    """The rounds of trim_overlaps on sets of (chrom, start, stop)."""
+def change_of(a, b, low, high):
+    """What becomes of an overlapping pair, and its hash; None if it stays."""
+    lo, hi = b[1], min(a[2], b[2])
+    ratio = (hi - lo) / (min(a[2] - a[1], b[2] - b[1]) + 1)
+    if low < ratio < high:
+        return None
+    new = {(a[0], lo, hi)} if ratio >= high else {p for p in ((a[0], a[1], lo - 1), (a[0], hi + 1, max(a[2], b[2]))) if p[1] <= p[2]}
+    return hashlib.md5(":".join(map(str, (a[0], *a[1:], *b[1:]))).encode()).hexdigest(), a, b, new
+
+
+def trimmed(rows, low, high, bin_size=500):
+    """The rounds of trim_overlaps on sets of (chrom, start, stop): neighbours of a bin, then all pairs."""
     live = set(rows)
-    while True:
-        changes = {}
-        for a, b in combinations(sorted(live), 2):
-            if a[0] == b[0] and b[1] <= a[2]:
-                lo, hi = b[1], min(a[2], b[2])
-                ratio = (hi - lo) / (min(a[2] - a[1], b[2] - b[1]) + 1)
-                if not low < ratio < high:
-                    key = hashlib.md5(":".join(map(str, (a[0], *a[1:], *b[1:]))).encode()).hexdigest()
-                    new = {(a[0], lo, hi)} if ratio >= high else {p for p in ((a[0], a[1], lo - 1), (a[0], hi + 1, max(a[2], b[2]))) if p[1] <= p[2]}
-                    changes[key] = (a, b, new)
-        if not changes:
-            break
-        first = {}
-        for key, (a, b, _) in changes.items():
-            for x in (a, b):
-                first[x] = min(first.get(x, key), key)
-        turn = [(a, b, new) for key, (a, b, new) in changes.items() if first[a] == first[b] == key]
-        live -= {x for a, b, _ in turn for x in (a, b)}
-        live |= {p for *_, new in turn for p in new}
+    for neighbours in (True, False):
+        while True:
+            if neighbours:
+                order = sorted(live, key=lambda x: (x[0], x[1] // bin_size, *x[1:]))
+                pairs = [(a, b) for a, b in zip(order, order[1:]) if a[0] == b[0] and a[1] // bin_size == b[1] // bin_size]
+            else:
+                pairs = combinations(sorted(live), 2)
+            changes = [c for a, b in pairs if a[0] == b[0] and b[1] <= a[2] and (c := change_of(a, b, low, high))]
+            if not changes:
+                break
+            first = {}
+            for key, a, b, _ in changes:
+                for x in (a, b):
+                    first[x] = min(first.get(x, key), key)
+            turn = [(a, b, new) for key, a, b, new in changes if first[a] == first[b] == key]
+            live -= {x for a, b, _ in turn for x in (a, b)}
+            live |= {p for *_, new in turn for p in new}
     return sorted((*a, any(a != b and a[0] == b[0] and a[1] <= b[2] and b[1] <= a[2] for b in live)) for a in live)
 
 
@@ -54,7 +62,14 @@ def test_trim_overlaps_matches_its_rounds(spark, seed):
     rows = [(rng.choice("ab"), s := rng.randrange(900), s + rng.choice([0, 3, 20, 60])) for _ in range(90)]
     rows += rows[:5] + [("c", i * 9, i * 9 + 10) for i in range(30)]
     got = sorted(tuple(r) for r in I.trim_overlaps(spark.createDataFrame(rows, "chrom string, start long, stop long"), bin_size=50).select("chrom", "start", "stop", "unclear").collect())
-    assert got == trimmed(rows, 0.1, 0.9)
+    assert got == trimmed(rows, 0.1, 0.9, 50)
+
+
+def test_trim_overlaps_of_a_deep_pile(spark):
+    """Intervals that all overlap: neighbours thin them out before any pairs are made."""
+    rows = [("x", 1000 + i % 7, 3000 + i) for i in range(400)] + [("x", 10_000 + 20 * i, 10_025 + 20 * i) for i in range(100)]
+    got = sorted(tuple(r) for r in I.trim_overlaps(spark.createDataFrame(rows, "chrom string, start long, stop long")).collect())
+    assert got == trimmed(rows, 0.1, 0.9, 10_000) and sum(r[1] < 5000 for r in got) == 1
 
 
 def test_trim_overlaps_query(spark):
