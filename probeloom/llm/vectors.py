@@ -19,7 +19,7 @@ def finite(vector: Column, dims: int) -> Column:
 def integer_vectors(df: DataFrame, scale: int, dims: int, *extra: Column) -> DataFrame:
     """vec_id and ints (array of int: floor(scale * x), held within LARGEST) of the rows with a finite vector; and the extra columns."""
     ints = F.transform("embedding", lambda x: F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.floor(x.cast("double") * scale))).cast("int"))
-    return df.where(finite(F.col("embedding"), dims)).select("vec_id", ints.alias("ints"), *extra)
+    return df.where(finite(F.col("embedding"), dims)).select(F.col("vec_id").cast("long").alias("vec_id"), ints.alias("ints"), *extra)
 
 
 def matrix(column: pa.ListArray) -> np.ndarray:
