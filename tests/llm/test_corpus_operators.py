@@ -91,7 +91,10 @@ def brute_components(rows):
     return {d: (len(sets[d]), root(d)) for d in ids}
 
 
-def test_near_duplicates_match_brute_force(spark):
+@pytest.mark.parametrize("hot_rows", [1000, 4])
+def test_near_duplicates_match_brute_force(spark, monkeypatch, hot_rows):
+    """With 4 rows a hot key already, pairs of a text and elements of a shingle are dealt out."""
+    monkeypatch.setattr("probeloom.spread.HOT_ROWS", hot_rows)
     rng = random.Random(3)
     rows, n = [], 0
     for _ in range(12):
