@@ -12,14 +12,17 @@ from .scratch import materialize
 #: A key with so many rows is hot, unless more than MAX_HOT_KEYS keys could be: then with more rows, so that the hot keys stay few.
 HOT_ROWS = 1000
 MAX_HOT_KEYS = 50_000
+#: Hot rows of more bytes than this aren't broadcast.
+HOT_BYTES = 64 << 20
 
 
 def spread_join(rows: DataFrame, small: DataFrame, on: Sequence[str], count: str = "n", how: str = "inner") -> DataFrame:
     """rows joined to small, which has one row for each key and in count the number of rows that have it (count is dropped).
 
     Of T rows at most T / HOT_ROWS keys can have HOT_ROWS rows each, so the hot keys fit a broadcast of proven size, and
-    their rows aren't shuffled; the rest meets in a shuffle, where no key has more than its share. how: inner or left.
-    Null keys match nothing.
+    their rows aren't shuffled; the rest meets in a shuffle, where no key has more than its share. If small's rows of the
+    hot keys take over HOT_BYTES, only the keys are broadcast and the rows are dealt as in spread_pairs(). how: inner or
+    left. Null keys match nothing.
     """
     on = list(on)
     small = materialize(small, "small-side")
@@ -28,9 +31,13 @@ def spread_join(rows: DataFrame, small: DataFrame, on: Sequence[str], count: str
     if whole["most"] < limit:
         return rows.join(small.drop(count), on, how)
     hot, cool = small.where(F.col(count) >= limit).drop(count), small.where(F.col(count) < limit).drop(count)
-    here = rows.join(F.broadcast(hot), on)
     rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cool, on, how)
-    return here.unionByName(rest)
+    text = F.to_json(F.struct(*hot.columns))  # longer than the row for the most part
+    if (hot.agg(F.sum(F.octet_length(text))).first()[0] or 0) <= HOT_BYTES:
+        here = rows.join(F.broadcast(hot), on)
+    else:
+        here = spread_pairs(hot, rows.join(F.broadcast(hot.select(*on)), on, "left_semi"), on)
+    return here.select(*rest.columns).unionByName(rest)
 
 
 def spread_pairs(x: DataFrame, y: DataFrame, on: Sequence[str], keys: DataFrame | None = None) -> DataFrame:

@@ -13,9 +13,10 @@ from probeloom.sources import writers as W
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot", [1, 5, 10**6])
-def test_spread_join_is_a_join(spark, monkeypatch, how, hot):
+@pytest.mark.parametrize("hot,most", [(1, 10**6), (5, 10**6), (1, 0), (5, 0), (10**6, 0)])
+def test_spread_join_is_a_join(spark, monkeypatch, how, hot, most):
     monkeypatch.setattr(spread, "HOT_ROWS", hot)
+    monkeypatch.setattr(spread, "HOT_BYTES", most)
     rng = random.Random(1)
     left = [(rng.choice([1, 1, 1, 2, 3, 4, None]), i) for i in range(60)]
     count = Counter(k for k, _ in left)
