@@ -177,15 +177,17 @@ def _wide_pca(centred: DataFrame, k: int, extra: int = 6, steps: int = 40) -> Da
 def pca(table: DataFrame, k: int, value: str = "imputed") -> DataFrame:
     """sample_id, components (array) and explained (array): principal components of the centred samples x variants matrix.
 
-    Every sample must have every variant. Up to MAX_PCA_COLUMNS variants by the covariance matrix on one machine; wider
-    matrices by products of the long table with thin blocks. Signs are arbitrary.
+    A sample without a row or value of a variant counts as the variant's mean. Up to MAX_PCA_COLUMNS variants by the
+    covariance matrix on one machine; wider matrices by products of the long table with thin blocks. Signs are arbitrary.
     """
     width = table.select("variant").distinct().count()
-    centred = table.withColumn("_c", F.col(value) - F.avg(value).over(Window.partitionBy("variant")))
+    centred = table.withColumn("_c", F.coalesce(F.col(value) - F.avg(value).over(Window.partitionBy("variant")), F.lit(0.0)))
     if width > MAX_PCA_COLUMNS:
         return _wide_pca(materialize(centred.select("sample_id", "variant", "_c"), "centred"), k)
+    cells = centred.select("sample_id").distinct().crossJoin(F.broadcast(centred.select("variant").distinct()))  # MAX_PCA_COLUMNS names at most
+    cells = cells.join(centred.select("sample_id", "variant", "_c"), ["sample_id", "variant"], "left").na.fill(0.0, ["_c"])
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("variant", "_c"))), lambda x: x["_c"])
-    vectors = centred.groupBy("sample_id").agg(ordered.alias("v")).select("sample_id", array_to_vector("v").alias("features"))
+    vectors = cells.groupBy("sample_id").agg(ordered.alias("v")).select("sample_id", array_to_vector("v").alias("features"))
     model = PCA(k=k, inputCol="features", outputCol="components").fit(vectors)
     share = [float(x) for x in model.explainedVariance.toArray()]
     return model.transform(vectors).select("sample_id", vector_to_array("components").alias("components"), F.array(*map(F.lit, share)).alias("explained"))

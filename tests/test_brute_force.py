@@ -105,6 +105,21 @@ def test_pca_matches_numpy(spark, monkeypatch, wide, columns):
     assert np.allclose(np.abs([r["components"] for r in got]), want, atol=1e-6) and np.allclose(got[0]["explained"], share)
 
 
+@pytest.mark.parametrize("wide", [False, True])
+def test_pca_takes_absent_cells_as_the_mean(spark, monkeypatch, wide):
+    if wide:
+        monkeypatch.setattr(G, "MAX_PCA_COLUMNS", 1)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(30, 7)) * np.linspace(9, 1, 7) ** 2
+    x[[0, 4, 29, 4], [0, 6, 3, 2]] = np.nan
+    x[:, 5] = np.nan  # a variant without any value
+    cells = [(f"s{i:02d}", f"v{j}", None if np.isnan(x[i, j]) else float(x[i, j])) for i in range(30) for j in range(7) if j == 5 or not np.isnan(x[i, j])]
+    got = G.pca(spark.createDataFrame(cells, "sample_id string, variant string, imputed double"), 3).orderBy("sample_id").collect()
+    x[:, 5] = 0
+    want, share = components_of(np.where(np.isnan(x), np.nanmean(x, axis=0), x), 3)
+    assert len(got) == 30 and np.allclose(np.abs([r["components"] for r in got]), want, atol=1e-6) and np.allclose(got[0]["explained"], share)
+
+
 def test_wide_pca_of_little_or_nothing(spark):
     """Fewer samples than components, equal samples, one sample, none."""
     for rows in ([[1.0, 2.0, 4.0], [2.0, 2.0, 1.0]], [[1.0, 1.0]] * 3, [[5.0, 6.0]]):
