@@ -50,6 +50,20 @@ def split_multiallelic(calls: DataFrame, per_allele: Sequence[str] = ("ao", "qa"
     return known.withColumns({"pos": F.col("_pos"), "ref": F.col("_ref"), "alt": F.col("_alt")}).select(*rows.columns)
 
 
+def _with_pieces(rows: DataFrame, contigs: DataFrame, chunk_size: int) -> DataFrame:
+    """rows with the piece of their contig that holds _at (_chunk, _seq), and the piece before it (_earlier); places outside the contigs go.
+
+    A row asks for both pieces, so the contigs are read once. They are never broadcast, whatever their estimated size: of
+    pieces made by explode() Spark only knows how large the rows were before.
+    """
+    own = F.floor((F.col("_at") - 1) / chunk_size)
+    asked = rows.withColumn("_own", own).withColumn("_chunk", F.explode(F.sequence(F.greatest(F.col("_own") - 1, F.lit(0)), F.col("_own"))))
+    pieces = contigs.select("chrom", F.col("chunk").cast("long").alias("_chunk"), F.col("seq").alias("_seq"))
+    found = asked.join(pieces.hint("merge"), ["chrom", "_chunk"])
+    at = lambda back: F.max(F.when(F.col("_chunk") == F.col("_own") - back, F.col("_seq")))
+    return found.groupBy(*rows.columns, F.col("_own")).agg(at(0).alias("_seq"), at(1).alias("_earlier")).where("_seq is not null").withColumnRenamed("_own", "_chunk")
+
+
 def left_align(sites: DataFrame, contigs: DataFrame, chunk_size: int, window: int = 100) -> DataFrame:
     """chrom, pos, ref, alt of each different site, and new_pos, new_ref, new_alt: trimmed, insertions and deletions as far left as they can be.
 
@@ -71,10 +85,8 @@ def left_align(sites: DataFrame, contigs: DataFrame, chunk_size: int, window: in
     # _at: the base before; _text: what is inserted or deleted
     moving = materialize(cut.where(one).select(*place, (F.col("pos") + F.col("_b") - 1).cast("long").alias("_at"), F.concat("_ref", "_alt").alias("_text"), (F.length("_ref") > 0).alias("_deleted")), "indels")
     done = None
-    pieces = contigs.select("chrom", F.col("chunk").cast("long").alias("_chunk"), F.col("seq").alias("_seq"))
-    before = pieces.select("chrom", (F.col("_chunk") + 1).alias("_chunk"), F.col("_seq").alias("_earlier"))
     while not moving.isEmpty():
-        seen = moving.where("_at >= 1").withColumn("_chunk", F.floor((F.col("_at") - 1) / chunk_size)).join(pieces, ["chrom", "_chunk"]).join(before, ["chrom", "_chunk"], "left")
+        seen = _with_pieces(moving.where("_at >= 1"), contigs, chunk_size)
         upto = F.concat(F.coalesce("_earlier", F.lit("")), F.substring("_seq", F.lit(1), (F.col("_at") - F.col("_chunk") * chunk_size).cast("int")))
         seen = seen.withColumn("_near", F.substring(upto, F.greatest(F.length(upto) - window + 1, F.lit(1)), F.lit(window)))
         both = F.reverse(F.concat("_near", "_text"))

@@ -56,6 +56,16 @@ def test_left_align_equals_one_base_at_a_time(spark, chunk, window):
     assert {tuple(r) for r in got.collect()} == want
 
 
+def test_left_align_never_broadcasts_the_genome(spark):
+    """Pieces made by explode() look as small as the few rows that they come from."""
+    contigs = spark.createDataFrame([("c", 2000)], "chrom string, n long").select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), "n")).alias("chunk")).withColumn("seq", F.repeat(F.lit("ACGTT"), 20))
+    moving = spark.createDataFrame([("c", 1), ("c", 100), ("c", 101), ("c", 5000), ("c", 300_000), ("z", 7)], "chrom string, _at long")
+    seen = V._with_pieces(moving, contigs, 100)
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 1
+    assert sorted((r["_at"], r["_chunk"], len(r["_seq"]), len(r["_earlier"] or "")) for r in seen.collect()) == [(1, 0, 100, 0), (100, 0, 100, 0), (101, 1, 100, 100), (5000, 49, 100, 100)]
+
+
 def test_split_multiallelic_along_the_genome(spark):
     genome = "GGATATATATCC"
     calls = spark.createDataFrame([("c", 9, "AT", "A,G,ATAT", f"S{i}", "1,2,3", "4,5,6", "0/1") for i in range(3)], "chrom string, pos long, ref string, alt string, sample_id string, ao string, qa string, gt string")
