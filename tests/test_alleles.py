@@ -132,3 +132,14 @@ def test_downsampling_in_parts_takes_the_same_records(spark, weighted):
     take = lambda part: sorted(map(tuple, H.downsample_umis(reads, 12, ["s"], F.col("k"), F.col("w") if weighted else None, 5, part).collect()))
     whole = take(10**6)
     assert take(40) == whole and len(whole) == 12 * (1 + len({r["s"] for r in reads.select("s").distinct().collect()} - {"big"}))
+
+
+def test_umi_read_names_of_the_expanded_reads(spark):
+    """Equal to a count over the reads; names are neither sorted nor shuffled."""
+    rng = random.Random(4)
+    calls = spark.createDataFrame([(f"S{rng.randint(0, 5)}", f"m{rng.randint(0, 3)}.1", rng.choice([0, 1, 2, 9, 10, 11, 120])) for _ in range(60)] + [("S9", "m1.1", 0), ("S9", "m2.1", -1), ("S10", "m1.1", 12)], "sample_id string, haplotype_id string, umi_count long")
+    want = H.expand_umi_reads(calls).groupBy("sample_id", "haplotype_id").agg(F.count("*").alias("reads"), F.countDistinct("read_name").alias("names"), F.max("read_name").alias("last_name"))
+    got = H.umi_read_names(calls)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = plans.QUERIES["expand_umi_reads"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange") == 1
