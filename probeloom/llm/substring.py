@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..scratch import materialize
+from ..scratch import last_table, materialize
 from ..spread import spread_join
 from .common import Tokens, read, slices, window_hashes
 
@@ -110,7 +110,8 @@ def _keep(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordB
 
 
 def _repeated(windows: DataFrame, name: str) -> DataFrame:
-    """The rows of windows (h, doc_id, t, ...) whose hash two documents with different texts have."""
+    """The rows of windows (h, doc_id, t, ...) whose hash two documents with different texts have; windows are written for the while."""
+    windows = materialize(windows, "windows")
     seen = windows.groupBy("h").agg(F.count("*").alias("n"), *[f(c).alias(f"{c}_{n}") for c in ("doc_id", "t") for n, f in (("lo", F.min), ("hi", F.max))])
     seen = seen.where("doc_id_lo < doc_id_hi and t_lo < t_hi").select("h", "n")
     return materialize(spread_join(windows, seen, ["h"]), name)
@@ -135,11 +136,14 @@ def substring_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     firsts = whole.groupBy("t", "t2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first < last")
     copies = materialize(spread_join(whole, firsts, ["t", "t2"]).where("doc_id > first").select("doc_id", "t").distinct(), "copies")
 
-    anchors = materialize(named.mapInArrow(lambda b: _anchors(b, window), "h long, doc_id long, t long, pos int, right long, left long"), "anchors")
-    anchors = _repeated(anchors, "level-1")
-    both = F.array(F.struct(F.col("right").alias("h"), F.col("pos")), F.struct(F.col("left").alias("h"), (F.col("pos") + first - second).alias("pos")))
-    halves = anchors.select("doc_id", "t", F.explode(both).alias("x")).select("x.h", "doc_id", "t", "x.pos").where("h is not null").distinct()
-    halves = _repeated(materialize(halves, "doubled"), "level-2")
+    def doubled() -> DataFrame:
+        anchors = named.mapInArrow(lambda b: _anchors(b, window), "h long, doc_id long, t long, pos int, right long, left long")
+        anchors = _repeated(anchors, "level-1")
+        both = F.array(F.struct(F.col("right").alias("h"), F.col("pos")), F.struct(F.col("left").alias("h"), (F.col("pos") + first - second).alias("pos")))
+        halves = anchors.select("doc_id", "t", F.explode(both).alias("x")).select("x.h", "doc_id", "t", "x.pos").where("h is not null").distinct()
+        return _repeated(halves, "level-2")
+
+    halves = last_table(docs.sparkSession, doubled)  # the levels before take up disk no longer
     marks = copies.select("doc_id", "t", F.lit(True).alias("copy"))
     if halves.isEmpty():
         marks = marks.withColumn("starts", F.lit(None).cast("array<int>"))

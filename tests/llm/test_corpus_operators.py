@@ -992,3 +992,21 @@ def test_the_screen_loses_no_link():
         sa, sb = (minhash.registers(x)[None].astype(int) for x in (a, b))
         lost += minhash.joint_similarity(sa, sb, np.array([float(len(a))]), np.array([float(len(b))]))[0] < minhash.SCREEN
     assert lost == 0
+
+
+def test_substring_dedup_keeps_no_table_of_earlier_levels(spark, monkeypatch):
+    """Of what is written, only what the last step reads is left: the first levels' windows are gone."""
+    from probeloom import scratch
+    from probeloom.llm import substring
+
+    made = []
+    path = scratch.scratch_path
+    monkeypatch.setattr(scratch, "scratch_path", lambda s, name: made.append((name, path(s, name))) or made[-1][1])
+    text = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, text + " a b"), (2, "c " + text), (3, "d e")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substring.substring_dedup(docs).collect()}
+    assert got == {1: 0, 2: 80, 3: 0}
+    jvm = spark.sparkContext._jvm
+    left = [name for name, p in made if jvm.org.apache.hadoop.fs.Path(p).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm.org.apache.hadoop.fs.Path(p))]
+    assert {"windows", "level-1", "level-2"} <= {name for name, _ in made}
+    assert not {"windows", "level-1"} & set(left) and "level-2" in left
