@@ -78,3 +78,25 @@ def test_plink_lines_have_every_site(spark):
     assert {r["line"] for r in ped.collect()} == {"s1 s1 0 0 0 2 A A A G G G", "s2 s2 0 0 0 1 A C 0 0 0 0", "s3 s3 0 0 0 1 0 0 G G 0 0"}
     assert {r["line"] for r in geno.collect()} == {"s1\t0\t1\t2", "s2\t1\t.\t.", "s3\t.\t2\t."}
     assert [r["variant"] for r in places.orderBy("chrom", "pos").collect()] == ["v1", "v2", "v3"]
+
+
+def test_islands_equal_merged_intervals_without_meeting_them_again(spark):
+    rng = random.Random(5)
+    for spacer, bin_size in ((0, 50), (7, 13), (0, 1000)):
+        rows = [(f"chr{rng.randrange(2)}", s := rng.randrange(2000), s + rng.choice((0, 3, 9, 40)), f"n{i}") for i in range(300)] + [("chr0", 2500, 9000, "long"), ("chr0", 2501, 2600, "in"), (None, 1, 2, "nowhere")]
+        frame = spark.createDataFrame(rows, "chrom string, start long, stop long, name string")
+        merged = I.merge_intervals(frame.where("chrom is not null"), spacer, bin_size=bin_size).collect()
+        got = I.islands(frame, spacer, bin_size=bin_size).collect()
+        assert len(got) == len(rows) - 1
+        for r in got:
+            assert [m["start"] for m in merged if m["chrom"] == r["chrom"] and m["start"] <= r["start"] and r["stop"] <= m["stop"]] == [r["island"]]
+
+
+def test_trim_overlaps_drops_settled_islands_from_its_rounds(spark, monkeypatch):
+    seen = []
+    write = I.materialize
+    monkeypatch.setattr(I, "materialize", lambda df, name: seen.append((name, (out := write(df, name)).count())) or out)
+    rows = [("chr1", i * 100, i * 100 + 10) for i in range(200)] + [("chr1", 50_000 + i * 3, 50_000 + i * 3 + 40) for i in range(12)]
+    assert I.trim_overlaps(spark.createDataFrame(rows, "chrom string, start long, stop long")).count() >= 200
+    rounds = [n for name, n in seen if name == "neighbours"]
+    assert len(rounds) > 1 and rounds[0] == 212 and max(rounds[1:]) < 40
