@@ -100,3 +100,12 @@ def test_trim_overlaps_drops_settled_islands_from_its_rounds(spark, monkeypatch)
     assert I.trim_overlaps(spark.createDataFrame(rows, "chrom string, start long, stop long")).count() >= 200
     rounds = [n for name, n in seen if name == "neighbours"]
     assert len(rounds) > 1 and rounds[0] == 212 and max(rounds[1:]) < 40
+
+
+def test_overlap_join_broadcasts_only_what_is_small_once_dealt(spark):
+    many = spark.range(30_000).selectExpr("'x' AS chrom", "id * 10 AS start", "id * 10 + 700 AS stop", "cast(id AS int) AS name")
+    few = many.where("name < 50")
+    plan = lambda a, b: I.overlap_join(a, b)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(many, many) and "SortMergeJoin" in plan(many, many)
+    assert "BroadcastHashJoin" in plan(few, many) and "BroadcastHashJoin" in plan(many, few)
+    assert I.overlap_join(few, many).count() == I.overlap_join(many, few).count() == 50 * 71 + sum(min(i, 70) for i in range(50))
