@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import copy_number as C
+from ..scratch import materialize
 from .haplotype_queries import _DENSE, _dense
 from .registry import query, rows
 
@@ -61,8 +62,8 @@ def cluster_samples(spark, sf):
 
 
 def _segments(spark, sf):
-    counts = _counts(spark, sf).withColumnRenamed("chrom", "unit")
-    return C.segment_breakpoints(C.cluster_profiles(counts, _clusters(spark, sf), "unit"), "unit", undo_small=1.0)
+    counts = materialize(_counts(spark, sf).withColumnRenamed("chrom", "unit"), "copy-counts")  # read for the clusters and for their profiles
+    return C.segment_breakpoints(C.cluster_profiles(counts, C.cluster_samples(counts, "unit", 3), "unit"), "unit", undo_small=1.0)
 
 
 @query("segment_breakpoints", None)

@@ -200,3 +200,12 @@ def test_pca_centres(spark):
     s = np.linalg.svd(x - x.mean(0))[1] ** 2
     assert np.allclose(got[0]["explained"], (s / s.sum())[:2])
     assert math.isclose(c.var(0, ddof=1)[0], s[0] / 29, rel_tol=1e-9)
+
+
+def test_segments_compute_copy_counts_once(spark, monkeypatch):
+    from probeloom.plans import copy_number_queries as CQ
+
+    calls, counts = [], CQ._counts
+    monkeypatch.setattr(CQ, "_counts", lambda *a: calls.append(a) or counts(*a))
+    assert CQ._segments(spark, "/root/testdata/sf0.001").count() >= 0
+    assert len(calls) == 1
