@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.seq import reference_length
+from ..scratch import materialize
 from .intervals import merge_intervals, overlap_join
 
 
@@ -53,24 +54,59 @@ def top_n_per_bin(primers: DataFrame, n: int, bin_size: int) -> DataFrame:
     return primers.withColumn("_bin", F.floor(end / bin_size)).withColumn("place", F.row_number().over(order)).where(F.col("place") <= n).drop("_bin")
 
 
-def pair_primers(extension: DataFrame, ligation: DataFrame, insertions: DataFrame, least: int, most: int, reference: str = "C0") -> DataFrame:
+def _net_places(ends: DataFrame, insertions: DataFrame, bin_size: int) -> DataFrame:
+    """Ends of products with net, their place less the insertions before it, and top, the greatest net place so far on the chromosome.
+
+    ends: chrom, at, turn: 0 for first bases, before the insertions at their place, 2 for last bases, behind them. Totals run
+    inside bins, then over one row for each bin, so no task sees a whole chromosome.
+    """
+    inserted = insertions.where("chrom IS NOT NULL AND pos IS NOT NULL").select("chrom", F.col("pos").cast("long").alias("at"), F.lit(1).alias("turn"), F.coalesce("size", F.lit(0)).alias("size"))
+    both = ends.unionByName(inserted, allowMissingColumns=True).withColumn("_bin", F.floor(F.col("at") / bin_size))
+    so_far = Window.partitionBy("chrom", "_bin").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("_net", F.col("at") - F.coalesce(F.sum("size").over(so_far), F.lit(0)) + F.when(F.col("turn") == 1, F.col("size")).otherwise(0))
+    both = materialize(both.withColumn("_top", F.max("_net").over(so_far)), "net-places")
+    before = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = both.groupBy("chrom", "_bin").agg(F.sum("size").alias("_sum"), F.max("_top").alias("_best"))
+    bins = bins.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+    bins = bins.withColumn("_reached", F.max(F.col("_best") - F.col("_base")).over(before)).drop("_sum", "_best")
+    placed = both.where("turn != 1").join(bins, ["chrom", "_bin"])
+    return placed.withColumns({"net": F.col("_net") - F.col("_base"), "top": F.greatest(F.col("_top") - F.col("_base"), "_reached")}).select(*ends.columns, "net", "top")
+
+
+def pair_primers(extension: DataFrame, ligation: DataFrame, insertions: DataFrame, least: int, most: int, reference: str = "C0", *, apart: int | None = None, bin_size: int = 100_000) -> DataFrame:
     """Pairs of primers on one copy and strand, extension first, with a product size within bounds on the reference copy.
 
     Insertions inside the product make it smaller than it looks; on other copies only the upper bound holds. Pairs that
-    don't fit on the reference copy are left out on all copies. Primers: primer, copy, chrom, strand, start, stop.
+    don't fit on the reference copy are left out on all copies. Primers: primer, copy, chrom, strand, start, stop, with
+    start <= stop; the others have no place and are left out. apart: so many bases at most from the end of one primer to
+    the start of the other; without it, whatever the bounds allow.
+
+    A product's size less its insertions is a difference of two net places, one of each primer, so pairs never meet the
+    insertions. Pairs are looked for within apart; without it, where the first base's greatest net place so far can lie:
+    from the net place of the last base less most up to the greatest there.
     """
-    step = most
-    e = extension.select(*[F.col(c).alias(f"e_{c}") for c in ("primer", "start", "stop")], "copy", "chrom", "strand").withColumn("_bin", F.explode(F.sequence(F.floor((F.col("e_start") - step) / step), F.floor((F.col("e_stop") + step) / step))))
-    li = ligation.select(*[F.col(c).alias(f"l_{c}") for c in ("primer", "start", "stop")], "copy", "chrom", "strand").withColumn("_bin", F.floor(F.col("l_start") / step))
-    pairs = e.join(li, ["copy", "chrom", "strand", "_bin"]).drop("_bin")
-    ordered = ((F.col("strand") == "+") & (F.col("e_stop") < F.col("l_start"))) | ((F.col("strand") == "-") & (F.col("l_stop") < F.col("e_start")))
-    pairs = pairs.where(ordered).withColumns({"start": F.least("e_start", "l_start"), "stop": F.greatest("e_stop", "l_stop")})
-    inside = overlap_join(insertions.select("chrom", F.col("pos").alias("start"), F.col("pos").alias("stop"), "size"), pairs.select("chrom", "start", "stop").distinct(), bin_size=max(1, most))
-    grown = inside.groupBy("chrom", F.col("b_start").alias("start"), F.col("b_stop").alias("stop")).agg(F.sum("size").alias("inserted"))
-    sized = pairs.join(grown, ["chrom", "start", "stop"], "left").withColumn("inserted", F.coalesce("inserted", F.lit(0))).withColumn("size", F.col("stop") - F.col("start") + 1)
-    fits = (F.col("size") - F.col("inserted") <= most) & ((F.col("copy") != reference) | (F.col("size") >= least))
-    kept = sized.where(fits)
-    return kept.join(kept.where(F.col("copy") == reference).select("e_primer", "l_primer").distinct(), ["e_primer", "l_primer"], "left_semi")
+
+    def ends(primers: DataFrame, first: str) -> DataFrame:
+        opens = F.col("strand") == first
+        placed = primers.where("primer IS NOT NULL AND chrom IS NOT NULL AND start <= stop AND strand IN ('+', '-')")
+        return placed.select("primer", "copy", "chrom", "strand", "start", "stop", F.when(opens, F.col("start")).otherwise(F.col("stop")).cast("long").alias("at"), F.when(opens, 0).otherwise(2).alias("turn"))
+
+    places = _net_places(ends(extension, "+").unionByName(ends(ligation, "-")), insertions, bin_size).drop("at")
+    own = ["primer", "start", "stop", "net"]
+    width = most if apart is None else max(1, apart)
+    mark, lo, hi = (F.col("top"), F.col("net") - most + 1, F.col("top")) if apart is None else (F.col("stop"), F.col("start") - width, F.col("start") - 1)
+    a = places.where("turn = 0").select("copy", "chrom", "strand", *[F.col(c).alias(f"a_{c}") for c in own], F.floor(mark / width).alias("_cell"))
+    cells = F.sequence(F.floor(lo / width), F.floor(hi / width))
+    b = places.where("turn = 2").select("copy", "chrom", "strand", *[F.col(c).alias(f"b_{c}") for c in own], F.explode(cells).alias("_cell"))
+    net, size = F.col("b_net") - F.col("a_net") + 1, F.col("b_stop") - F.col("a_start") + 1
+    fits = (F.col("a_stop") < F.col("b_start")) & (net <= most) & ((F.col("copy") != reference) | (size >= least))
+    if apart is not None:
+        fits &= F.col("b_start") - F.col("a_stop") <= apart
+    forward = F.col("strand") == "+"
+    each = {f"{p}_{c}": F.when(forward, F.col(f"{x}_{c}")).otherwise(F.col(f"{y}_{c}")) for p, x, y in (("e", "a", "b"), ("l", "b", "a")) for c in ("primer", "start", "stop")}
+    kept = a.join(b, ["copy", "chrom", "strand", "_cell"]).where(fits).select(*[x.alias(name) for name, x in each.items()], "copy", "chrom", "strand", F.col("a_start").alias("start"), F.col("b_stop").alias("stop"), (size - net).alias("inserted"), size.alias("size"))
+    on_reference = F.max(F.col("copy") == reference).over(Window.partitionBy("e_primer", "l_primer"))
+    return kept.withColumn("_on", on_reference).where("_on").drop("_on")
 
 
 def near_duplicate_filter(probes: DataFrame, bin_size: int) -> DataFrame:

@@ -71,7 +71,7 @@ s AS (SELECT p.*, coalesce(g.inserted, 0) AS inserted, p.stop - p.start + 1 AS s
 f AS (SELECT * FROM s WHERE size - inserted <= 200 AND (copy <> 'C0' OR size >= 120))
 SELECT e_primer, l_primer, copy, chrom, strand, start, stop, inserted, size FROM f WHERE (e_primer, l_primer) IN (SELECT (e_primer, l_primer) FROM f WHERE copy = 'C0')""")
 def pair_primers(spark, sf):
-    out = K.pair_primers(rows(spark, sf, _EXT), rows(spark, sf, _LIG), rows(spark, sf, _INS), 120, 200)
+    out = K.pair_primers(rows(spark, sf, _EXT), rows(spark, sf, _LIG), rows(spark, sf, _INS), 120, 200, apart=300)
     return out.select("e_primer", "l_primer", "copy", "chrom", "strand", "start", "stop", "inserted", "size")
 
 
